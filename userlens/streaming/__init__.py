@@ -1,0 +1,8 @@
+"""Streaming.
+
+The jobs this library rebuilds are batch jobs; none of them runs on a stream.
+The incremental behaviour they do have (a uid high-water mark, look-back
+windows, a late-arrival guard) is expressed as batch predicates in
+``userlens.operators`` and ``userlens.plans.jobs``. No streaming operator is
+provided.
+"""
