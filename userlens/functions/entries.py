@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -17,12 +19,37 @@ def entry(k: Column, v: Column) -> Column:
 
 
 def dedup_last(entries: Column) -> Column:
-    """Keep one entry per key, in first-seen key order, with the last value."""
-    keys = F.array_distinct(F.transform(entries, lambda e: e["key"]))
-    return F.transform(keys, lambda k: entry(
-        k, F.try_element_at(F.filter(entries, lambda e: e["key"] == k), F.lit(-1))["value"]))
-
-
-def entries_json(entries: Column) -> Column:
-    """JSON object text of entries, keys sorted (stable document text)."""
-    return F.to_json(F.map_from_entries(F.array_sort(dedup_last(entries))))
+    """Keep the last entry of each key (at its own position).
+
+    An entry survives when its key does not occur again later; the keys are
+    extracted once, so this is one lambda pass plus native array scans.
+    """
+    keys = F.transform(entries, lambda e: e["key"])
+    n = F.size(entries)
+    return F.filter(entries, lambda e, i: ~F.array_contains(F.slice(keys, i + 2, F.greatest(n - i - 1, F.lit(1))), e["key"])
+                    | (i + 1 == n))
+
+
+def entries_json(entries: Column, unique: bool = False) -> Column:
+    """JSON object text of entries, keys sorted (stable document text).
+
+    ``unique`` skips the dedup for arrays already holding one entry per key.
+    """
+    kept = entries if unique else dedup_last(entries)
+    return F.to_json(F.map_from_entries(F.array_sort(kept)))
+
+
+def kv_pairs(text: Column, sep: str) -> Column:
+    """Pieces of ``text`` between ``sep`` that split on ``=`` into exactly two
+    parts under JVM ``split`` rules (trailing ``=`` ignored, leading empty
+    key kept), as untrimmed ``(key, value)`` entries in text order.
+
+    One regex pass instead of split -> split -> filter: a piece is
+    ``key=value`` followed only by ``=`` signs, key and value free of
+    ``sep`` and ``=``, value non-empty.
+    """
+    s = re.escape(sep)
+    pattern = F.lit(f"(?:^|{s})([^={s}]*)=([^={s}]+)=*(?={s}|\\z)")
+    keys = F.regexp_extract_all(text, pattern, 1)
+    values = F.regexp_extract_all(text, pattern, 2)
+    return F.arrays_zip(keys.alias("key"), values.alias("value"))

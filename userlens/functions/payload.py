@@ -6,7 +6,8 @@ higher-order functions over entry arrays (no UDF, no explode/regroup):
 1. ``source_text``: the raw content; for ``ios`` rows the ``{k=v;...}`` text is
    first turned into a JSON object.
 2. ``payload_entries``: the source parsed as a JSON object (duplicates kept).
-3. ``mapped_fields``: for every mapping attribute of the event whose name is a
+3. ``mapped_fields``: over the parsed map (one value per key), for every
+   mapping attribute of the event whose name is a
    payload key (trimmed, lower-cased) and whose platform gate passes, the
    derived fields (``string`` -> one field, ``url`` -> domain/path/params).
 
@@ -19,8 +20,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .entries import dedup_last, empty_entries as _empty_entries, entries_json, entry as _entry
-from .text import is_blank, java_split, jtrim
+from .entries import dedup_last, empty_entries as _empty_entries, entries_json, entry as _entry, kv_pairs
+from .text import is_blank, jtrim
 from .url import url_fields, url_ok
 
 MAPPING_ATTR_TYPE = ("array<struct<attribute:string,target_attribute:string,datatype:string,"
@@ -40,9 +41,8 @@ def ios_pairs(content: Column | str) -> Column:
     two parts count; both parts are trimmed; the last duplicate wins.
     """
     cleaned = F.translate(_col(content), ";{}\t", ",")
-    pieces = F.transform(java_split(cleaned, ","), lambda p: java_split(p, "="))
-    kept = F.filter(pieces, lambda kv: F.size(kv) == 2)
-    return dedup_last(F.transform(kept, lambda kv: _entry(jtrim(F.get(kv, 0)), jtrim(F.get(kv, 1)))))
+    trimmed = F.transform(kv_pairs(cleaned, ","), lambda e: _entry(jtrim(e["key"]), jtrim(e["value"])))
+    return dedup_last(trimmed)
 
 
 def source_text(plateform: Column | str, content: Column | str) -> Column:
@@ -50,7 +50,7 @@ def source_text(plateform: Column | str, content: Column | str) -> Column:
     content = _col(content)
     pairs = ios_pairs(content)
     is_ios = F.coalesce(_col(plateform) == F.lit("ios"), F.lit(False)) & ~is_blank(content)
-    return F.when(is_ios & (F.size(pairs) > 0), entries_json(pairs)).otherwise(content)
+    return F.when(is_ios & (F.size(pairs) > 0), entries_json(pairs, unique=True)).otherwise(content)
 
 
 def parse_payload(source: Column | str) -> Column:
@@ -63,17 +63,22 @@ def payload_entries(source: Column | str) -> Column:
     return F.coalesce(F.map_entries(parse_payload(source)), _empty_entries())
 
 
-def attribute_value(entries: Column, attribute: Column) -> Column:
-    """Value re-read by the normalised key: '' when absent, last duplicate wins.
+def payload_map(source: Column | str) -> Column:
+    """Parsed payload as a map with unique keys (a repeated key keeps its
+    last value, like the JSON reader of the jobs); empty when absent."""
+    return F.map_from_entries(dedup_last(payload_entries(source)))
+
+
+def attribute_value(payload: Column, attribute: Column) -> Column:
+    """Value re-read by the normalised key: '' when absent.
 
     A JSON ``null`` value stays null (the attribute then emits nothing).
     """
-    hits = F.filter(entries, lambda e: e["key"] == attribute)
-    return F.when(F.size(hits) == 0, F.lit("")).otherwise(F.try_element_at(hits, F.lit(-1))["value"])
+    return F.when(F.map_contains_key(payload, attribute), F.element_at(payload, attribute)).otherwise(F.lit(""))
 
 
-def normalized_keys(entries: Column) -> Column:
-    return F.array_distinct(F.transform(entries, lambda e: F.lower(jtrim(e["key"]))))
+def normalized_keys(payload: Column) -> Column:
+    return F.array_distinct(F.transform(F.map_keys(payload), lambda k: F.lower(jtrim(k))))
 
 
 def platform_gate(attr_platform: Column, event_platform: Column) -> Column:
@@ -95,20 +100,20 @@ def url_attribute_fields(attr: Column, value: Column) -> Column:
     return F.when(ok, url_fields(value, attr["ps"], attr["es_ps"])).otherwise(_empty_entries())
 
 
-def mapped_fields(entries: Column, attrs: Column | str, plateform: Column | str) -> Column:
+def mapped_fields(payload: Column, attrs: Column | str, plateform: Column | str) -> Column:
     """Derived fields of all applicable mapping attributes, in apply order.
 
     ``attrs`` is the event's mapping array sorted by attribute (null when the
     event has no mapping).
     """
     attrs = F.coalesce(_col(attrs), F.array().cast(MAPPING_ATTR_TYPE))
-    keys = normalized_keys(entries)
+    keys = normalized_keys(payload)
     plateform = _col(plateform)
     applicable = F.filter(attrs, lambda a: F.array_contains(keys, a["attribute"])
                           & platform_gate(a["plateform"], plateform))
 
     def fields(a: Column) -> Column:
-        v = attribute_value(entries, a["attribute"])
+        v = attribute_value(payload, a["attribute"])
         return (F.when(a["datatype"] == "string", string_fields(a, v))
                 .when(a["datatype"] == "url", url_attribute_fields(a, v))
                 .otherwise(_empty_entries()))
@@ -128,7 +133,7 @@ def with_source_text(df: DataFrame, plateform: str, content: str, out: str) -> D
     d = df.withColumn("__pairs", ios_pairs(content))
     c = F.col(content)
     is_ios = F.coalesce(F.col(plateform) == F.lit("ios"), F.lit(False)) & ~is_blank(c)
-    d = d.withColumn(out, F.when(is_ios & (F.size("__pairs") > 0), entries_json(F.col("__pairs")))
+    d = d.withColumn(out, F.when(is_ios & (F.size("__pairs") > 0), entries_json(F.col("__pairs"), unique=True))
                      .otherwise(c))
     return d.drop("__pairs")
 
@@ -141,7 +146,7 @@ def with_event_payload(df: DataFrame, plateform: str = "plateform", content: str
     so every intermediate is computed once per row and stays in codegen.
     """
     d = with_source_text(df, plateform, content, "__src")
-    d = d.withColumn("__ents", payload_entries("__src"))
+    d = d.withColumn("__ents", payload_map("__src"))
     d = d.withColumn("__derived", mapped_fields(F.col("__ents"), attrs, plateform))
     d = d.withColumn(out, merge_payload("__src", F.col("__derived")))
     return d.drop("__src", "__ents", "__derived")

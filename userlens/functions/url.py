@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .entries import entries_json, entry
+from .entries import entries_json, entry, kv_pairs
 from .text import java_split, jtrim
 
 # URL shapes accepted and the pieces extracted from them.
@@ -44,16 +44,14 @@ def url_domain_path(u: Column | str) -> dict[str, Column]:
     return {"domain": F.when(ok, url_domain(u)), "path": F.when(ok, url_path(u))}
 
 
+def query_text(u: Column | str) -> Column:
+    """Text between the first and second ``?`` ('' when there is none)."""
+    return F.regexp_extract(_col(u), r"^[^?]*\?([^?]*)", 1)
+
+
 def raw_query_pairs(u: Column | str) -> Column:
-    """``array<struct<name,value>>`` of the params with exactly one ``=``."""
-    parts = java_split(_col(u), r"\?")
-    query = F.when(F.size(parts) > 1, F.get(parts, 1))
-    params = F.transform(java_split(F.coalesce(query, F.lit("")), "&"),
-                         lambda p: java_split(p, "="))
-    pairs = F.filter(params, lambda kv: F.size(kv) == 2)
-    out = F.transform(pairs, lambda kv: F.struct(F.get(kv, 0).alias("name"), F.get(kv, 1).alias("value")))
-    return F.when(query.isNotNull(), out).otherwise(
-        F.array().cast("array<struct<name:string,value:string>>"))
+    """``array<struct<key,value>>`` of the params with exactly one ``=``."""
+    return kv_pairs(query_text(u), "&")
 
 
 def rename_pairs(ps: Column | str, es_ps: Column | str) -> Column:
@@ -78,7 +76,7 @@ def renamed_query_params(u: Column | str, ps: Column | str, es_ps: Column | str)
         hits = F.filter(renames, lambda r: r["ps"] == name)
         return F.try_element_at(hits, F.lit(-1))["es"]
 
-    named = F.transform(pairs, lambda p: F.struct(target(p["name"]).alias("key"), p["value"].alias("value")))
+    named = F.transform(pairs, lambda p: F.struct(target(p["key"]).alias("key"), p["value"].alias("value")))
     return F.filter(named, lambda e: e["key"].isNotNull() & (jtrim(e["key"]) != ""))
 
 

@@ -22,6 +22,7 @@ from ..operators.filters import (filter_bad_registration_lines, identified_event
 from ..operators.joins import DEFAULT_BROADCAST_ROWS, anti_join_new_orders, join_event_mapping
 from ..operators.keyed import dedup_by_key, write_keyed
 from ..operators.mapping import build_event_mapping
+from ..operators.partitioning import ensure_parallelism
 from ..sources import scans
 
 # ---- log documents --------------------------------------------------------
@@ -55,7 +56,7 @@ def log_documents(logs: DataFrame, mapping: DataFrame,
     The mapping is broadcast (size-checked); the only shuffle is the dedup
     aggregate on the document key, which combines map-side.
     """
-    kept = logs.where(identified_event())
+    kept = ensure_parallelism(logs.where(identified_event()))
     joined = join_event_mapping(kept, mapping, max_broadcast_rows)
     with_payload = with_event_payload(joined).drop("attrs")
     docs = project_log_document(with_payload)
@@ -169,7 +170,7 @@ def run_load_users_incremental(spark: SparkSession, jdbc_url: str, table: str, t
 
 def idcard_documents(rows: DataFrame, as_of: str) -> DataFrame:
     """``(uid, idcard)`` -> enriched, valid rows only. Column expressions only."""
-    rows = rows.select(F.col("uid").cast("long").alias("uid"), "idcard")
+    rows = ensure_parallelism(rows.select(F.col("uid").cast("long").alias("uid"), "idcard"))
     # valid_only is ``filter_valid_idcards`` decided up front on the flag.
     return idc.with_enriched_idcard(rows, as_of, valid_only=True)
 

@@ -15,9 +15,10 @@ from pyspark.sql import functions as F
 from ..functions import idcard as idc
 from ..functions.keys import event_key
 from ..functions.entries import entries_json
-from ..functions.payload import (attribute_value, ios_pairs, mapped_fields, normalized_keys,
-                                 parse_payload, payload_entries, payload_json, with_event_payload,
+from ..functions.payload import (attribute_value, ios_pairs, mapped_fields, merge_payload,
+                                 normalized_keys, parse_payload, payload_json, payload_map,
                                  with_source_text)
+from ..operators.partitioning import ensure_parallelism
 from ..functions.text import jtrim
 from ..functions.time import epoch_ms_time_string, event_clock
 from ..functions.url import raw_query_pairs, renamed_query_params, url_domain_path, url_fields_map
@@ -65,7 +66,7 @@ def log_event_clock(spark, sf):
 
 
 def payload_ios_pairs(spark, sf):
-    d = _logs(spark, sf).select("begintime", "plateform", "eventcontent")
+    d = ensure_parallelism(_logs(spark, sf).select("begintime", "plateform", "eventcontent"))
     d = with_source_text(d.withColumn("__kv", ios_pairs("eventcontent")),
                          "plateform", "eventcontent", "source")
     return d.select(
@@ -77,8 +78,8 @@ def payload_ios_pairs(spark, sf):
 
 
 def payload_json_values(spark, sf):
-    logs = with_source_text(_logs(spark, sf), "plateform", "eventcontent", "source")
-    logs = logs.select("begintime", "source", payload_entries("source").alias("__ents"),
+    logs = with_source_text(ensure_parallelism(_logs(spark, sf)), "plateform", "eventcontent", "source")
+    logs = logs.select("begintime", "source", payload_map("source").alias("__ents"),
                        parse_payload("source").isNotNull().alias("is_object"))
     ents, is_obj = F.col("__ents"), F.col("is_object")
     return logs.select(
@@ -97,12 +98,12 @@ def event_mapping(spark, sf):
 
 def log_mapped_attributes(spark, sf):
     logs = _logs(spark, sf)
-    j = join_event_mapping(logs, _mapping(spark, sf))
+    j = join_event_mapping(ensure_parallelism(logs), _mapping(spark, sf))
     j = with_source_text(j, "plateform", "eventcontent", "__src")
-    j = j.withColumn("__n", F.size(mapped_fields(payload_entries("__src"), "attrs", "plateform")))
-    j = with_event_payload(j)
-    return j.select("begintime", "uid", "eventid", "plateform", F.col("__n").alias("n_fields"),
-                    payload_json("eventcontent").alias("eventcontent"))
+    j = j.withColumn("__ents", payload_map("__src"))
+    j = j.withColumn("__d", mapped_fields(F.col("__ents"), "attrs", "plateform"))
+    return j.select("begintime", "uid", "eventid", "plateform", F.size("__d").alias("n_fields"),
+                    payload_json(merge_payload("__src", F.col("__d"))).alias("eventcontent"))
 
 
 def url_domain_path_q(spark, sf):
@@ -118,7 +119,7 @@ def url_query_params(spark, sf):
     as_text = lambda arr, k, v: F.array_join(F.transform(arr, lambda p: F.concat(p[k], F.lit("="), p[v])), "&")
     return pages.select(
         "page_id", F.size(raw).alias("n_params"),
-        as_text(raw, "name", "value").alias("raw_params"),
+        as_text(raw, "key", "value").alias("raw_params"),
         as_text(renamed, "key", "value").alias("renamed"),
         url_fields_map("url", F.lit(URL_PS), F.lit(URL_ES_PS)).alias("fields"))
 

@@ -18,6 +18,7 @@ from pyspark.sql import SparkSession
 # runtime, which is what keeps one hot key from owning a whole task.
 DEFAULT_CONF = {
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
