@@ -449,13 +449,13 @@ def _sql() -> dict[str, str]:
     out["log_documents"] = (
         f"WITH {LOGS}, {SRC}, {MAPPING}, {PAYLOAD}, docs AS ("
         f" SELECT {event_key} AS _id, coalesce(uid, 0) AS uid, deviceid, plateform, coalesce(eventid, 0) AS eventid,"
-        f" p.eventcontent, coalesce(begintime, 0) AS begintime, coalesce(uploadtime, 0) AS uploadtime, ip, version,"
+        f" p.eventcontent, s.eventcontent AS raw, coalesce(begintime, 0) AS begintime, coalesce(uploadtime, 0) AS uploadtime, ip, version,"
         f" pmenu, menu, net, channel, client, os, p_day,"
         f" CAST(hour(make_timestamp(begintime * 1000)) AS INTEGER) AS hour,"
         f" CAST(minute(make_timestamp(begintime * 1000)) AS INTEGER) AS minute, {_ms_text('begintime')} AS eventtime"
         f" FROM src s JOIN payload p ON s.eid = p.eid"
         f" WHERE {identified} AND p_day BETWEEN '{all_lo}' AND '{all_hi}')"
-        f" SELECT * FROM docs QUALIFY row_number() OVER (PARTITION BY _id ORDER BY uploadtime DESC, eventcontent DESC) = 1")
+        f" SELECT * EXCLUDE (raw) FROM docs QUALIFY row_number() OVER (PARTITION BY _id ORDER BY uploadtime DESC, raw DESC) = 1")
     out["orders_except_keys"] = f"WITH {_trade()} SELECT uuid FROM trade EXCEPT SELECT _id AS uuid FROM existing"
     out["orders_semi_join"] = (
         f"WITH {_trade()}, nk AS (SELECT uuid FROM trade EXCEPT SELECT _id AS uuid FROM existing) "

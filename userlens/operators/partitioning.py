@@ -12,6 +12,11 @@ def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> Data
     Only when the input has fewer splits than that (a handful of small files)
     is a round-robin repartition added; a large input already has many
     splits and is returned unchanged, so no shuffle is added at scale.
+
+    Use it on scan-side frames: asking a frame that already contains a
+    shuffle for its partition count makes adaptive execution run that
+    shuffle while the query is still being built. Post-shuffle stages get
+    their parallelism from ``spark.sql.shuffle.partitions`` instead.
     """
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= target:

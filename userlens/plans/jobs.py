@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import idcard as idc
 from ..functions.keys import event_key
-from ..functions.payload import payload_json, with_event_payload
+from ..functions.payload import with_event_payload
 from ..functions.text import null_to_empty_trim, normalize_platform
 from ..functions.time import epoch_ms_time_string, event_clock, registration_day_time, time_string
 from ..operators.aggregates import collect_track, first_use, high_water_column
@@ -27,6 +27,9 @@ from ..sources import scans
 
 # ---- log documents --------------------------------------------------------
 
+LOG_SOURCE_COLUMNS = ["uid", "deviceid", "plateform", "eventid", "eventcontent", "begintime",
+                      "uploadtime", "ip", "version", "pmenu", "menu", "net", "channel", "client",
+                      "os", "p_day"]
 LOG_DOCUMENT_FIELDS = ["uid", "deviceid", "plateform", "eventid", "eventcontent", "begintime",
                        "uploadtime", "ip", "version", "pmenu", "menu", "net", "channel", "client",
                        "os", "p_day", "hour", "minute", "eventtime"]
@@ -36,7 +39,7 @@ def project_log_document(df: DataFrame) -> DataFrame:
     """``_id`` plus the 19 document fields (``subplateform`` is not written)."""
     clock = event_clock("begintime")
     return df.select(
-        event_key("uid", "deviceid", "eventid", "begintime").alias("_id"),
+        "_id",
         F.coalesce(F.col("uid"), F.lit(0)).cast("long").alias("uid"),
         "deviceid", "plateform",
         F.coalesce(F.col("eventid"), F.lit(0)).cast("int").alias("eventid"),
@@ -51,16 +54,20 @@ def project_log_document(df: DataFrame) -> DataFrame:
 
 def log_documents(logs: DataFrame, mapping: DataFrame,
                   max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """scan -> identified filter -> mapping lookup -> payload -> key -> dedup.
+    """identified filter -> key -> dedup -> mapping lookup -> payload -> project.
 
-    The mapping is broadcast (size-checked); the only shuffle is the dedup
-    aggregate on the document key, which combines map-side.
+    The only shuffle is the dedup on the document key, done on the raw log
+    columns with a map-side partial ``max_by`` (latest ``uploadtime``, then
+    the whole raw row), so a repeated key never concentrates raw rows in one
+    task. The payload is then built once per surviving document, after a
+    broadcast (size-checked) lookup of the event's mapping.
     """
-    kept = ensure_parallelism(logs.where(identified_event()))
-    joined = join_event_mapping(kept, mapping, max_broadcast_rows)
-    with_payload = with_event_payload(joined).drop("attrs")
-    docs = project_log_document(with_payload)
-    return dedup_by_key(docs, "_id", [F.col("uploadtime"), payload_json("eventcontent")])
+    kept = ensure_parallelism(logs.where(identified_event())).withColumn(
+        "_id", event_key("uid", "deviceid", "eventid", "begintime"))
+    cols = ["_id"] + [c for c in LOG_SOURCE_COLUMNS if c in kept.columns]
+    latest = dedup_by_key(kept.select(*cols), "_id", [F.coalesce(F.col("uploadtime"), F.lit(0))])
+    joined = join_event_mapping(latest, mapping, max_broadcast_rows)
+    return project_log_document(with_event_payload(joined).drop("attrs"))
 
 
 def build_log_documents(spark: SparkSession, src, start_day: str, end_day: str,

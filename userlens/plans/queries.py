@@ -8,6 +8,7 @@ elements so they compare equal across engines.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,7 +42,10 @@ IDCARD_AS_OF = "2024-06-30"
 URL_PS, URL_ES_PS = "page,ref,utm_source", "page_no,ref_code"
 
 
+@lru_cache(maxsize=16)
 def _logs(spark, sf):
+    """Derived inputs are plain (lazy) DataFrames; building one is pure
+    driver-side work, so they are built once per session and table folder."""
     return derived.behaviour_logs(spark, sf)
 
 
@@ -88,6 +92,7 @@ def payload_json_values(spark, sf):
         *[F.when(is_obj, attribute_value(ents, F.lit(a))).alias(f"{a}_value") for a in ("k", "url", "uid")])
 
 
+@lru_cache(maxsize=16)
 def _mapping(spark, sf):
     return build_event_mapping(*derived.mapping_tables(_logs(spark, sf)))
 
@@ -130,6 +135,7 @@ def log_documents(spark, sf):
     return docs.withColumn("eventcontent", payload_json("eventcontent"))
 
 
+@lru_cache(maxsize=16)
 def _orders(spark, sf):
     return derived.trade_orders(spark, sf)
 
@@ -192,6 +198,7 @@ def tracks_by_user(spark, sf):
     return t.select("uid", F.to_json("base_track").alias("base_track"))
 
 
+@lru_cache(maxsize=16)
 def _idcards(spark, sf):
     return derived.idcard_numbers(spark, sf)
 

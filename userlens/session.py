@@ -25,6 +25,10 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Python call-site capture on every Column call makes building the
+    # (large) expression trees several times slower; errors still carry the
+    # JVM-side context.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
