@@ -19,7 +19,7 @@ from ..functions.time import epoch_ms_time_string, event_clock, registration_day
 from ..operators.aggregates import collect_track, first_use, high_water_column
 from ..operators.filters import (filter_bad_registration_lines, identified_event,
                                  quarantine_bad_lines)
-from ..operators.joins import DEFAULT_BROADCAST_ROWS, anti_join_new_orders, join_event_mapping
+from ..operators.joins import DEFAULT_BROADCAST_ROWS, join_event_mapping
 from ..operators.keyed import dedup_by_key, write_keyed
 from ..operators.mapping import build_event_mapping
 from ..operators.partitioning import ensure_parallelism
@@ -98,11 +98,14 @@ def project_order_document(df: DataFrame) -> DataFrame:
 def new_order_documents(recent: DataFrame, existing_keys: DataFrame) -> DataFrame:
     """Orders not yet in the target, one document per uuid.
 
-    One anti join on uuid (shuffle on both sides, or broadcast of the key
-    side when AQE sees it small) and one dedup aggregate.
+    Dedup first (partial aggregate per task, so a repeated uuid never piles
+    up raw rows), then one anti join on uuid that reuses the dedup's hash
+    partitioning on the order side; the key side is broadcast only when
+    Catalyst's size statistics allow it.
     """
-    new = anti_join_new_orders(recent, existing_keys)
-    return dedup_by_key(project_order_document(new), "_id")
+    docs = dedup_by_key(project_order_document(recent.where(F.col("uuid").isNotNull())), "_id")
+    keys = existing_keys.select(F.col("uuid").alias("_id"))
+    return docs.join(keys, "_id", "left_anti")
 
 
 def sync_new_orders(spark: SparkSession, orders_src, target_src, as_of: str, days: int = 2) -> DataFrame:
