@@ -30,6 +30,17 @@ def dedup_last(entries: Column) -> Column:
                     | (i + 1 == n))
 
 
+def unique_map(entries: Column) -> Column:
+    """Map of entries where a repeated key keeps its last value.
+
+    Fast path: when the keys are already distinct (a native check) the
+    entries become the map directly and the dedup lambda is skipped.
+    """
+    keys = F.transform(entries, lambda e: e["key"])
+    distinct = F.size(F.array_distinct(keys)) == F.size(entries)
+    return F.map_from_entries(F.when(distinct, entries).otherwise(dedup_last(entries)))
+
+
 def entries_json(entries: Column, unique: bool = False) -> Column:
     """JSON object text of entries, keys sorted (stable document text).
 

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .entries import dedup_last, empty_entries as _empty_entries, entries_json, entry as _entry, kv_pairs
+from .entries import dedup_last, empty_entries as _empty_entries, entries_json, entry as _entry, kv_pairs, unique_map
 from .text import is_blank, jtrim
 from .url import url_fields, url_ok
 
@@ -66,7 +66,7 @@ def payload_entries(source: Column | str) -> Column:
 def payload_map(source: Column | str) -> Column:
     """Parsed payload as a map with unique keys (a repeated key keeps its
     last value, like the JSON reader of the jobs); empty when absent."""
-    return F.map_from_entries(dedup_last(payload_entries(source)))
+    return unique_map(payload_entries(source))
 
 
 def attribute_value(payload: Column, attribute: Column) -> Column:
@@ -125,14 +125,14 @@ def merge_payload(source: Column | str, derived: Column) -> Column:
     """``source`` plus derived fields as one map; later writes win."""
     source = _col(source)
     head = F.when(source.isNotNull(), F.array(_entry(F.lit("source"), source))).otherwise(_empty_entries())
-    return F.map_from_entries(dedup_last(F.concat(head, derived)))
+    return unique_map(F.concat(head, derived))
 
 
 def with_source_text(df: DataFrame, plateform: str, content: str, out: str) -> DataFrame:
     """Add ``out`` = ``source_text``; the iOS pairs are computed once."""
-    d = df.withColumn("__pairs", ios_pairs(content))
     c = F.col(content)
     is_ios = F.coalesce(F.col(plateform) == F.lit("ios"), F.lit(False)) & ~is_blank(c)
+    d = df.withColumn("__pairs", F.when(is_ios, ios_pairs(content)))
     d = d.withColumn(out, F.when(is_ios & (F.size("__pairs") > 0), entries_json(F.col("__pairs"), unique=True))
                      .otherwise(c))
     return d.drop("__pairs")

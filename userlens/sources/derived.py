@@ -16,13 +16,16 @@ from pyspark.sql import functions as F
 
 from ..functions.idcard import check_code, power_sum
 from ..functions.time import day_string, ts_to_epoch_ms
+from ..operators.partitioning import ensure_parallelism
 from ..session import table_path
 
 EVENT_IDS = {"click": 1, "error": 2, "purchase": 3, "signup": 4, "view": 5}
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(table_path(sf_dir, name))
+    """A driver table; spread over the cluster's cores when it is only a
+    handful of splits (no-op for a large, many-file table)."""
+    return ensure_parallelism(spark.read.parquet(table_path(sf_dir, name)))
 
 
 def _event_url(e):
