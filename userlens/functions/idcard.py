@@ -243,3 +243,21 @@ def with_enriched_idcard(df: DataFrame, as_of: str, col: str = "idcard",
     }
     keep = [c for c in df.columns if c != col]
     return d.select(*keep, *[c.alias(n) for n, c in fields.items()])
+
+
+# Blueprint operator names.
+idcard_is_digits = is_digits
+idcard_power_sum = power_sum
+idcard_check_code = check_code
+idcard_valid_18 = valid_18
+idcard_15_to_18 = with_converted_15
+idcard_valid_any = valid_any
+idcard_valid_15_strict = with_valid_15_strict
+idcard_format_any = format_any
+idcard_format_15 = format_15
+idcard_format_18 = format_18
+idcard_province = province_name
+join_province = province_name
+idcard_gender = gender_of
+idcard_birthday = birthday_of
+enrich_idcards = with_enriched_idcard

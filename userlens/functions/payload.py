@@ -155,3 +155,12 @@ def with_event_payload(df: DataFrame, plateform: str = "plateform", content: str
 def payload_json(payload: Column | str) -> Column:
     """Map to JSON text with sorted keys."""
     return F.to_json(F.map_from_entries(F.array_sort(F.map_entries(_col(payload)))))
+
+
+# Blueprint operator names.
+ios_content_to_map = ios_pairs
+wrap_source = source_text
+normalize_attribute_key = normalized_keys
+gate_by_platform = platform_gate
+map_string_attribute = string_fields
+map_url_attribute = url_attribute_fields

@@ -90,3 +90,8 @@ def url_fields_map(u: Column | str, ps: Column | str, es_ps: Column | str) -> Co
     """Those entries as JSON text (sorted keys, last write wins); null when
     the URL is not parsable."""
     return F.when(url_ok(u), entries_json(url_fields(u, ps, es_ps)))
+
+
+# Blueprint operator names.
+url_query_params = raw_query_pairs
+rename_query_params = renamed_query_params

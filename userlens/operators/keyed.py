@@ -140,3 +140,13 @@ def write_keyed(spark: SparkSession, incoming: DataFrame, root: str, key: str,
 def write_documents(incoming: DataFrame, fmt: str, options: dict[str, str]) -> None:
     """Hand documents to an external keyed store through its Spark connector."""
     incoming.write.format(fmt).options(**options).mode("append").save()
+
+
+def write_replace_by_key(spark: SparkSession, incoming: DataFrame, root: str, key: str) -> str:
+    """Keyed write where a document replaces the old one on key collision."""
+    return write_keyed(spark, incoming, root, key, mode="replace")
+
+
+def write_upsert_by_key(spark: SparkSession, incoming: DataFrame, root: str, key: str) -> str:
+    """Keyed write where supplied fields overwrite and the rest survive."""
+    return write_keyed(spark, incoming, root, key, mode="upsert")

@@ -251,4 +251,11 @@ __all__ = [
     "user_tracks", "build_user_tracks", "run_build_user_tracks",
     "device_documents", "sync_recent_devices", "run_sync_recent_devices", "project_device_base",
     "build_event_mapping", "DEFAULT_BROADCAST_ROWS",
+    "load_users_bulk", "load_users_incremental", "enrich_user_idcards",
 ]
+
+
+# Blueprint job names.
+load_users_bulk = users_bulk
+load_users_incremental = users_incremental
+enrich_user_idcards = idcard_documents
