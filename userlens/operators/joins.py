@@ -7,6 +7,8 @@ a shuffle join (AQE splits skewed partitions of the big side at runtime).
 
 from __future__ import annotations
 
+import weakref
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,14 +17,19 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_ROWS = 200_000
 
 
+_checked: "weakref.WeakKeyDictionary[DataFrame, dict[int, bool]]" = weakref.WeakKeyDictionary()
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
     """``(broadcast(df), True)`` when ``df`` has at most ``max_rows`` rows.
 
     The check counts at most ``max_rows + 1`` rows, so it never scans more
-    than the bound it is checking.
+    than the bound it is checking; the answer is remembered per frame.
     """
-    n = df.limit(max_rows + 1).count()
-    if n <= max_rows:
+    seen = _checked.setdefault(df, {})
+    if max_rows not in seen:
+        seen[max_rows] = df.limit(max_rows + 1).count() <= max_rows
+    if seen[max_rows]:
         return F.broadcast(df), True
     return df, False
 
@@ -34,8 +41,8 @@ def join_event_mapping(logs: DataFrame, mapping: DataFrame,
     ``mapping`` has one row per action, so the fact side never fans out.
     Event ids are INT, actions BIGINT: the key is widened on the log side.
     """
-    side, _ = bounded_broadcast(mapping.select(F.col("action_id").alias("__action"), "attrs"),
-                                max_broadcast_rows)
+    small, _ = bounded_broadcast(mapping, max_broadcast_rows)
+    side = small.select(F.col("action_id").alias("__action"), "attrs")
     joined = logs.join(side, F.col("eventid").cast("long") == F.col("__action"), "left")
     return joined.drop("__action")
 
