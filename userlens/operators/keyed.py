@@ -4,7 +4,7 @@ A target is a keyed snapshot table. A write never overwrites the directory
 being read: the merged result goes to a new version directory and the
 ``_current`` pointer is switched afterwards.
 
-Both merges need exactly one shuffle join on the key. Incoming rows are
+Both merges are exactly one (full outer) shuffle join on the key. Incoming rows are
 deduplicated by key first (an aggregate with map-side combine), so after that
 every key occurs at most once per side and no key can skew the join.
 """
@@ -53,12 +53,11 @@ def as_documents(df: DataFrame, key: str, fields: dict[str, Column] | list[str],
 def merge_replace(target: DataFrame, incoming: DataFrame, key: str) -> DataFrame:
     """Replace semantics: an incoming document replaces the whole old one.
 
-    Old documents without an incoming key survive as they are; columns only
-    one side has are null-filled on the other.
+    Old documents without an incoming key survive as they are; a replaced
+    document keeps none of its old fields (columns the incoming side lacks
+    become null).
     """
-    incoming = dedup_by_key(incoming, key)
-    survivors = target.join(incoming.select(key), key, "left_anti")
-    return survivors.unionByName(incoming, allowMissingColumns=True)
+    return _merge(target, incoming, key, keep_unsupplied=False)
 
 
 def merge_upsert(target: DataFrame, incoming: DataFrame, key: str) -> DataFrame:
@@ -67,6 +66,11 @@ def merge_upsert(target: DataFrame, incoming: DataFrame, key: str) -> DataFrame:
     A supplied null is written as null (presence, not value, decides), so
     ``coalesce`` is not used. Missing documents are inserted.
     """
+    return _merge(target, incoming, key, keep_unsupplied=True)
+
+
+def _merge(target: DataFrame, incoming: DataFrame, key: str, keep_unsupplied: bool) -> DataFrame:
+    """One full outer join on the key; each side is read once."""
     incoming = dedup_by_key(incoming, key)
     inc_cols = [c for c in incoming.columns if c != key]
     old_cols = [c for c in target.columns if c != key]
@@ -79,8 +83,10 @@ def merge_upsert(target: DataFrame, incoming: DataFrame, key: str) -> DataFrame:
     for c in old_cols:
         if c in inc_cols:
             out.append(F.when(present, F.col(f"__new_{c}")).otherwise(F.col(f"__old_{c}")).alias(c))
-        else:
+        elif keep_unsupplied:
             out.append(F.col(f"__old_{c}").alias(c))
+        else:
+            out.append(F.when(present, F.lit(None)).otherwise(F.col(f"__old_{c}")).alias(c))
     for c in inc_cols:
         if c not in old_cols:
             out.append(F.col(f"__new_{c}").alias(c))
