@@ -257,7 +257,7 @@ def _trade() -> str:
     '1x1' AS bunch, '1.5' AS betsp, '2.0' AS winsp, o_totalprice AS money,
     strftime(o_orderdate, '%Y-%m-%d') AS p_day
   FROM orders),
-existing AS (SELECT uuid AS _id, p_day FROM trade WHERE schemeid % 30 = 0 AND uuid IS NOT NULL)"""
+existing AS (SELECT uuid AS _id, p_day FROM trade WHERE matchresult = 'F' AND uuid IS NOT NULL)"""
 
 
 USERS = """users AS (

@@ -115,3 +115,23 @@ def test_snapshot_roundtrip(spark, tmp_path):
     K.write_keyed(spark, b, root, "uid", mode="upsert")
     cur = {r["uid"]: r["name"] for r in K.read_snapshot(spark, root).collect()}
     assert cur == {1: "a", 2: "B", 3: "c"}
+
+
+def test_order_sync_appends_only_new(spark, tmp_path):
+    root = str(tmp_path / "orders")
+    cols = ", ".join(f"{c} string" for c in ["uuid", "issueno", "betnumber", "hteam", "vteam", "tournamentname",
+                                             "matchresult", "platformcode", "bunch", "betsp", "winsp", "p_day"])
+    schema = (f"{cols}, uid long, schemeid long, lotteryid int, playtypeid int, superplaytypeid int, hteamid int, "
+              "vteamid int, tournamentid long, iswin int, datetime timestamp, multiple int, money double")
+
+    def orders(ids, day):
+        import datetime as dt
+        return spark.createDataFrame(
+            [dict(uuid=i, issueno="x", betnumber="b", hteam="h", vteam="v", tournamentname="t", matchresult="m",
+                  platformcode="p", bunch="1", betsp="1", winsp="1", p_day=day, uid=1, schemeid=1, lotteryid=1,
+                  playtypeid=1, superplaytypeid=1, hteamid=1, vteamid=1, tournamentid=1, iswin=0,
+                  datetime=dt.datetime(2024, 1, 1), multiple=1, money=1.0) for i in ids], schema)
+    jobs.run_sync_new_orders(spark, orders(["a", "b"], "2024-01-30"), root, "2024-01-31")
+    jobs.run_sync_new_orders(spark, orders(["a", "b", "c"], "2024-01-30"), root, "2024-01-31")
+    got = sorted(r["_id"] for r in K.read_snapshot(spark, root).collect())
+    assert got == ["a", "b", "c"]

@@ -111,36 +111,55 @@ def read_snapshot(spark: SparkSession, root: str) -> DataFrame | None:
 
 
 def write_snapshot(spark: SparkSession, df: DataFrame, root: str, key: str | None = None,
-                   num_partitions: int | None = None) -> str:
+                   num_partitions: int | None = None, partition_by: str | None = None) -> str:
     """Write ``df`` as a new version and switch the pointer to it.
 
     With ``key`` the rows are hash-partitioned and sorted by key inside each
     file, which keeps files balanced and key lookups cheap on the next merge.
+    ``partition_by`` (e.g. ``p_day``) lays the version out in folders so
+    scans with a bound on that column prune whole folders.
     """
     version = f"{root.rstrip('/')}/v{int(time.time() * 1000)}-{_uuid.uuid4().hex[:8]}"
     out = df
     if key is not None:
         out = (out.repartition(num_partitions, key) if num_partitions else out.repartition(key))
         out = out.sortWithinPartitions(key)
-    out.write.mode("errorifexists").parquet(version)
+    writer = out.write.mode("errorifexists")
+    if partition_by:
+        writer = writer.partitionBy(partition_by)
+    writer.parquet(version)
     spark.createDataFrame([(version,)], "path string").coalesce(1) \
         .write.mode("overwrite").text(_pointer(root))
     return version
 
 
 def write_keyed(spark: SparkSession, incoming: DataFrame, root: str, key: str,
-                mode: str = "replace") -> str:
-    """Merge ``incoming`` into the snapshot table at ``root`` (replace/upsert)."""
+                mode: str = "replace", partition_by: str | None = None) -> str:
+    """Merge ``incoming`` into the snapshot table at ``root``.
+
+    ``replace`` / ``upsert`` rewrite the table as a new version (one full
+    outer join on the key). ``append_new`` is for incoming documents whose
+    keys are known to be absent from the target (the order sync removes
+    existing keys itself): their files are added to the current version, so
+    a run costs only its own rows.
+    """
     old = read_snapshot(spark, root)
     if old is None:
-        merged = dedup_by_key(incoming, key)
-    elif mode == "upsert":
+        return write_snapshot(spark, dedup_by_key(incoming, key), root, key, partition_by=partition_by)
+    if mode == "append_new":
+        current = spark.read.text(_pointer(root)).first()[0].strip()
+        writer = dedup_by_key(incoming, key).write.mode("append")
+        if partition_by:
+            writer = writer.partitionBy(partition_by)
+        writer.parquet(current)
+        return current
+    if mode == "upsert":
         merged = merge_upsert(old, incoming, key)
     elif mode == "replace":
         merged = merge_replace(old, incoming, key)
     else:
         raise ValueError(f"unknown write mode {mode!r}")
-    return write_snapshot(spark, merged, root, key)
+    return write_snapshot(spark, merged, root, key, partition_by=partition_by)
 
 
 def write_documents(incoming: DataFrame, fmt: str, options: dict[str, str]) -> None:

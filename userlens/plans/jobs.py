@@ -122,7 +122,9 @@ def run_sync_new_orders(spark: SparkSession, orders_src, target_root: str, as_of
     if old is None:
         old = spark.createDataFrame([], "_id string, p_day string")
     docs = sync_new_orders(spark, orders_src, old, as_of, days)
-    return write_keyed(spark, docs, target_root, "_id", mode="replace")
+    # New orders never collide with existing ids (an order's p_day is fixed
+    # and the anti join removed the ids already present in the window).
+    return write_keyed(spark, docs, target_root, "_id", mode="append_new", partition_by="p_day")
 
 
 # ---- users ----------------------------------------------------------------

@@ -130,9 +130,9 @@ def trade_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def existing_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Target snapshot of already-synced orders: every third order key."""
+    """Target snapshot of already-synced orders: the finished ones."""
     t = trade_orders(spark, sf_dir)
-    keep = (F.col("schemeid") % 30 == 0) & F.col("uuid").isNotNull()
+    keep = (F.col("matchresult") == "F") & F.col("uuid").isNotNull()
     return t.where(keep).select(F.col("uuid").alias("_id"), "p_day")
 
 
