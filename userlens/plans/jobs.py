@@ -22,7 +22,6 @@ from ..operators.filters import (filter_bad_registration_lines, identified_event
 from ..operators.joins import DEFAULT_BROADCAST_ROWS, join_event_mapping
 from ..operators.keyed import dedup_by_key, write_keyed
 from ..operators.mapping import build_event_mapping
-from ..operators.partitioning import ensure_parallelism
 from ..sources import scans
 
 # ---- log documents --------------------------------------------------------
@@ -62,7 +61,7 @@ def log_documents(logs: DataFrame, mapping: DataFrame,
     task. The payload is then built once per surviving document, after a
     broadcast (size-checked) lookup of the event's mapping.
     """
-    kept = ensure_parallelism(logs.where(identified_event())).withColumn(
+    kept = logs.where(identified_event()).withColumn(
         "_id", event_key("uid", "deviceid", "eventid", "begintime"))
     cols = ["_id"] + [c for c in LOG_SOURCE_COLUMNS if c in kept.columns]
     latest = dedup_by_key(kept.select(*cols), "_id", [F.coalesce(F.col("uploadtime"), F.lit(0))])
@@ -182,7 +181,7 @@ def run_load_users_incremental(spark: SparkSession, jdbc_url: str, table: str, t
 
 def idcard_documents(rows: DataFrame, as_of: str) -> DataFrame:
     """``(uid, idcard)`` -> enriched, valid rows only. Column expressions only."""
-    rows = ensure_parallelism(rows.select(F.col("uid").cast("long").alias("uid"), "idcard"))
+    rows = rows.select(F.col("uid").cast("long").alias("uid"), "idcard")
     # valid_only is ``filter_valid_idcards`` decided up front on the flag.
     return idc.with_enriched_idcard(rows, as_of, valid_only=True)
 

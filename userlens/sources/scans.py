@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.time import days_before
+from ..operators.partitioning import ensure_parallelism
 
 LOG_COLUMNS = ["uid", "deviceid", "plateform", "eventid", "eventcontent", "begintime", "uploadtime",
                "ip", "version", "pmenu", "menu", "net", "channel", "client", "os", "subplateform",
@@ -29,12 +30,17 @@ REGISTRATION_FIELDS = ["uid", "username", "registerdate", "channel", "phone_os",
 
 
 def load(spark: SparkSession, src) -> DataFrame:
-    """DataFrame as is; a path is read as parquet; anything else is a table."""
+    """DataFrame as is; a path is read as parquet; anything else is a table.
+
+    A source read here gets ``ensure_parallelism``: a no-op for a large table,
+    a round-robin spread for a handful of small files feeding the CPU-heavy
+    column work. A DataFrame passed in is the caller's to partition.
+    """
     if isinstance(src, DataFrame):
         return src
     if "/" in src or src.endswith(".parquet"):
-        return spark.read.parquet(src)
-    return spark.table(src)
+        return ensure_parallelism(spark.read.parquet(src))
+    return ensure_parallelism(spark.table(src))
 
 
 def scan_logs_by_day(spark: SparkSession, src, start_day: str, end_day: str) -> DataFrame:
