@@ -135,3 +135,20 @@ def test_order_sync_appends_only_new(spark, tmp_path):
     jobs.run_sync_new_orders(spark, orders(["a", "b", "c"], "2024-01-30"), root, "2024-01-31")
     got = sorted(r["_id"] for r in K.read_snapshot(spark, root).collect())
     assert got == ["a", "b", "c"]
+
+
+def test_cli_runs_bulk_and_tracks(spark, tmp_path):
+    from userlens import cli
+    lines = tmp_path / "users.txt"
+    lines.write_text("1#a#2017-01-02 03:04:05#ch#os#iPhone#v1#p\nx#b#2017-01-02 03:04:05#ch#os#ios#v#p\n")
+    root = str(tmp_path / "user_base")
+    cli.main(["users-bulk", "--path", str(lines), "--target", root, "--quarantine", str(tmp_path / "bad")])
+    logs = spark.createDataFrame([(1, "d1", "c", "v", "ios", 5, "2024-01-01")],
+                                 "uid long, deviceid string, channel string, version string, plateform string, "
+                                 "begintime long, p_day string")
+    src = str(tmp_path / "logs")
+    logs.write.partitionBy("p_day").parquet(src)
+    cli.main(["tracks", "--src", src, "--start", "2024-01-01", "--end", "2024-01-31", "--target", root])
+    got = K.read_snapshot(spark, root).collect()
+    assert len(got) == 1 and got[0]["username"] == "a" and len(got[0]["base_track"]) == 1
+    assert [r[0] for r in spark.read.text(str(tmp_path / "bad")).collect()] == ["x#b#2017-01-02 03:04:05#ch#os#ios#v#p"]

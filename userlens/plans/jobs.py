@@ -134,6 +134,16 @@ def users_bulk(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     return filter_bad_registration_lines(fields), quarantine_bad_lines(fields)
 
 
+def run_load_users_bulk(spark: SparkSession, path: str, target_root: str,
+                        quarantine_path: str | None = None) -> str:
+    """Registration text file -> user documents (replace); bad lines are
+    written to ``quarantine_path`` when given (D8), never dropped silently."""
+    good, bad = users_bulk(spark.read.text(path))
+    if quarantine_path:
+        bad.write.mode("append").text(quarantine_path)
+    return write_keyed(spark, good, target_root, "uid", mode="replace")
+
+
 def project_user_base(users: DataFrame) -> DataFrame:
     """The 9 user fields from database rows: null -> '', trimmed, except
     ``app_version`` which is only null-guarded."""

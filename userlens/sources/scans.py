@@ -43,10 +43,20 @@ def load(spark: SparkSession, src) -> DataFrame:
     return ensure_parallelism(spark.table(src))
 
 
+def day_col(name: str = "p_day"):
+    """A ``yyyy-MM-dd`` day column as text, whether the folders were read as
+    STRING or inferred as DATE (partition filters still prune either way)."""
+    return F.col(name).cast("string")
+
+
+def _with_text_day(df: DataFrame, cols: list[str], name: str = "p_day") -> DataFrame:
+    return df.select(*[day_col(c).alias(c) if c == name else F.col(c) for c in cols])
+
+
 def scan_logs_by_day(spark: SparkSession, src, start_day: str, end_day: str) -> DataFrame:
     """Behaviour logs with ``start_day <= p_day <= end_day`` (string compare)."""
     df = load(spark, src)
-    return df.where(F.col("p_day").between(F.lit(start_day), F.lit(end_day))).select(*LOG_COLUMNS)
+    return _with_text_day(df.where(day_col().between(F.lit(start_day), F.lit(end_day))), LOG_COLUMNS)
 
 
 def scan_footprint_logs(spark: SparkSession, src, start_day: str, end_day: str) -> DataFrame:
@@ -56,26 +66,27 @@ def scan_footprint_logs(spark: SparkSession, src, start_day: str, end_day: str)
     """
     df = load(spark, src)
     cond = ((F.col("uid") > 0) & F.col("deviceid").isNotNull() & (F.col("deviceid") != "")
-            & F.col("p_day").between(F.lit(start_day), F.lit(end_day)))
+            & day_col().between(F.lit(start_day), F.lit(end_day)))
     return df.where(cond).select(*FOOTPRINT_COLUMNS)
 
 
 def scan_recent_orders(spark: SparkSession, src, as_of: str, days: int = 2) -> DataFrame:
     """Orders with ``p_day >= as_of - days``."""
     df = load(spark, src)
-    return df.where(F.col("p_day") >= days_before(as_of, days)).select(*ORDER_COLUMNS)
+    return _with_text_day(df.where(day_col() >= days_before(as_of, days)), ORDER_COLUMNS)
 
 
 def scan_recent_devices(spark: SparkSession, src, as_of: str, days: int = 7) -> DataFrame:
     """Devices with ``registerday >= as_of - days``."""
     df = load(spark, src)
-    return df.where(F.col("registerday") >= days_before(as_of, days)).select(*DEVICE_COLUMNS)
+    return _with_text_day(df.where(day_col("registerday") >= days_before(as_of, days)), DEVICE_COLUMNS,
+                          "registerday")
 
 
 def scan_existing_keys(spark: SparkSession, target, since_day: str, key: str = "_id") -> DataFrame:
     """Keys of target documents with ``p_day >= since_day``; only the key is read."""
     df = load(spark, target)
-    return df.where(F.col("p_day") >= F.lit(since_day)).select(F.col(key).alias("uuid"))
+    return df.where(day_col() >= F.lit(since_day)).select(F.col(key).alias("uuid"))
 
 
 def scan_registration_text(spark: SparkSession, path_or_lines) -> DataFrame:
