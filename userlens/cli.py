@@ -1,6 +1,6 @@
 """Command line: one subcommand per job, for ``spark-submit``.
 
-    spark-submit -m userlens.cli logs --src <logs> --start 2024-01-01 --end 2024-01-02 \\
+    spark-submit userlens/cli.py logs --src <logs> --start 2024-01-01 --end 2024-01-02 \\
         --mapping-url jdbc:... --target <root>
 
 The session comes from the cluster (``getOrCreate``); connection settings are
@@ -10,12 +10,17 @@ passed as ``--opt key=value`` (e.g. ``user``, ``password``, ``driver``).
 from __future__ import annotations
 
 import argparse
+import os
+import sys
 from datetime import datetime, timezone
 
-from pyspark.sql import SparkSession
+if __package__ in (None, ""):  # run as a file (spark-submit userlens/cli.py)
+    sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from .plans import jobs
-from .session import ensure_checkpoint_dir
+from pyspark.sql import SparkSession  # noqa: E402
+
+from userlens.plans import jobs  # noqa: E402
+from userlens.session import ensure_checkpoint_dir  # noqa: E402
 
 
 def _opts(pairs: list[str]) -> dict[str, str]:
