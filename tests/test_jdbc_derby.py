@@ -5,6 +5,7 @@ test's JVM only (no server, no port).
 """
 
 import pytest
+from pyspark.sql import functions as F
 
 from userlens.sources import scans
 
@@ -43,3 +44,42 @@ def test_scan_idcards_partitioned(spark, derby):
     assert df.rdd.getNumPartitions() == 2
     got = sorted(tuple(r) for r in df.collect())
     assert got == [(10, "110105194912310021"), (30, "321023199309173032")]
+
+
+def test_log_job_with_mapping_from_jdbc(spark, derby, tmp_path):
+    from userlens.operators.keyed import read_snapshot
+    from userlens.plans import jobs
+
+    def put(df, table):
+        df = df.toDF(*[c.upper() for c in df.columns])
+        df.write.format("jdbc").option("url", URL).option("dbtable", table).option("driver", DRIVER) \
+            .mode("overwrite").save()
+
+    put(spark.createDataFrame([(3, 30), (3, 31)], "action_id long, template_id long"), "MAPPER")
+    put(spark.createDataFrame([(30,), (31,)], "id long"), "TEMPLATE")
+    put(spark.createDataFrame(
+        [(31, "name", "who", "string", None, None, "all", 1),
+         (31, "url", "link", "url", "x", "fx", "ALL", 1),
+         (30, "name", "old", "string", None, None, "all", 1)],
+        "template_id long, attribute string, target_attribute string, datatype string, ps string, "
+        "es_ps string, plateform string, status int"), "DETAIL")
+    logs = spark.createDataFrame(
+        [(7, None, "h5", 3, '{"name": "a", "url": "http://h/p?x=1"}', 1000, 1001, "2024-01-02"),
+         (0, "", "h5", 3, '{"name": "b"}', 2000, 2001, "2024-01-02"),
+         (8, "d", "ios", 9, "{k=v}", 3000, 3001, "2024-01-03")],
+        "uid long, deviceid string, plateform string, eventid int, eventcontent string, begintime long, "
+        "uploadtime long, p_day string")
+    for c in ["ip", "version", "pmenu", "menu", "net", "channel", "client", "os", "subplateform"]:
+        logs = logs.withColumn(c, F.lit(c))
+    src = str(tmp_path / "logs")
+    logs.write.partitionBy("p_day").parquet(src)
+    mapping_src = {"url": URL, "driver": DRIVER,
+                   "tables": {"mapper": "MAPPER", "template": "TEMPLATE", "detail": "DETAIL"}}
+    root = str(tmp_path / "log_docs")
+    jobs.run_build_log_documents(spark, src, "2024-01-01", "2024-01-31", mapping_src, root)
+    docs = {r["uid"]: r for r in read_snapshot(spark, root).collect()}
+    assert sorted(docs) == [7, 8]
+    assert dict(docs[7]["eventcontent"]) == {"source": '{"name": "a", "url": "http://h/p?x=1"}', "who": "a",
+                                            "domain": "h", "path": "/p", "fx": "1"}
+    assert dict(docs[8]["eventcontent"]) == {"source": '{"k":"v"}'}
+    assert docs[7]["eventtime"] == "1970-01-01 00:00:01" and docs[7]["p_day"] == "2024-01-02"
