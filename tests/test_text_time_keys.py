@@ -1,4 +1,3 @@
-from pyspark.sql import functions as F
 
 from userlens.functions.keys import event_key
 from userlens.functions.text import java_split, jtrim, normalize_platform, null_to_empty_trim

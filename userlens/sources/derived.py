@@ -22,10 +22,17 @@ from ..session import table_path
 EVENT_IDS = {"click": 1, "error": 2, "purchase": 3, "signup": 4, "view": 5}
 
 
+# Tables whose rows feed CPU-heavy column work (the event payload). Only these
+# are spread when they arrive as a handful of splits; for the small dimension
+# tables the extra exchange costs more than the single task it replaces.
+SPREAD_TABLES = {"events"}
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table; spread over the cluster's cores when it is only a
-    handful of splits (no-op for a large, many-file table)."""
-    return ensure_parallelism(spark.read.parquet(table_path(sf_dir, name)))
+    """A driver table; ``events`` is spread over the cluster's cores when it
+    is only a handful of splits (a no-op for a large, many-file table)."""
+    df = spark.read.parquet(table_path(sf_dir, name))
+    return ensure_parallelism(df) if name in SPREAD_TABLES else df
 
 
 def _event_url(e):
