@@ -152,3 +152,13 @@ def test_cli_runs_bulk_and_tracks(spark, tmp_path):
     got = K.read_snapshot(spark, root).collect()
     assert len(got) == 1 and got[0]["username"] == "a" and len(got[0]["base_track"]) == 1
     assert [r[0] for r in spark.read.text(str(tmp_path / "bad")).collect()] == ["x#b#2017-01-02 03:04:05#ch#os#ios#v#p"]
+
+
+def test_merge_paths_agree(spark):
+    old = spark.createDataFrame([(i, f"n{i}", f"t{i}") for i in range(50)], "uid long, name string, tag string")
+    new = spark.createDataFrame([(i, None if i % 2 else f"N{i}") for i in range(40, 60)], "uid long, name string")
+    for merge in (K.merge_upsert, K.merge_replace):
+        small = sorted(tuple(r) for r in merge(old, new, "uid").select("uid", "name", "tag").collect())
+        large = sorted(tuple(r) for r in merge(old, new, "uid", small_increment_rows=0)
+                       .select("uid", "name", "tag").collect())
+        assert small == large and len(small) == 60

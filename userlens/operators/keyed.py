@@ -4,7 +4,9 @@ A target is a keyed snapshot table. A write never overwrites the directory
 being read: the merged result goes to a new version directory and the
 ``_current`` pointer is switched afterwards.
 
-Both merges are exactly one (full outer) shuffle join on the key. Incoming rows are
+A small increment (size-checked) leaves the untouched target rows in place
+via broadcast key lookups; a large one is one full outer shuffle join on the
+key. Incoming rows are
 deduplicated by key first (an aggregate with map-side combine), so after that
 every key occurs at most once per side and no key can skew the join.
 """
@@ -50,28 +52,55 @@ def as_documents(df: DataFrame, key: str, fields: dict[str, Column] | list[str],
     return df.select(F.col(key).alias(id_col), *cols)
 
 
-def merge_replace(target: DataFrame, incoming: DataFrame, key: str) -> DataFrame:
+# Incoming rows up to which a merge leaves the untouched part of the target
+# in place (broadcast key lookups) instead of shuffling the whole target.
+SMALL_INCREMENT_ROWS = 1_000_000
+
+
+def merge_replace(target: DataFrame, incoming: DataFrame, key: str,
+                  small_increment_rows: int = SMALL_INCREMENT_ROWS) -> DataFrame:
     """Replace semantics: an incoming document replaces the whole old one.
 
     Old documents without an incoming key survive as they are; a replaced
     document keeps none of its old fields (columns the incoming side lacks
     become null).
     """
-    return _merge(target, incoming, key, keep_unsupplied=False)
+    return _merge(target, incoming, key, False, small_increment_rows)
 
 
-def merge_upsert(target: DataFrame, incoming: DataFrame, key: str) -> DataFrame:
+def merge_upsert(target: DataFrame, incoming: DataFrame, key: str,
+                 small_increment_rows: int = SMALL_INCREMENT_ROWS) -> DataFrame:
     """Upsert semantics: supplied fields overwrite, other fields survive.
 
     A supplied null is written as null (presence, not value, decides), so
     ``coalesce`` is not used. Missing documents are inserted.
     """
-    return _merge(target, incoming, key, keep_unsupplied=True)
+    return _merge(target, incoming, key, True, small_increment_rows)
 
 
-def _merge(target: DataFrame, incoming: DataFrame, key: str, keep_unsupplied: bool) -> DataFrame:
-    """One full outer join on the key; each side is read once."""
+def _merge(target: DataFrame, incoming: DataFrame, key: str, keep_unsupplied: bool,
+           small_increment_rows: int) -> DataFrame:
+    """Merge deduplicated incoming rows into the target on ``key``.
+
+    Small increment (size-checked): the incoming keys are broadcast; a
+    broadcast anti join passes the untouched target rows through without
+    any shuffle, a broadcast semi join picks the few touched ones, and only
+    those meet the incoming rows in a (small) full outer join. Otherwise one
+    full outer join of both sides.
+    """
+    from .joins import bounded_broadcast
     incoming = dedup_by_key(incoming, key)
+    keys, small = bounded_broadcast(incoming.select(key), small_increment_rows)
+    if not small:
+        return _full_merge(target, incoming, key, keep_unsupplied)
+    untouched = target.join(keys, key, "left_anti")
+    touched = target.join(keys, key, "left_semi")
+    merged = _full_merge(touched, incoming, key, keep_unsupplied)
+    return merged.unionByName(untouched, allowMissingColumns=True)
+
+
+def _full_merge(target: DataFrame, incoming: DataFrame, key: str, keep_unsupplied: bool) -> DataFrame:
+    """One full outer join on the key; each side is read once."""
     inc_cols = [c for c in incoming.columns if c != key]
     old_cols = [c for c in target.columns if c != key]
     t = target.select(F.col(key).alias("__k_old"), *[F.col(c).alias(f"__old_{c}") for c in old_cols])
