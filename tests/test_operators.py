@@ -162,3 +162,9 @@ def test_merge_paths_agree(spark):
         large = sorted(tuple(r) for r in merge(old, new, "uid", small_increment_rows=0)
                        .select("uid", "name", "tag").collect())
         assert small == large and len(small) == 60
+
+
+def test_bounded_broadcast_weight(spark):
+    df = spark.createDataFrame([(1, [1, 2, 3]), (2, [4])], "k int, a array<int>")
+    assert J.bounded_broadcast(df, 10, F.size("a"), 4)[1]
+    assert not J.bounded_broadcast(df, 10, F.size("a"), 3)[1]

@@ -12,24 +12,33 @@ import weakref
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows a lookup side may have to be broadcast. The mapping side carries one
-# row per action with a small attribute array, so this is a few MB at most.
+# Bounds for broadcasting the mapping side: actions, and attribute entries
+# over all actions (each entry is ~100-200 bytes, so ~100 MB at most).
 DEFAULT_BROADCAST_ROWS = 200_000
+DEFAULT_BROADCAST_ATTRS = 500_000
 
 
-_checked: "weakref.WeakKeyDictionary[DataFrame, dict[int, bool]]" = weakref.WeakKeyDictionary()
+_checked: "weakref.WeakKeyDictionary[DataFrame, dict]" = weakref.WeakKeyDictionary()
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
-    """``(broadcast(df), True)`` when ``df`` has at most ``max_rows`` rows.
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                      weight=None, max_weight: int | None = None) -> tuple[DataFrame, bool]:
+    """``(broadcast(df), True)`` when ``df`` has at most ``max_rows`` rows
+    (and, with ``weight``, a column-sum of at most ``max_weight``).
 
-    The check counts at most ``max_rows + 1`` rows, so it never scans more
+    The check reads at most ``max_rows + 1`` rows, so it never scans more
     than the bound it is checking; the answer is remembered per frame.
     """
     seen = _checked.setdefault(df, {})
-    if max_rows not in seen:
-        seen[max_rows] = df.limit(max_rows + 1).count() <= max_rows
-    if seen[max_rows]:
+    tag = (max_rows, max_weight, str(weight) if weight is not None else None)
+    if tag not in seen:
+        capped = df.limit(max_rows + 1)
+        if weight is None:
+            seen[tag] = capped.count() <= max_rows
+        else:
+            n, w = capped.agg(F.count(F.lit(1)), F.coalesce(F.sum(weight), F.lit(0))).first()
+            seen[tag] = n <= max_rows and w <= max_weight
+    if seen[tag]:
         return F.broadcast(df), True
     return df, False
 
@@ -41,7 +50,7 @@ def join_event_mapping(logs: DataFrame, mapping: DataFrame,
     ``mapping`` has one row per action, so the fact side never fans out.
     Event ids are INT, actions BIGINT: the key is widened on the log side.
     """
-    small, _ = bounded_broadcast(mapping, max_broadcast_rows)
+    small, _ = bounded_broadcast(mapping, max_broadcast_rows, F.size("attrs"), DEFAULT_BROADCAST_ATTRS)
     side = small.select(F.col("action_id").alias("__action"), "attrs")
     joined = logs.join(side, F.col("eventid").cast("long") == F.col("__action"), "left")
     return joined.drop("__action")
