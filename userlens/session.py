@@ -32,6 +32,29 @@ DEFAULT_CONF = {
 }
 
 
+# Suggested settings for a large cluster (e.g. ~100 TB of logs, 1000
+# executors). Jobs never force them; pass them to spark-submit or
+# ``get_session(extra=CLUSTER_CONF)``.
+CLUSTER_CONF = {
+    # ~256 MB input splits: large enough to amortise task overhead, small
+    # enough to keep the per-row payload work and sort buffers in memory.
+    "spark.sql.files.maxPartitionBytes": "256m",
+    # Start shuffles wide and let AQE merge partitions towards 256 MB.
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    # Split a join partition that is 5x the median and above 512 MB.
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    # Statistics-based broadcast stays modest; the mapping side is hinted
+    # explicitly after its own size check.
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
+}
+
+
 def get_session(master: str = "local[8]", shuffle_partitions: int = 8,
                 app_name: str = "userlens", extra: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.master(master).appName(app_name)
