@@ -83,3 +83,30 @@ def test_log_job_with_mapping_from_jdbc(spark, derby, tmp_path):
                                             "domain": "h", "path": "/p", "fx": "1"}
     assert dict(docs[8]["eventcontent"]) == {"source": '{"k":"v"}'}
     assert docs[7]["eventtime"] == "1970-01-01 00:00:01" and docs[7]["p_day"] == "2024-01-02"
+
+
+def test_user_document_workflow(spark, derby, tmp_path):
+    """Bulk bootstrap -> incremental JDBC load above the high water -> id-card
+    enrichment -> tracks; all four write the same keyed user snapshot."""
+    from userlens.operators.keyed import read_snapshot
+    from userlens.plans import jobs
+
+    root = str(tmp_path / "users")
+    lines = tmp_path / "users.txt"
+    lines.write_text("10#alice#2017-01-01 10:00:00#c1#os1#iPhone#1.0#p1\n")
+    jobs.run_load_users_bulk(spark, str(lines), root)
+    assert jobs.run_load_users_incremental(spark, URL, "USERS_T", root, "2017-02-01 00:00:00",
+                                           options=derby) is not None
+    jobs.run_enrich_user_idcards(spark, URL, "USERS_T", root, "2024-06-30", min_uid=0,
+                                 bounds=(0, 40), options=derby)
+    fp = spark.createDataFrame([(20, "d9", "c", "v", "h5", 5, "2024-01-01")],
+                               "uid long, deviceid string, channel string, version string, plateform string, "
+                               "begintime long, p_day string")
+    jobs.run_build_user_tracks(spark, fp, "2024-01-01", "2024-01-31", root)
+    got = {r["uid"]: r for r in read_snapshot(spark, root).collect()}
+    assert sorted(got) == [10, 20, 30]
+    # uid 10's card has a wrong check digit (should end in X): not enriched
+    assert got[10]["username"] == "alice" and got[10]["birth_province"] is None
+    assert got[20]["username"] == "bob" and got[20]["register_plateform"] == "android"
+    assert got[20]["idcard"] is None and len(got[20]["base_track"]) == 1
+    assert got[30]["username"] is None and got[30]["birth_province"] == "江苏"
