@@ -24,7 +24,7 @@ def dedup_last(entries: Column) -> Column:
     An entry survives when its key does not occur again later; the keys are
     extracted once, so this is one lambda pass plus native array scans.
     """
-    keys = F.transform(entries, lambda e: e["key"])
+    keys = entries.getField("key")
     n = F.size(entries)
     return F.filter(entries, lambda e, i: ~F.array_contains(F.slice(keys, i + 2, F.greatest(n - i - 1, F.lit(1))), e["key"])
                     | (i + 1 == n))
@@ -36,7 +36,7 @@ def unique_map(entries: Column) -> Column:
     Fast path: when the keys are already distinct (a native check) the
     entries become the map directly and the dedup lambda is skipped.
     """
-    keys = F.transform(entries, lambda e: e["key"])
+    keys = entries.getField("key")
     distinct = F.size(F.array_distinct(keys)) == F.size(entries)
     return F.map_from_entries(F.when(distinct, entries).otherwise(dedup_last(entries)))
 

@@ -66,7 +66,18 @@ def payload_entries(source: Column | str) -> Column:
 def payload_map(source: Column | str) -> Column:
     """Parsed payload as a map with unique keys (a repeated key keeps its
     last value, like the JSON reader of the jobs); empty when absent."""
-    return unique_map(payload_entries(source))
+    return unique_payload(parse_payload(source))
+
+
+def unique_payload(parsed: Column) -> Column:
+    """A parsed payload map with unique keys: itself when its keys are
+    already distinct (the common case, a native check), else deduplicated
+    keeping the last value; empty when the payload was not an object."""
+    distinct = F.size(F.array_distinct(F.map_keys(parsed))) == F.size(parsed)
+    empty = F.create_map().cast("map<string,string>")
+    return (F.when(parsed.isNull(), empty)
+            .when(distinct, parsed)
+            .otherwise(unique_map(F.map_entries(parsed))))
 
 
 def attribute_value(payload: Column, attribute: Column) -> Column:
@@ -146,10 +157,11 @@ def with_event_payload(df: DataFrame, plateform: str = "plateform", content: str
     so every intermediate is computed once per row and stays in codegen.
     """
     d = with_source_text(df, plateform, content, "__src")
-    d = d.withColumn("__ents", payload_map("__src"))
+    d = d.withColumn("__parsed", parse_payload("__src"))
+    d = d.withColumn("__ents", unique_payload(F.col("__parsed")))
     d = d.withColumn("__derived", mapped_fields(F.col("__ents"), attrs, plateform))
     d = d.withColumn(out, merge_payload("__src", F.col("__derived")))
-    return d.drop("__src", "__ents", "__derived")
+    return d.drop("__src", "__parsed", "__ents", "__derived")
 
 
 def payload_json(payload: Column | str) -> Column:
