@@ -88,8 +88,12 @@ def _merge(target: DataFrame, incoming: DataFrame, key: str, keep_unsupplied: bo
     those meet the incoming rows in a (small) full outer join. Otherwise one
     full outer join of both sides.
     """
+    from ..session import materialize
     from .joins import bounded_broadcast
-    incoming = dedup_by_key(incoming, key)
+    # The increment is used up to three times (size check, broadcast keys,
+    # merge): write it once as a table in the shared checkpoint folder, which
+    # also cuts its lineage so a lost executor never recomputes its sources.
+    incoming = materialize(dedup_by_key(incoming, key))
     keys, small = bounded_broadcast(incoming.select(key), small_increment_rows)
     if not small:
         return _full_merge(target, incoming, key, keep_unsupplied)

@@ -88,3 +88,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
+
+
+def materialize(df):
+    """Write ``df`` once as Parquet under the shared checkpoint folder and read
+    it back: later uses read files instead of recomputing the lineage, and a
+    lost executor never recomputes the sources. (``checkpoint()`` would run
+    the plan twice, once to count and once to write.)"""
+    import uuid as _uuid
+
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/userlens-table-{_uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)
