@@ -47,7 +47,7 @@ def test_scan_idcards_partitioned(spark, derby):
 
 
 def test_log_job_with_mapping_from_jdbc(spark, derby, tmp_path):
-    from userlens.operators.keyed import read_snapshot
+    from userlens.operators.keyed import compact_snapshot, read_latest, read_snapshot
     from userlens.plans import jobs
 
     def put(df, table):
@@ -76,14 +76,27 @@ def test_log_job_with_mapping_from_jdbc(spark, derby, tmp_path):
     mapping_src = {"url": URL, "driver": DRIVER,
                    "tables": {"mapper": "MAPPER", "template": "TEMPLATE", "detail": "DETAIL"}}
     root = str(tmp_path / "log_docs")
-    jobs.run_build_log_documents(spark, src, "2024-01-01", "2024-01-31", mapping_src, root)
-    docs = {r["uid"]: r for r in read_snapshot(spark, root).collect()}
+    jobs.run_build_log_documents(spark, src, "2024-01-01", "2024-01-31", mapping_src, root, version=1)
+    docs = {r["uid"]: r for r in read_latest(spark, root, "_id").collect()}
     assert sorted(docs) == [7, 8]
     assert dict(docs[7]["eventcontent"]) == {"source": '{"name": "a", "url": "http://h/p?x=1"}', "who": "a",
                                             "domain": "h", "path": "/p", "fx": "1"}
     assert dict(docs[8]["eventcontent"]) == {"source": '{"k":"v"}'}
     assert docs[7]["eventtime"] == "1970-01-01 00:00:01" and docs[7]["p_day"] == "2024-01-02"
 
+    # re-import with changed content under the same key: the newer document
+    # replaces the old one, and only the run's own rows were written
+    again = logs.where("uid = 7").withColumn("eventcontent", F.lit('{"name": "z"}'))
+    src2 = str(tmp_path / "logs2")
+    again.write.partitionBy("p_day").parquet(src2)
+    jobs.run_build_log_documents(spark, src2, "2024-01-01", "2024-01-31", mapping_src, root, version=2)
+    assert read_snapshot(spark, root).count() == 3
+    latest = {r["uid"]: r for r in read_latest(spark, root, "_id").collect()}
+    assert sorted(latest) == [7, 8] and latest[7]["eventcontent"]["who"] == "z"
+    compact_snapshot(spark, root, "_id", partition_by="p_day")
+    assert read_snapshot(spark, root).count() == 2
+    assert read_latest(spark, root, "_id").where("uid = 7").first()["eventcontent"]["who"] == "z"
+
 
 def test_user_document_workflow(spark, derby, tmp_path):
     """Bulk bootstrap -> incremental JDBC load above the high water -> id-card

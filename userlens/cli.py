@@ -72,6 +72,10 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--src", required=True)
     p.add_argument("--target", required=True)
     p.add_argument("--days", type=int, default=7)
+    p = sub.add_parser("compact", help="fold an append-versioned snapshot to one row per key")
+    p.add_argument("--target", required=True)
+    p.add_argument("--key", default="_id")
+    p.add_argument("--partition-by", default=None)
     for sp in sub.choices.values():
         sp.add_argument("--as-of", default=None, help="'now' for windows and guards (UTC)")
         sp.add_argument("--opt", action="append", help="JDBC option key=value")
@@ -96,6 +100,9 @@ def main(argv: list[str] | None = None) -> None:
                                      tuple(a.bounds) if a.bounds else None, a.partitions, opts)
     elif a.job == "devices":
         jobs.run_sync_recent_devices(spark, a.src, a.target, as_of, a.days)
+    elif a.job == "compact":
+        from userlens.operators.keyed import compact_snapshot
+        compact_snapshot(spark, a.target, a.key, a.partition_by)
 
 
 if __name__ == "__main__":

@@ -166,17 +166,55 @@ def write_snapshot(spark: SparkSession, df: DataFrame, root: str, key: str | Non
     return version
 
 
+VERSION_COL = "_version"
+
+
+def read_latest(spark: SparkSession, root: str, key: str) -> DataFrame | None:
+    """A snapshot written with ``append_versioned``, resolved to the latest
+    document per key (a partial aggregate on the key, no sort of the table);
+    the version column is dropped. Plain snapshots are returned as they are."""
+    df = read_snapshot(spark, root)
+    if df is None or VERSION_COL not in df.columns:
+        return df
+    return dedup_by_key(df, key, [F.col(VERSION_COL)]).drop(VERSION_COL)
+
+
+def compact_snapshot(spark: SparkSession, root: str, key: str, partition_by: str | None = None) -> str:
+    """Fold the appended versions into one row per key as a new version
+    (rows keep their own version, so later appends still win)."""
+    df = read_snapshot(spark, root)
+    if df is None:
+        raise ValueError(f"no snapshot at {root}")
+    latest = dedup_by_key(df, key, [F.col(VERSION_COL)]) if VERSION_COL in df.columns else df
+    return write_snapshot(spark, latest, root, key, partition_by=partition_by)
+
+
 def write_keyed(spark: SparkSession, incoming: DataFrame, root: str, key: str,
-                mode: str = "replace", partition_by: str | None = None) -> str:
+                mode: str = "replace", partition_by: str | None = None,
+                version: int | None = None) -> str:
     """Merge ``incoming`` into the snapshot table at ``root``.
 
     ``replace`` / ``upsert`` rewrite the table as a new version (one full
-    outer join on the key). ``append_new`` is for incoming documents whose
-    keys are known to be absent from the target (the order sync removes
-    existing keys itself): their files are added to the current version, so
-    a run costs only its own rows.
+    outer join on the key, or broadcast key lookups for a small increment).
+    ``append_new`` is for incoming documents whose keys are known to be
+    absent from the target (the order sync removes existing keys itself):
+    their files are added to the current version. ``append_versioned`` gives
+    replace semantics at the cost of the increment only: documents are
+    appended with a run version, ``read_latest`` returns the newest document
+    per key, and ``compact_snapshot`` folds versions from time to time.
     """
     old = read_snapshot(spark, root)
+    if mode == "append_versioned":
+        run_version = int(time.time() * 1000) if version is None else version
+        docs = dedup_by_key(incoming, key).withColumn(VERSION_COL, F.lit(run_version).cast("long"))
+        if old is None:
+            return write_snapshot(spark, docs, root, key, partition_by=partition_by)
+        current = spark.read.text(_pointer(root)).first()[0].strip()
+        writer = docs.write.mode("append")
+        if partition_by:
+            writer = writer.partitionBy(partition_by)
+        writer.parquet(current)
+        return current
     if old is None:
         return write_snapshot(spark, dedup_by_key(incoming, key), root, key, partition_by=partition_by)
     if mode == "append_new":

@@ -77,9 +77,13 @@ def build_log_documents(spark: SparkSession, src, start_day: str, end_day: str,
 
 
 def run_build_log_documents(spark: SparkSession, src, start_day: str, end_day: str,
-                            mapping_src: dict, target_root: str) -> str:
+                            mapping_src: dict, target_root: str, version: int | None = None) -> str:
+    """Replace-by-key at the cost of the run's own documents: they are
+    appended with a run version into the ``p_day``-partitioned snapshot;
+    readers use ``read_latest`` and ``compact_snapshot`` folds versions."""
     docs = build_log_documents(spark, src, start_day, end_day, mapping_src)
-    return write_keyed(spark, docs, target_root, "_id", mode="replace")
+    return write_keyed(spark, docs, target_root, "_id", mode="append_versioned", partition_by="p_day",
+                       version=version)
 
 
 # ---- orders ---------------------------------------------------------------
