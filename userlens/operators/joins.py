@@ -1,8 +1,9 @@
 """Joins of the jobs.
 
-Broadcast is used only behind an explicit row-count check: a side whose size
-is proven small is hinted; otherwise the plain join stays and Spark/AQE pick
-a shuffle join (AQE splits skewed partitions of the big side at runtime).
+Broadcast is hinted only behind an explicit size check (rows, and optionally
+a weight such as attribute entries): a side proven small is hinted; otherwise
+the plain join stays and Spark/AQE pick a shuffle join (AQE splits skewed
+partitions of the big side at runtime).
 """
 
 from __future__ import annotations

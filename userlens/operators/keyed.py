@@ -1,14 +1,16 @@
 """Keyed document writes: dedup, replace, upsert, snapshot tables.
 
-A target is a keyed snapshot table. A write never overwrites the directory
+A target is a keyed snapshot table. A rewrite never overwrites the directory
 being read: the merged result goes to a new version directory and the
-``_current`` pointer is switched afterwards.
-
-A small increment (size-checked) leaves the untouched target rows in place
-via broadcast key lookups; a large one is one full outer shuffle join on the
-key. Incoming rows are
-deduplicated by key first (an aggregate with map-side combine), so after that
-every key occurs at most once per side and no key can skew the join.
+``_current`` pointer is switched afterwards. Append modes add files to the
+current version instead (``append_new`` for keys known to be new,
+``append_versioned`` for replace-by-key resolved at read time).
+
+Incoming rows are deduplicated by key first (an aggregate with map-side
+combine), so every key occurs at most once per side and no key can skew a
+merge join. A small increment (size-checked) leaves the untouched target rows
+in place via broadcast key lookups; a large one is one full outer shuffle
+join on the key.
 """
 
 from __future__ import annotations
