@@ -139,11 +139,13 @@ def merge_payload(source: Column | str, derived: Column) -> Column:
     return unique_map(F.concat(head, derived))
 
 
-def with_source_text(df: DataFrame, plateform: str, content: str, out: str) -> DataFrame:
-    """Add ``out`` = ``source_text``; the iOS pairs are computed once."""
+def with_source_text(df: DataFrame, plateform: str, content: str, out: str,
+                     pairs: str | None = None) -> DataFrame:
+    """Add ``out`` = ``source_text``; the iOS pairs are computed once, and
+    only for iOS rows (or taken from the column ``pairs`` when given)."""
     c = F.col(content)
     is_ios = F.coalesce(F.col(plateform) == F.lit("ios"), F.lit(False)) & ~is_blank(c)
-    d = df.withColumn("__pairs", F.when(is_ios, ios_pairs(content)))
+    d = df.withColumn("__pairs", F.when(is_ios, F.col(pairs) if pairs else ios_pairs(content)))
     d = d.withColumn(out, F.when(is_ios & (F.size("__pairs") > 0), entries_json(F.col("__pairs"), unique=True))
                      .otherwise(c))
     return d.drop("__pairs")

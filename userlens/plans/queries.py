@@ -71,7 +71,7 @@ def log_event_clock(spark, sf):
 def payload_ios_pairs(spark, sf):
     d = _logs(spark, sf).select("begintime", "plateform", "eventcontent")
     d = with_source_text(d.withColumn("__kv", ios_pairs("eventcontent")),
-                         "plateform", "eventcontent", "source")
+                         "plateform", "eventcontent", "source", pairs="__kv")
     return d.select(
         "begintime", "plateform", "eventcontent",
         F.size("__kv").alias("n_pairs"),
