@@ -111,14 +111,19 @@ def url_attribute_fields(attr: Column, value: Column) -> Column:
     return F.when(ok, url_fields(value, attr["ps"], attr["es_ps"])).otherwise(_empty_entries())
 
 
-def mapped_fields(payload: Column, attrs: Column | str, plateform: Column | str) -> Column:
+def mapped_fields(payload: Column, attrs: Column | str, plateform: Column | str,
+                  keys: Column | str | None = None) -> Column:
     """Derived fields of all applicable mapping attributes, in apply order.
 
     ``attrs`` is the event's mapping array sorted by attribute (null when the
-    event has no mapping).
+    event has no mapping). ``keys`` may name a column that already holds
+    ``normalized_keys(payload)``: inside the per-attribute lambda an inline
+    expression would be rebuilt for every attribute. Rows where no attribute
+    name occurs among the keys (a native ``array_intersect``) skip the
+    lambdas altogether.
     """
     attrs = F.coalesce(_col(attrs), F.array().cast(MAPPING_ATTR_TYPE))
-    keys = normalized_keys(payload)
+    keys = _col(keys) if keys is not None else normalized_keys(payload)
     plateform = _col(plateform)
     applicable = F.filter(attrs, lambda a: F.array_contains(keys, a["attribute"])
                           & platform_gate(a["plateform"], plateform))
@@ -129,7 +134,9 @@ def mapped_fields(payload: Column, attrs: Column | str, plateform: Column | str)
                 .when(a["datatype"] == "url", url_attribute_fields(a, v))
                 .otherwise(_empty_entries()))
 
-    return F.flatten(F.transform(applicable, fields))
+    derived = F.flatten(F.transform(applicable, fields))
+    none_present = F.size(F.array_intersect(attrs.getField("attribute"), keys)) == 0
+    return F.when(none_present, _empty_entries()).otherwise(derived)
 
 
 def merge_payload(source: Column | str, derived: Column) -> Column:
@@ -161,9 +168,10 @@ def with_event_payload(df: DataFrame, plateform: str = "plateform", content: str
     d = with_source_text(df, plateform, content, "__src")
     d = d.withColumn("__parsed", parse_payload("__src"))
     d = d.withColumn("__ents", unique_payload(F.col("__parsed")))
-    d = d.withColumn("__derived", mapped_fields(F.col("__ents"), attrs, plateform))
+    d = d.withColumn("__keys", normalized_keys(F.col("__ents")))
+    d = d.withColumn("__derived", mapped_fields(F.col("__ents"), attrs, plateform, "__keys"))
     d = d.withColumn(out, merge_payload("__src", F.col("__derived")))
-    return d.drop("__src", "__parsed", "__ents", "__derived")
+    return d.drop("__src", "__parsed", "__ents", "__keys", "__derived")
 
 
 def payload_json(payload: Column | str) -> Column:

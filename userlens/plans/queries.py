@@ -105,7 +105,8 @@ def log_mapped_attributes(spark, sf):
     j = join_event_mapping(logs, _mapping(spark, sf))
     j = with_source_text(j, "plateform", "eventcontent", "__src")
     j = j.withColumn("__ents", payload_map("__src"))
-    j = j.withColumn("__d", mapped_fields(F.col("__ents"), "attrs", "plateform"))
+    j = j.withColumn("__keys", normalized_keys(F.col("__ents")))
+    j = j.withColumn("__d", mapped_fields(F.col("__ents"), "attrs", "plateform", "__keys"))
     return j.select("begintime", "uid", "eventid", "plateform", F.size("__d").alias("n_fields"),
                     payload_json(merge_payload("__src", F.col("__d"))).alias("eventcontent"))
 
