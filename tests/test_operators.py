@@ -168,3 +168,27 @@ def test_bounded_broadcast_weight(spark):
     df = spark.createDataFrame([(1, [1, 2, 3]), (2, [4])], "k int, a array<int>")
     assert J.bounded_broadcast(df, 10, F.size("a"), 4)[1]
     assert not J.bounded_broadcast(df, 10, F.size("a"), 3)[1]
+
+
+def test_cli_devices_and_compact(spark, tmp_path):
+    from userlens import cli
+    dev = spark.createDataFrame(
+        [(1, "2024-01-30", "dv1", 1706572800000, "ios", "c1", "v1"),
+         (2, "2024-01-01", "dv2", 1704067200000, "h5", "c2", "v2")],
+        "uid long, registerday string, deviceid string, registertime long, registerplateform string, "
+        "channel string, version string")
+    src = str(tmp_path / "devices")
+    dev.write.parquet(src)
+    root = str(tmp_path / "device_docs")
+    cli.main(["devices", "--src", src, "--target", root, "--as-of", "2024-01-31 00:00:00"])
+    got = K.read_snapshot(spark, root).collect()
+    assert [(r["_id"], r["register_time"]) for r in got] == [("dv1", "2024-01-30 00:00:00")]
+    # an append-versioned table compacts to one row per key
+    vroot = str(tmp_path / "versioned")
+    docs = spark.createDataFrame([("a", 1), ("b", 2)], "_id string, v int")
+    K.write_keyed(spark, docs, vroot, "_id", mode="append_versioned", version=1)
+    K.write_keyed(spark, docs.where("_id = 'a'").withColumn("v", F.lit(9)), vroot, "_id",
+                  mode="append_versioned", version=2)
+    cli.main(["compact", "--target", vroot])
+    rows = {r["_id"]: r["v"] for r in K.read_latest(spark, vroot, "_id").collect()}
+    assert rows == {"a": 9, "b": 2} and K.read_snapshot(spark, vroot).count() == 2
