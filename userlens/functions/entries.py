@@ -64,3 +64,12 @@ def kv_pairs(text: Column, sep: str) -> Column:
     keys = F.regexp_extract_all(text, pattern, 1)
     values = F.regexp_extract_all(text, pattern, 2)
     return F.arrays_zip(keys.alias("key"), values.alias("value"))
+
+
+def let(value: Column, body) -> Column:
+    """Evaluate ``value`` once and pass it to ``body`` as a lambda variable.
+
+    Higher-order functions re-evaluate outer expressions on every element;
+    wrapping the value in a one-element array binds it instead.
+    """
+    return F.element_at(F.transform(F.array(value), body), 1)

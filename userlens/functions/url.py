@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .entries import entries_json, entry, kv_pairs
+from .entries import entries_json, entry, kv_pairs, let
 from .text import java_split, jtrim
 
 # URL shapes accepted and the pieces extracted from them.
@@ -69,15 +69,17 @@ def renamed_query_params(u: Column | str, ps: Column | str, es_ps: Column | str)
     A name listed twice takes its last target; blank targets are dropped.
     Result: ``array<struct<key,value>>`` in query order.
     """
-    renames = rename_pairs(ps, es_ps)
-    pairs = raw_query_pairs(u)
+    def rename_all(renames: Column) -> Column:
+        def target(name: Column) -> Column:
+            hits = F.filter(renames, lambda r: r["ps"] == name)
+            return F.try_element_at(hits, F.lit(-1))["es"]
 
-    def target(name: Column) -> Column:
-        hits = F.filter(renames, lambda r: r["ps"] == name)
-        return F.try_element_at(hits, F.lit(-1))["es"]
+        named = F.transform(raw_query_pairs(u),
+                            lambda p: F.struct(target(p["key"]).alias("key"), p["value"].alias("value")))
+        return F.filter(named, lambda e: e["key"].isNotNull() & (jtrim(e["key"]) != ""))
 
-    named = F.transform(pairs, lambda p: F.struct(target(p["key"]).alias("key"), p["value"].alias("value")))
-    return F.filter(named, lambda e: e["key"].isNotNull() & (jtrim(e["key"]) != ""))
+    # the rename list is built once per URL, not once per parameter
+    return let(rename_pairs(ps, es_ps), rename_all)
 
 
 def url_fields(u: Column | str, ps: Column | str, es_ps: Column | str) -> Column:
