@@ -192,3 +192,12 @@ def test_cli_devices_and_compact(spark, tmp_path):
     cli.main(["compact", "--target", vroot])
     rows = {r["_id"]: r["v"] for r in K.read_latest(spark, vroot, "_id").collect()}
     assert rows == {"a": 9, "b": 2} and K.read_snapshot(spark, vroot).count() == 2
+
+
+def test_ensure_parallelism_only_spreads_few_splits(spark):
+    from userlens.operators.partitioning import ensure_parallelism
+    many = spark.range(0, 1000, numPartitions=16)
+    assert ensure_parallelism(many, 8) is many
+    few = spark.range(0, 1000, numPartitions=1)
+    spread = ensure_parallelism(few, 8)
+    assert spread.rdd.getNumPartitions() == 8 and spread.count() == 1000
