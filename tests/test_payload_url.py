@@ -86,3 +86,10 @@ def test_rename_truncates_and_last_wins(spark):
     assert [tuple(r) for r in df.select(F.explode(ren)).select("col.*").collect()] == [("b", "1")]
     assert json.loads(df.select(url_fields_map("u", F.lit("x"), F.lit("fx"))).first()[0]) == \
         {"domain": "h", "path": "/", "fx": "1"}
+
+
+def test_let_binds_a_value(spark):
+    from userlens.functions.entries import let
+    df = spark.createDataFrame([([1, 2, 3],)], "a array<int>")
+    got = df.select(let(F.reverse("a"), lambda r: F.transform("a", lambda x: x + F.element_at(r, 1)))).first()[0]
+    assert got == [4, 5, 6]
