@@ -30,7 +30,7 @@ from __future__ import annotations
 
 import hashlib
 from bisect import bisect_left
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from heapq import merge
 from math import log2
 
@@ -246,6 +246,20 @@ def _cell_edges(cells: DataFrame, percent: int) -> DataFrame:
             .select("family", "i", "j", "chunk", "doc_id", "shingles").mapInArrow(run, "u long, v long"))
 
 
+def link_families(ties: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percent: int, cell: int) -> DataFrame:
+    """(node, component) by the links within the families that the ``ties`` (u, v) of nodes make.
+    ``sets_of`` gives (doc_id, family, chunk, chunks, shingles) for (node, family, chunk, chunks), doc_id
+    being the node."""
+    family = written(components(ties), "families")
+    width = family.groupBy("component").agg(F.ceil(F.count("*") / F.lit(cell)).cast("int").alias("chunks"))
+    nodes = (family.join(width, "component")
+             .select("node", F.col("component").alias("family"), "chunks", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int").alias("chunk")))
+    other = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))
+    cells = (sets_of(nodes).select("*", other.alias("other"))
+             .withColumn("i", F.least("chunk", "other")).withColumn("j", F.greatest("chunk", "other")))
+    return components(_cell_edges(cells, percent))
+
+
 def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, cell: int = CELL) -> DataFrame:
     """doc_id, n_words, n_shingles, component_id of every row of ``docs`` (doc_id, text)."""
     base = written(_profiles(docs, words, percent), "profiles")
@@ -260,18 +274,9 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     name = classes.filter("rep is not null").select(F.col("doc_id").alias("id"), "rep").distinct()
     ties = (ties.join(name.withColumnRenamed("rep", "u"), F.col("doc_id") == F.col("id")).drop("id")
             .join(name.withColumnRenamed("rep", "v"), F.col("head") == F.col("id")).select("u", "v"))
-    family = written(components(ties), "families")
-    width = family.groupBy("component").agg(F.ceil(F.count("*") / F.lit(cell)).cast("int").alias("chunks"))
-    nodes = (family.join(width, "component")
-             .select(F.col("node"), F.col("component").alias("family"), "chunks", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int").alias("chunk")))
-    nodes = nodes.join(classes.filter("doc_id = rep").select(F.col("rep").alias("node"), "digest").distinct(), "node")
-
+    place = classes.filter("doc_id = rep").select(F.col("rep").alias("node"), F.col("doc_id"), "digest").distinct()
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = texts.join(nodes.withColumnRenamed("node", "doc_id"), "doc_id").select("doc_id", "text", "digest", "family", "chunk", "chunks")
-    other = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))
-    cells = (_sets(rows, words).select("*", other.alias("other"))
-             .withColumn("i", F.least("chunk", "other")).withColumn("j", F.greatest("chunk", "other")))
-    linked = components(_cell_edges(cells, percent))
+    linked = link_families(ties, lambda nodes: _sets(texts.join(nodes.join(place, "node"), "doc_id").drop("node"), words), percent, cell)
     return (classes.join(linked.select(F.col("node").alias("rep"), "component"), "rep", "left")
             .select("doc_id", "n_words", "n_shingles", F.coalesce("component", "rep", "doc_id").alias("component_id")))
 

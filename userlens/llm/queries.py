@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, jaccard, packing, quality, secrets
+from . import decontaminate, hmm, jaccard, packing, quality, secrets, substring, tokencount
 from .shared import shared_dir, ship
 
 
@@ -31,10 +31,18 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencount.count_tokens(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
@@ -46,6 +54,10 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(docs, model)
 
 
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hmm.score(table(spark, sf_dir, "documents"))
+
+
 def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     ledger = f"{shared_dir(spark)}/ledger-{uuid.uuid4().hex}"
     return secrets.digest(secrets.findings(table(spark, sf_dir, "documents"), ledger))
@@ -53,8 +65,11 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_packing": op3_packing,
+    "op4_substring_dedup": op4_substring_dedup,
     "op5_jaccard_join": op5_jaccard_join,
+    "op6_token_counts": op6_token_counts,
     "op7_decontamination": op7_decontamination,
     "op8_quality_rules": op8_quality_rules,
+    "op9_lm_scoring": op9_lm_scoring,
     "op10_secret_scans": op10_secret_scans,
 }
