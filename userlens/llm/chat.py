@@ -4,7 +4,8 @@ A legal conversation is at most one system turn, then user and assistant turns i
 user first, assistant last. Repairs are chosen by dynamic programming over that automaton, whose
 states are the role last written: an input turn may be relabelled, merged into the turn before it
 when their roles are equal, or have empty turns inserted before it; the end may get one, too. The
-cheapest repair wins; among equals the first state in the order START, SYSTEM, USER, ASSISTANT.
+cheapest repair wins; of equal ones that whose states, seen from the end of the conversation and
+then of each chunk, come first in the order SYSTEM, USER, ASSISTANT.
 
 The recursion is a product of min-plus matrices, one per turn, so a long conversation needs no
 single task: turns are dealt out in chunks of ``CHUNK`` places, each chunk gives its 4 x 4 matrix, the
@@ -35,9 +36,9 @@ OPEN, CLOSE = "<|{role}|>\n", "\n<|end|>\n"
 
 
 class Costs(NamedTuple):
-    relabel: float = 2.0
+    relabel: float = 3.0
     merge: float = 1.0
-    insert: float = 1.5
+    insert: float = 1.0
 
 
 def _steps(costs: Costs) -> tuple[np.ndarray, dict[tuple[int, int], list[int]]]:

@@ -166,9 +166,9 @@ def search_cell(ids: list[int], sets: list[np.ndarray], left: list[bool], right:
     """Star edges (doc_id, smallest doc_id) of the sets that links between a left and a right set
     connect. ``ids`` ascend."""
     rights = [k for k, r in enumerate(right) if r]
-    if not rights or not any(left):
+    value = np.concatenate([sets[k] for k in rights]) if rights else np.zeros(0, np.uint64)
+    if not len(value) or not any(left):
         return []
-    value = np.concatenate([sets[k] for k in rights])
     who = np.repeat(np.array(rights), [len(sets[k]) for k in rights])
     order = np.argsort(value, kind="stable")  # owners ascend in every list
     value, owners = value[order], who[order].tolist()
@@ -181,9 +181,8 @@ def search_cell(ids: list[int], sets: list[np.ndarray], left: list[bool], right:
             continue
         n = size[q]
         need = -(-percent * n // 100)
-        at = np.searchsorted(keys, sets[q])
-        at = at[at < len(keys)]
-        at = at[np.isin(keys[at], sets[q], assume_unique=True)]
+        at = np.minimum(np.searchsorted(keys, sets[q]), len(keys) - 1)
+        at = at[keys[at] == sets[q]]
         if len(at) < need:
             continue
         lists = sorted(((int(first[k]), int(first[k + 1])) for k in at), key=lambda x: x[0] - x[1])
@@ -278,7 +277,7 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     linked = link_families(ties, lambda nodes: _sets(texts.join(nodes.join(place, "node"), "doc_id").drop("node"), words), percent, cell)
     return (classes.join(linked.select(F.col("node").alias("rep"), "component"), "rep", "left")
-            .select("doc_id", "n_words", "n_shingles", F.coalesce("component", "rep", "doc_id").alias("component_id")))
+            .select("doc_id", "n_words", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "rep", "doc_id")).alias("component_id")))
 
 
 def one_of_each(docs: DataFrame, **options) -> DataFrame:
