@@ -1,41 +1,43 @@
 """Keyed document writes: dedup, replace, upsert, snapshot tables.
 
-A target is a keyed snapshot table. A rewrite never overwrites the directory
-being read: the merged result goes to a new version directory and the
-``_current`` pointer is switched afterwards. Append modes add files to the
-current version instead (``append_new`` for keys known to be new,
-``append_versioned`` for replace-by-key resolved at read time).
+A snapshot table is a set of key buckets (``pmod(xxhash64(key), buckets)``). Each
+write puts the buckets it touches into a new run folder and then commits a
+manifest: one small file that names every bucket's folders for the new version,
+renamed into place by Spark's committer. Readers take the newest manifest, so a
+write that dies before its manifest changes nothing, and buckets that a write
+doesn't touch keep their files and are not even read. No manifest folder means no
+table yet; any other failure is raised.
 
 Incoming rows are deduplicated by key first (an aggregate with map-side
 combine), so every key occurs at most once per side and no key can skew a
-merge join. A small increment (size-checked) leaves the untouched target rows
-in place via broadcast key lookups; a large one is one full outer shuffle
-join on the key.
+merge join.
 """
 
 from __future__ import annotations
 
+import json
 import time
 import uuid as _uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def dedup_by_key(df: DataFrame, key: str, order: list[Column] | None = None) -> DataFrame:
     """One row per key: the row with the largest ``order``, ties broken by the
-    whole row (its orderable columns), so the winner never depends on
-    partitioning.
+    whole row, so the winner never depends on partitioning.
 
-    Implemented as ``max_by(row, struct(order..., row))`` per key, which
-    aggregates partially before the shuffle.
+    One ``max`` of a struct that holds the order and the row itself, unpacked
+    afterwards: the row is carried once, and aggregates partially before the
+    shuffle. Maps have no order, so a row with maps is picked by the rest.
     """
     others = [c for c in df.columns if c != key]
-    sortable = [F.col(c) for c in others if not _is_map(df, c)]
-    order = list(order or [])
-    rank = F.struct(*[o.alias(f"__o{i}") for i, o in enumerate(order)],
-                    F.struct(*sortable).alias("__tie"))
-    best = F.max_by(F.struct(*[F.col(c) for c in others]), rank)
+    maps = [c for c in others if _is_map(df, c)]
+    rank = [o.alias(f"__o{i}") for i, o in enumerate(order or [])]
+    row = F.struct(*rank, *[F.col(c) for c in others if c not in maps])
+    best = F.max_by(F.struct(*[F.col(c) for c in others]), row) if maps else F.max(row)
     out = df.groupBy(key).agg(best.alias("__best"))
     return out.select(key, *[F.col(f"__best.{c}").alias(c) for c in others])
 
@@ -54,55 +56,23 @@ def as_documents(df: DataFrame, key: str, fields: dict[str, Column] | list[str],
     return df.select(F.col(key).alias(id_col), *cols)
 
 
-# Incoming rows up to which a merge leaves the untouched part of the target
-# in place (broadcast key lookups) instead of shuffling the whole target.
-SMALL_INCREMENT_ROWS = 1_000_000
-
-
-def merge_replace(target: DataFrame, incoming: DataFrame, key: str,
-                  small_increment_rows: int = SMALL_INCREMENT_ROWS) -> DataFrame:
+def merge_replace(target: DataFrame, incoming: DataFrame, key: str) -> DataFrame:
     """Replace semantics: an incoming document replaces the whole old one.
 
     Old documents without an incoming key survive as they are; a replaced
     document keeps none of its old fields (columns the incoming side lacks
     become null).
     """
-    return _merge(target, incoming, key, False, small_increment_rows)
+    return _full_merge(target, dedup_by_key(incoming, key), key, False)
 
 
-def merge_upsert(target: DataFrame, incoming: DataFrame, key: str,
-                 small_increment_rows: int = SMALL_INCREMENT_ROWS) -> DataFrame:
+def merge_upsert(target: DataFrame, incoming: DataFrame, key: str) -> DataFrame:
     """Upsert semantics: supplied fields overwrite, other fields survive.
 
     A supplied null is written as null (presence, not value, decides), so
     ``coalesce`` is not used. Missing documents are inserted.
     """
-    return _merge(target, incoming, key, True, small_increment_rows)
-
-
-def _merge(target: DataFrame, incoming: DataFrame, key: str, keep_unsupplied: bool,
-           small_increment_rows: int) -> DataFrame:
-    """Merge deduplicated incoming rows into the target on ``key``.
-
-    Small increment (size-checked): the incoming keys are broadcast; a
-    broadcast anti join passes the untouched target rows through without
-    any shuffle, a broadcast semi join picks the few touched ones, and only
-    those meet the incoming rows in a (small) full outer join. Otherwise one
-    full outer join of both sides.
-    """
-    from ..session import materialize
-    from .joins import bounded_broadcast
-    # The increment is used up to three times (size check, broadcast keys,
-    # merge): write it once as a table in the shared checkpoint folder, which
-    # also cuts its lineage so a lost executor never recomputes its sources.
-    incoming = materialize(dedup_by_key(incoming, key))
-    keys, small = bounded_broadcast(incoming.select(key), small_increment_rows)
-    if not small:
-        return _full_merge(target, incoming, key, keep_unsupplied)
-    untouched = target.join(keys, key, "left_anti")
-    touched = target.join(keys, key, "left_semi")
-    merged = _full_merge(touched, incoming, key, keep_unsupplied)
-    return merged.unionByName(untouched, allowMissingColumns=True)
+    return _full_merge(target, dedup_by_key(incoming, key), key, True)
 
 
 def _full_merge(target: DataFrame, incoming: DataFrame, key: str, keep_unsupplied: bool) -> DataFrame:
@@ -130,121 +100,191 @@ def _full_merge(target: DataFrame, incoming: DataFrame, key: str, keep_unsupplie
 
 # ---- snapshot tables ------------------------------------------------------
 
-def _pointer(root: str) -> str:
-    return f"{root.rstrip('/')}/_current"
+# Key buckets of a new table; an existing table keeps its own number. A bucket is
+# one file per write (and ``partition_by`` value), so about table size / 512 MB.
+DEFAULT_BUCKETS = 16
+BUCKET_COL = "_bucket"
+RUN_COL = "_run"
+VERSION_COL = "_version"
+_MANIFEST = "version long, run string, buckets int, bucket int, path string, columns string"
 
 
-def read_snapshot(spark: SparkSession, root: str) -> DataFrame | None:
-    """Current version of a snapshot table, or None when it has none yet."""
-    try:
-        rows = spark.read.text(_pointer(root)).collect()
-    except Exception:  # no pointer yet: an empty target
-        return None
-    if not rows:
-        return None
-    return spark.read.parquet(rows[0][0].strip())
+def _root(root: str) -> str:
+    return root.rstrip("/")
 
 
-def write_snapshot(spark: SparkSession, df: DataFrame, root: str, key: str | None = None,
-                   num_partitions: int | None = None, partition_by: str | None = None) -> str:
-    """Write ``df`` as a new version and switch the pointer to it.
+def manifest(spark: SparkSession, root: str) -> list | None:
+    """The rows of the newest manifest, or None where no table exists yet.
 
-    With ``key`` the rows are hash-partitioned and sorted by key inside each
-    file, which keeps files balanced and key lookups cheap on the next merge.
-    ``partition_by`` (e.g. ``p_day``) lays the version out in folders so
-    scans with a bound on that column prune whole folders.
+    Only a proven missing folder means "no table". A manifest folder without a
+    version, with a broken row, or with two writers' manifests of one version
+    raises: going on would drop or mix the table's rows.
     """
-    version = f"{root.rstrip('/')}/v{int(time.time() * 1000)}-{_uuid.uuid4().hex[:8]}"
-    out = df
-    if key is not None:
-        out = (out.repartition(num_partitions, key) if num_partitions else out.repartition(key))
-        out = out.sortWithinPartitions(key)
-    writer = out.write.mode("errorifexists")
-    if partition_by:
-        writer = writer.partitionBy(partition_by)
-    writer.parquet(version)
-    spark.createDataFrame([(version,)], "path string").coalesce(1) \
-        .write.mode("overwrite").text(_pointer(root))
-    return version
+    try:
+        df = spark.read.schema(_MANIFEST).option("mode", "FAILFAST").json(f"{_root(root)}/_manifest")
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+    newest = df.agg(F.max("version")).first()[0]
+    if newest is None:
+        raise ValueError(f"the snapshot at {root} has a manifest folder but no version in it")
+    rows = df.where(F.col("version") == newest).collect()
+    if len({r["run"] for r in rows}) > 1:
+        raise ValueError(f"two writers published version {newest} of {root}")
+    if any(r["path"] is None or r["bucket"] is None or r["columns"] is None for r in rows):
+        raise ValueError(f"version {newest} of {root} has a broken manifest row")
+    return rows
+
+
+def _read(spark: SparkSession, rows: list) -> DataFrame:
+    """The folders of manifest rows; columns added after a folder was written read as null."""
+    schema = T.StructType.fromJson(json.loads(rows[0]["columns"]))
+    paths = sorted({r["path"] for r in rows if r["bucket"] >= 0})
+    if not paths:
+        return spark.createDataFrame([], schema)
+    base = paths[0].partition(f"/{RUN_COL}=")[0]
+    return spark.read.schema(schema).option("basePath", base).parquet(*paths).select(*schema.names)
 
 
-VERSION_COL = "_version"
+def read_snapshot(spark: SparkSession, root: str) -> DataFrame | None:
+    """All rows of a snapshot table, or None when it has none yet."""
+    rows = manifest(spark, root)
+    return None if rows is None else _read(spark, rows)
+
+
+def _by_bucket(rows: list) -> dict[int, list]:
+    out: dict[int, list] = {}
+    for r in rows:
+        out.setdefault(r["bucket"], []).append(r)
+    return out
 
 
 def read_latest(spark: SparkSession, root: str, key: str) -> DataFrame | None:
     """A snapshot written with ``append_versioned``, resolved to the latest
-    document per key (a partial aggregate on the key, no sort of the table);
-    the version column is dropped. Plain snapshots are returned as they are."""
-    df = read_snapshot(spark, root)
-    if df is None or VERSION_COL not in df.columns:
-        return df
-    return dedup_by_key(df, key, [F.col(VERSION_COL)]).drop(VERSION_COL)
+    document per key; the version column is dropped. Only buckets that several
+    runs wrote are aggregated by key; a bucket with one folder holds one
+    document per key already and is read without a shuffle."""
+    rows = manifest(spark, root)
+    if rows is None:
+        return None
+    if VERSION_COL not in T.StructType.fromJson(json.loads(rows[0]["columns"])).names:
+        return _read(spark, rows)
+    per = _by_bucket(rows)
+    once = [r for rs in per.values() if len(rs) == 1 for r in rs]
+    often = [r for rs in per.values() if len(rs) > 1 for r in rs]
+    parts = []
+    if once:
+        parts.append(_read(spark, once))
+    if often:
+        parts.append(dedup_by_key(_read(spark, often), key, [F.col(VERSION_COL)]))
+    out = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    return out.drop(VERSION_COL)
+
+
+def with_bucket(df: DataFrame, key: str, buckets: int) -> DataFrame:
+    return df.withColumn(BUCKET_COL, F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
+
+
+def _publish(spark: SparkSession, df: DataFrame, root: str, key: str, buckets: int, old: list | None,
+             keep: list, partition_by: str | None, sort_by: str | None = None) -> str:
+    """Write ``df`` (with its bucket) as a run and commit a manifest of ``keep`` plus the run.
+
+    Rows are clustered by bucket (and ``partition_by``) before the write, so a
+    run has at most buckets x partition values files.
+    """
+    run = f"{int(time.time() * 1000)}-{_uuid.uuid4().hex[:8]}"
+    path = f"{_root(root)}/data/{RUN_COL}={run}"
+    split = [BUCKET_COL] + ([partition_by] if partition_by else [])
+    (df.repartition(*split).sortWithinPartitions(*split, *([sort_by] if sort_by else []), key)
+     .write.mode("errorifexists").partitionBy(*split).parquet(path))
+    columns = T.StructType([f for f in df.schema.fields if f.name != BUCKET_COL])
+    if old:
+        was = T.StructType.fromJson(json.loads(old[0]["columns"]))
+        columns = T.StructType([*was.fields, *[f for f in columns.fields if f.name not in was.names]])
+    text = columns.json()
+    written = [r[0] for r in spark.read.parquet(path).select(BUCKET_COL).distinct().collect()] if _has_rows(spark, path) else []
+    version = old[0]["version"] + 1 if old else 1
+    rows = [(version, run, buckets, int(b), f"{path}/{BUCKET_COL}={b}", text) for b in written]
+    rows += [(version, run, buckets, r["bucket"], r["path"], text) for r in keep]
+    if not rows:  # an empty table still has its columns
+        rows = [(version, run, buckets, -1, path, text)]
+    spark.createDataFrame(rows, _MANIFEST).coalesce(1).write.mode("append").json(f"{_root(root)}/_manifest")
+    return path
+
+
+def _has_rows(spark: SparkSession, path: str) -> bool:
+    """Whether a run wrote any file (a run of no rows has only its success marker)."""
+    try:
+        return BUCKET_COL in spark.read.parquet(path).columns
+    except AnalysisException as e:
+        if e.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
+        return False
 
 
 def compact_snapshot(spark: SparkSession, root: str, key: str, partition_by: str | None = None) -> str:
-    """Fold the appended versions into one row per key as a new version
-    (rows keep their own version, so later appends still win)."""
-    df = read_snapshot(spark, root)
-    if df is None:
+    """Fold the appended versions into one row per key. Only buckets that
+    several runs wrote are read and rewritten (rows keep their own version, so
+    later appends still win)."""
+    old = manifest(spark, root)
+    if old is None:
         raise ValueError(f"no snapshot at {root}")
-    latest = dedup_by_key(df, key, [F.col(VERSION_COL)]) if VERSION_COL in df.columns else df
-    return write_snapshot(spark, latest, root, key, partition_by=partition_by)
+    per = _by_bucket(old)
+    often = [r for rs in per.values() if len(rs) > 1 for r in rs]
+    if not often:
+        return old[0]["path"]
+    keep = [r for rs in per.values() if len(rs) == 1 for r in rs]
+    latest = dedup_by_key(_read(spark, often), key, [F.col(VERSION_COL)])
+    return _publish(spark, with_bucket(latest, key, old[0]["buckets"]), root, key, old[0]["buckets"], old, keep, partition_by)
 
 
 def write_keyed(spark: SparkSession, incoming: DataFrame, root: str, key: str,
                 mode: str = "replace", partition_by: str | None = None,
-                version: int | None = None) -> str:
+                version: int | None = None, buckets: int = DEFAULT_BUCKETS, sort_by: str | None = None) -> str:
     """Merge ``incoming`` into the snapshot table at ``root``.
 
-    ``replace`` / ``upsert`` rewrite the table as a new version (one full
-    outer join on the key, or broadcast key lookups for a small increment).
-    ``append_new`` is for incoming documents whose keys are known to be
-    absent from the target (the order sync removes existing keys itself):
-    their files are added to the current version. ``append_versioned`` gives
-    replace semantics at the cost of the increment only: documents are
-    appended with a run version, ``read_latest`` returns the newest document
-    per key, and ``compact_snapshot`` folds versions from time to time.
+    ``replace`` / ``upsert`` read and rewrite the buckets that hold incoming keys;
+    the others keep their files. ``append_versioned`` gives replace semantics at
+    the cost of the increment only: documents are appended with a run version,
+    ``read_latest`` returns the newest document per key, and ``compact_snapshot``
+    folds versions from time to time.
+
+    ``partition_by`` lays a run out in folders of that column, for a column of few
+    values in a run; ``sort_by`` orders the files by it instead, so that a bound on
+    it skips row groups, for a column of many.
     """
-    old = read_snapshot(spark, root)
+    from ..session import drop_table, materialize
+    old = manifest(spark, root)
+    n = old[0]["buckets"] if old else buckets
     if mode == "append_versioned":
         run_version = int(time.time() * 1000) if version is None else version
         docs = dedup_by_key(incoming, key).withColumn(VERSION_COL, F.lit(run_version).cast("long"))
-        if old is None:
-            return write_snapshot(spark, docs, root, key, partition_by=partition_by)
-        current = spark.read.text(_pointer(root)).first()[0].strip()
-        writer = docs.write.mode("append")
-        if partition_by:
-            writer = writer.partitionBy(partition_by)
-        writer.parquet(current)
-        return current
-    if old is None:
-        return write_snapshot(spark, dedup_by_key(incoming, key), root, key, partition_by=partition_by)
-    if mode == "append_new":
-        current = spark.read.text(_pointer(root)).first()[0].strip()
-        writer = dedup_by_key(incoming, key).write.mode("append")
-        if partition_by:
-            writer = writer.partitionBy(partition_by)
-        writer.parquet(current)
-        return current
-    if mode == "upsert":
-        merged = merge_upsert(old, incoming, key)
-    elif mode == "replace":
-        merged = merge_replace(old, incoming, key)
-    else:
+        return _publish(spark, with_bucket(docs, key, n), root, key, n, old, [r for r in old or [] if r["bucket"] >= 0], partition_by, sort_by)
+    if mode not in ("replace", "upsert"):
         raise ValueError(f"unknown write mode {mode!r}")
-    return write_snapshot(spark, merged, root, key, partition_by=partition_by)
-
-
-def write_documents(incoming: DataFrame, fmt: str, options: dict[str, str]) -> None:
-    """Hand documents to an external keyed store through its Spark connector."""
-    incoming.write.format(fmt).options(**options).mode("append").save()
-
-
-def write_replace_by_key(spark: SparkSession, incoming: DataFrame, root: str, key: str) -> str:
+    if old is None:
+        return _publish(spark, with_bucket(dedup_by_key(incoming, key), key, n), root, key, n, None, [], partition_by, sort_by)
+    # Used twice (buckets, merge): written once to the shared folder, so that a source
+    # that moves on meanwhile can't give the two uses different rows.
+    docs, table = materialize(with_bucket(dedup_by_key(incoming, key), key, n))
+    try:
+        touched = {r[0] for r in docs.select(BUCKET_COL).distinct().collect()}
+        if not touched:
+            return old[0]["path"]
+        rows = [r for r in old if r["bucket"] in touched]
+        before = _read(spark, rows) if rows else _read(spark, old).limit(0)
+        merged = _full_merge(before, docs.drop(BUCKET_COL), key, mode == "upsert")
+        return _publish(spark, with_bucket(merged, key, n), root, key, n, old, [r for r in old if r["bucket"] >= 0 and r["bucket"] not in touched], partition_by, sort_by)
+    finally:
+        drop_table(spark, table)
+
+
+def write_replace_by_key(spark: SparkSession, incoming: DataFrame, root: str, key: str, **layout) -> str:
     """Keyed write where a document replaces the old one on key collision."""
-    return write_keyed(spark, incoming, root, key, mode="replace")
+    return write_keyed(spark, incoming, root, key, mode="replace", **layout)
 
 
-def write_upsert_by_key(spark: SparkSession, incoming: DataFrame, root: str, key: str) -> str:
+def write_upsert_by_key(spark: SparkSession, incoming: DataFrame, root: str, key: str, **layout) -> str:
     """Keyed write where supplied fields overwrite and the rest survive."""
-    return write_keyed(spark, incoming, root, key, mode="upsert")
+    return write_keyed(spark, incoming, root, key, mode="upsert", **layout)

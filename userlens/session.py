@@ -72,18 +72,20 @@ def get_session(master: str = "local[8]", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
-    The cluster's ``spark.checkpoint.dir`` always wins. Only when it is unset
-    (a bare local test session) a private scratch folder is created.
+    The cluster's ``spark.checkpoint.dir`` always wins. Without it only a
+    ``local[...]`` session, whose one process is driver and executor, gets a
+    private scratch folder; elsewhere executors would each write to a disk of
+    their own, so it is an error.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None) or \
-        spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if configured:
-        spark.sparkContext.setCheckpointDir(configured)
-        return configured
-    local = tempfile.mkdtemp(prefix="userlens-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", local)
-    spark.sparkContext.setCheckpointDir(local)
-    return local
+    sc = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    if not configured:
+        if sc.master != "local" and not sc.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        configured = tempfile.mkdtemp(prefix="userlens-ckpt-")
+        spark.conf.set("spark.checkpoint.dir", configured)
+    sc.setCheckpointDir(configured)
+    return configured
 
 
 def table_path(sf_dir: str, name: str) -> str:
@@ -93,12 +95,19 @@ def table_path(sf_dir: str, name: str) -> str:
 def materialize(df):
     """Write ``df`` once as Parquet under the shared checkpoint folder and read
     it back: later uses read files instead of recomputing the lineage, and a
-    lost executor never recomputes the sources. (``checkpoint()`` would run
-    the plan twice, once to count and once to write.)"""
+    lost executor never recomputes the sources. Returns the table and its path,
+    for ``drop_table`` after use."""
     import uuid as _uuid
 
     spark = df.sparkSession
     base = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{base}/userlens-table-{_uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def drop_table(spark: SparkSession, path: str) -> None:
+    """Delete a table that ``materialize`` wrote."""
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
