@@ -93,3 +93,36 @@ def test_let_binds_a_value(spark):
     df = spark.createDataFrame([([1, 2, 3],)], "a array<int>")
     got = df.select(let(F.reverse("a"), lambda r: F.transform("a", lambda x: x + F.element_at(r, 1)))).first()[0]
     assert got == [4, 5, 6]
+
+
+def test_whole_text_must_be_one_json_object(spark):
+    texts = ['{"a":1}', ' {"a":1} ', '{"a":1} xyz', '{"a":1}{"b":2}', '{"a":1},{"b":2}', '[{"a":1}]', "[]", "1", "", None]
+    df = spark.createDataFrame([(t,) for t in texts], "s string").select(P.parse_payload("s").isNotNull().alias("ok"))
+    assert [r[0] for r in df.collect()] == [True, True] + [False] * 8
+
+
+def test_url_acceptance(spark):
+    cases = {"file:///var//log/a?x=1": ("", "/var/log/a"), "http://h.com:abc/p": (None, None), "http://[::1]:80/p": ("[::1]", "/p"),
+             "http://u:p@h.com:8080/p": ("h.com", "/p"), "http://h.com:/p": ("h.com", "/p"), "http://[::1/p": (None, None),
+             "http://h:99999999999/p": (None, None), "http:/p": ("", "/p"), "mail:x": (None, None)}
+    d = url_domain_path("u")
+    df = spark.createDataFrame([(u,) for u in cases], "u string").select("u", d["domain"], d["path"])
+    assert {r[0]: (r[1], r[2]) for r in df.collect()} == cases
+
+
+def test_cost_of_many_pairs_is_about_linear(spark):
+    import time
+
+    from pyspark.sql import functions as F
+
+    def seconds(pairs):
+        text = "{" + ";".join(f"key{i}=value{i}" for i in range(pairs)) + "}"
+        df = spark.range(400).select(F.concat(F.lit(text), F.col("id").cast("string")).alias("c")).select(F.size(P.ios_pairs("c")).alias("n"))
+        best = 1e9
+        for _ in range(4):
+            t = time.perf_counter()
+            assert df.agg(F.min("n")).first()[0] in (pairs, pairs + 1)
+            best = min(best, time.perf_counter() - t)
+        return best
+
+    assert seconds(160) < 6 * seconds(40) + 0.3

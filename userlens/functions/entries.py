@@ -18,27 +18,35 @@ def entry(k: Column, v: Column) -> Column:
     return F.struct(k.alias("key"), v.alias("value"))
 
 
+def let(value: Column, body) -> Column:
+    """Evaluate ``value`` once and pass it to ``body`` as a lambda variable.
+
+    Higher-order functions re-evaluate outer expressions on every element;
+    wrapping the value in a one-element array binds it instead.
+    """
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def dedup_last(entries: Column) -> Column:
     """Keep the last entry of each key (at its own position).
 
-    An entry survives when its key does not occur again later; the keys are
-    extracted once, so this is one lambda pass plus native array scans.
+    An entry survives when its key does not occur again later. Entries and
+    keys are bound first: inside the lambda an expression would be computed
+    again for every entry.
     """
-    keys = entries.getField("key")
-    n = F.size(entries)
-    return F.filter(entries, lambda e, i: ~F.array_contains(F.slice(keys, i + 2, F.greatest(n - i - 1, F.lit(1))), e["key"])
-                    | (i + 1 == n))
+    def kept(e: Column) -> Column:
+        def last_of_key(keys: Column) -> Column:
+            n = F.size(keys)
+            return F.filter(e, lambda x, i: ~F.array_contains(F.slice(keys, i + 2, F.greatest(n - i - 1, F.lit(1))), x["key"])
+                            | (i + 1 == n))
+        return F.when(F.size(F.array_distinct(e.getField("key"))) == F.size(e), e).otherwise(let(e.getField("key"), last_of_key))
 
+    return let(entries, kept)
 
-def unique_map(entries: Column) -> Column:
-    """Map of entries where a repeated key keeps its last value.
 
-    Fast path: when the keys are already distinct (a native check) the
-    entries become the map directly and the dedup lambda is skipped.
-    """
-    keys = entries.getField("key")
-    distinct = F.size(F.array_distinct(keys)) == F.size(entries)
-    return F.map_from_entries(F.when(distinct, entries).otherwise(dedup_last(entries)))
+def unique_map(entries: Column) -> Column:
+    """Map of entries where a repeated key keeps its last value."""
+    return F.map_from_entries(dedup_last(entries))
 
 
 def entries_json(entries: Column, unique: bool = False) -> Column:
@@ -64,12 +72,3 @@ def kv_pairs(text: Column, sep: str) -> Column:
     keys = F.regexp_extract_all(text, pattern, 1)
     values = F.regexp_extract_all(text, pattern, 2)
     return F.arrays_zip(keys.alias("key"), values.alias("value"))
-
-
-def let(value: Column, body) -> Column:
-    """Evaluate ``value`` once and pass it to ``body`` as a lambda variable.
-
-    Higher-order functions re-evaluate outer expressions on every element;
-    wrapping the value in a one-element array binds it instead.
-    """
-    return F.element_at(F.transform(F.array(value), body), 1)

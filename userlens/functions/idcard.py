@@ -245,19 +245,14 @@ def with_enriched_idcard(df: DataFrame, as_of: str, col: str = "idcard",
     return d.select(*keep, *[c.alias(n) for n, c in fields.items()])
 
 
-# Blueprint operator names.
-idcard_is_digits = is_digits
-idcard_power_sum = power_sum
-idcard_check_code = check_code
-idcard_valid_18 = valid_18
-idcard_15_to_18 = with_converted_15
-idcard_valid_any = valid_any
-idcard_valid_15_strict = with_valid_15_strict
-idcard_format_any = format_any
-idcard_format_15 = format_15
-idcard_format_18 = format_18
-idcard_province = province_name
-join_province = province_name
-idcard_gender = gender_of
-idcard_birthday = birthday_of
-enrich_idcards = with_enriched_idcard
+def calendar_date_ok(s: Column | str, as_of: str) -> Column:
+    """Whether the number's month and day are those of a calendar date, in both lengths."""
+    t = jtrim(_col(s))
+    old = F.length(t) == 15
+    yy, mm, dd = (F.substring(t, p, 2).try_cast("int") for p in (7, 9, 11))
+    year = F.year(two_digit_year_date(yy, F.lit(1), F.lit(1), as_of))
+    y = F.when(old, year).otherwise(F.substring(t, 7, 4).try_cast("int"))
+    m = F.when(old, mm).otherwise(F.substring(t, 11, 2).try_cast("int"))
+    d = F.when(old, dd).otherwise(F.substring(t, 13, 2).try_cast("int"))
+    text = F.format_string("%04d-%02d-%02d", y, m, d)
+    return F.coalesce(F.try_to_timestamp(text, F.lit("yyyy-MM-dd")).isNotNull(), F.lit(False))

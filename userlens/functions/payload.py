@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .entries import dedup_last, empty_entries as _empty_entries, entries_json, entry as _entry, kv_pairs, unique_map
+from .entries import dedup_last, empty_entries as _empty_entries, entries_json, entry as _entry, kv_pairs, let, unique_map
 from .text import is_blank, jtrim
 from .url import url_fields, url_ok
 
@@ -45,6 +45,11 @@ def ios_pairs(content: Column | str) -> Column:
     return dedup_last(trimmed)
 
 
+def wrap_source(source: Column | str) -> Column:
+    """The payload before any derived field: ``{"source": <text>}`` as JSON text."""
+    return F.to_json(F.create_map(F.lit("source"), _col(source)))
+
+
 def source_text(plateform: Column | str, content: Column | str) -> Column:
     """The ``source`` text: iOS pairs as JSON when any pair exists, else raw."""
     content = _col(content)
@@ -54,8 +59,14 @@ def source_text(plateform: Column | str, content: Column | str) -> Column:
 
 
 def parse_payload(source: Column | str) -> Column:
-    """JSON object text to ``map<string,string>``; null when not an object."""
-    return F.from_json(_col(source), "map<string,string>", JSON_OPTIONS)
+    """JSON object text to ``map<string,string>``; null unless the whole text is one object.
+
+    The reader stops after the first value, so the text is read as the one
+    element of an array: text after the object then makes the array broken or
+    longer, and both count as no object.
+    """
+    one = F.from_json(F.concat(F.lit("["), _col(source), F.lit("]")), "array<map<string,string>>", JSON_OPTIONS)
+    return let(one, lambda a: F.when(F.size(a) == 1, F.get(a, 0)))
 
 
 def payload_entries(source: Column | str) -> Column:
@@ -129,10 +140,11 @@ def mapped_fields(payload: Column, attrs: Column | str, plateform: Column | str,
                           & platform_gate(a["plateform"], plateform))
 
     def fields(a: Column) -> Column:
-        v = attribute_value(payload, a["attribute"])
-        return (F.when(a["datatype"] == "string", string_fields(a, v))
-                .when(a["datatype"] == "url", url_attribute_fields(a, v))
-                .otherwise(_empty_entries()))
+        # The value is looked up once for each attribute, not by every piece of its fields.
+        return let(attribute_value(payload, a["attribute"]), lambda v: (
+            F.when(a["datatype"] == "string", string_fields(a, v))
+            .when(a["datatype"] == "url", url_attribute_fields(a, v))
+            .otherwise(_empty_entries())))
 
     derived = F.flatten(F.transform(applicable, fields))
     none_present = F.size(F.array_intersect(attrs.getField("attribute"), keys)) == 0
@@ -177,12 +189,3 @@ def with_event_payload(df: DataFrame, plateform: str = "plateform", content: str
 def payload_json(payload: Column | str) -> Column:
     """Map to JSON text with sorted keys."""
     return F.to_json(F.map_from_entries(F.array_sort(F.map_entries(_col(payload)))))
-
-
-# Blueprint operator names.
-ios_content_to_map = ios_pairs
-wrap_source = source_text
-normalize_attribute_key = normalized_keys
-gate_by_platform = platform_gate
-map_string_attribute = string_fields
-map_url_attribute = url_attribute_fields

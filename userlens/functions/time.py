@@ -48,6 +48,30 @@ def registration_day_time(ts: Column | str) -> dict[str, Column]:
     return {"register_day": day_string(ts), "register_time": time_string(ts)}
 
 
+# A lenient time: number fields of any length, blanks before them, anything after the seconds.
+_LENIENT = r"^\s*([0-9]+)-\s*([0-9]+)-\s*([0-9]+) \s*([0-9]+):\s*([0-9]+):\s*([0-9]+)"
+
+
+def lenient_timestamp(text: Column | str) -> Column:
+    """``yyyy-MM-dd HH:mm:ss`` text as the JVM's lenient calendar reads it: a field
+    out of range rolls over into the next larger one, and what follows the
+    seconds is ignored. Null where a field is missing or no 32-bit number, or
+    the year falls outside 1 to 9999."""
+    from .entries import let
+    text = _col(text)
+    fields = F.array(*[F.regexp_extract(text, _LENIENT, i).try_cast("int").cast("long") for i in range(1, 7)])
+
+    def whole(f: Column) -> Column:
+        year = f[0] + F.floor((f[1] - 1) / 12)
+        month = F.pmod(f[1] - 1, F.lit(12)) + 1
+        rest = (f[2] - 1) * 86400 + f[3] * 3600 + f[4] * 60 + f[5]
+        first = F.when(year.between(1, 9999), F.make_date(year.cast("int"), month.cast("int"), F.lit(1)))
+        seconds = F.unix_seconds(first.cast("timestamp")) + rest
+        return F.when(seconds.between(-62135596800, 253402300799), F.timestamp_seconds(seconds))
+
+    return let(fields, whole)
+
+
 def days_before(as_of: str, days: int) -> Column:
     """``yyyy-MM-dd`` of ``as_of`` minus ``days`` days, as a literal-folded column."""
     return F.date_format(F.date_sub(F.to_date(F.lit(as_of)), days), DAY_FORMAT)

@@ -1,10 +1,10 @@
 """URL pieces of a ``url`` payload attribute, as native columns.
 
-Only absolute ``http``/``https``/``ftp`` URLs count as parsable (the JVM URL
-class rejects unknown schemes and relative text); any other value makes the
-attribute emit nothing. Query parameters are read from the raw text between
-the first and second ``?`` with no percent-decoding, so a ``#fragment`` stays
-in the last value.
+Acceptance follows the JVM's URL class: absolute ``http``/``https``/``ftp``/``file`` URLs, with or
+without an authority; a port must be a number (or empty), a bracketed IPv6 host must be closed;
+any other value makes the attribute emit nothing. Query parameters are read from the raw text
+between the first and second ``?`` with no percent-decoding, so a ``#fragment`` stays in the
+last value.
 """
 
 from __future__ import annotations
@@ -16,26 +16,38 @@ from .entries import entries_json, entry, kv_pairs, let
 from .text import java_split, jtrim
 
 # URL shapes accepted and the pieces extracted from them.
-URL_OK = r"(?i)^(https?|ftp)://"
-HOST_PATTERN = r"(?i)^(https?|ftp)://([^/?#]*@)?([^/?#:]*)"
-PATH_PATTERN = r"(?i)^(https?|ftp)://[^/?#]*([^?#]*)"
+SCHEME = r"(?i)^(?:https?|ftp|file):"
+AUTHORITY = r"(?i)^(?:https?|ftp|file)://([^/?#]*)"
+# user info, host (an IPv6 address keeps its brackets), port
+HOST_PORT = r"^(?:[^@]*@)?(\[[0-9A-Fa-f:.%]*\]|[^:\[\]]*)(?::([+]?[0-9]*))?\z"
+PATH_PATTERN = r"(?i)^(?:https?|ftp|file):(?://[^/?#]*)?([^?#]*)"
 
 
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _authority(u: Column) -> Column:
+    return F.regexp_extract(jtrim(u), AUTHORITY, 1)
+
+
 def url_ok(u: Column | str) -> Column:
-    return F.coalesce(jtrim(_col(u)).rlike(URL_OK), F.lit(False))
+    u = _col(u)
+
+    def good(a: Column) -> Column:
+        port = F.regexp_extract(a, HOST_PORT, 2)
+        return a.rlike(HOST_PORT) & ((port == "") | port.try_cast("int").isNotNull())
+
+    return F.coalesce(jtrim(u).rlike(SCHEME) & let(_authority(u), good), F.lit(False))
 
 
 def url_domain(u: Column | str) -> Column:
-    return F.regexp_extract(jtrim(_col(u)), HOST_PATTERN, 3)
+    return F.regexp_extract(_authority(_col(u)), HOST_PORT, 1)
 
 
 def url_path(u: Column | str) -> Column:
     """Path with each ``//`` replaced by ``/`` in one left-to-right pass."""
-    return F.regexp_replace(F.regexp_extract(jtrim(_col(u)), PATH_PATTERN, 2), "//", "/")
+    return F.regexp_replace(F.regexp_extract(jtrim(_col(u)), PATH_PATTERN, 1), "//", "/")
 
 
 def url_domain_path(u: Column | str) -> dict[str, Column]:
@@ -92,8 +104,3 @@ def url_fields_map(u: Column | str, ps: Column | str, es_ps: Column | str) -> Co
     """Those entries as JSON text (sorted keys, last write wins); null when
     the URL is not parsable."""
     return F.when(url_ok(u), entries_json(url_fields(u, ps, es_ps)))
-
-
-# Blueprint operator names.
-url_query_params = raw_query_pairs
-rename_query_params = renamed_query_params

@@ -6,12 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import is_blank, jtrim, normalize_platform
-from ..functions.time import TIME_FORMAT, registration_day_time
+from ..functions.time import TIME_FORMAT, lenient_timestamp, registration_day_time
 
 
 def filter_day_range(df: DataFrame, start_day: str, end_day: str, col: str = "p_day") -> DataFrame:
     """Inclusive string range on a day column (a partition filter on ``p_day``)."""
-    return df.where(F.col(col).between(F.lit(start_day), F.lit(end_day)))
+    return df.where(F.col(col).cast("string").between(F.lit(start_day), F.lit(end_day)))
 
 
 def identified_event(uid: Column | str = "uid", deviceid: Column | str = "deviceid") -> Column:
@@ -24,14 +24,15 @@ def filter_identified_events(df: DataFrame) -> DataFrame:
     return df.where(identified_event())
 
 
-def filter_above_high_water(df: DataFrame, high_water, cutoff: str, key: str = "uid",
+def filter_above_high_water(df: DataFrame, high_water, cutoff, key: str = "uid",
                             time_col: str = "registerdate") -> DataFrame:
     """``key > high_water`` and ``time_col < cutoff`` (the late-commit guard).
 
-    ``high_water`` may be a number or a scalar-subquery column.
+    ``high_water`` may be a number or a scalar-subquery column, ``cutoff`` text or a column.
     """
     hw = high_water if isinstance(high_water, Column) else F.lit(high_water)
-    return df.where((F.col(key) > hw) & (F.col(time_col) < F.to_timestamp(F.lit(cutoff))))
+    until = cutoff if isinstance(cutoff, Column) else F.to_timestamp(F.lit(cutoff))
+    return df.where((F.col(key) > hw) & (F.col(time_col) < until))
 
 
 def filter_valid_idcards(df: DataFrame) -> DataFrame:
@@ -40,19 +41,20 @@ def filter_valid_idcards(df: DataFrame) -> DataFrame:
 
 
 def preview(df: DataFrame, n: int = 10) -> DataFrame:
-    """First ``n`` rows for eyeballing; jobs never call it."""
+    """First ``n`` rows for eyeballing (``cli.py show``); jobs never call it."""
     return df.limit(n)
 
 
 # ---- registration lines ---------------------------------------------------
 
-_LONG_TEXT = r"^[+-]?[0-9]{1,19}\z"
+_LONG_TEXT = r"^[+-]?[0-9]+\z"
 
 
-def _parsed_registration(fields: DataFrame) -> DataFrame:
+def _parsed_registration(fields: DataFrame, strict_dates: bool) -> DataFrame:
     uid_text = jtrim(F.col("uid"))
     uid = F.when(uid_text.rlike(_LONG_TEXT), uid_text.try_cast("long"))
-    ts = F.try_to_timestamp(jtrim(F.col("registerdate")), F.lit(TIME_FORMAT))
+    text = jtrim(F.col("registerdate"))
+    ts = F.try_to_timestamp(text, F.lit(TIME_FORMAT)) if strict_dates else lenient_timestamp(text)
     ok = (F.col("n_fields") >= 8) & uid.isNotNull() & ts.isNotNull()
     day_time = registration_day_time(ts)
     return fields.select(
@@ -69,18 +71,23 @@ def _parsed_registration(fields: DataFrame) -> DataFrame:
     )
 
 
+# The fields of a user document.
 USER_BASE_COLUMNS = ["uid", "username", "register_day", "register_time", "register_plateform",
                      "register_app_version", "register_channel", "register_phone_os",
                      "register_phone_name"]
 
 
-def filter_bad_registration_lines(fields: DataFrame) -> DataFrame:
-    """Parsed users from split lines; any parse error or uid 0 drops the line."""
-    p = _parsed_registration(fields)
+def filter_bad_registration_lines(fields: DataFrame, strict_dates: bool = False) -> DataFrame:
+    """Parsed users from split lines; any parse error or uid 0 drops the line.
+
+    Dates are read leniently (month 13, short fields, text after the seconds);
+    ``strict_dates`` takes only exact ``yyyy-MM-dd HH:mm:ss`` calendar dates.
+    """
+    p = _parsed_registration(fields, strict_dates)
     return p.where(F.col("uid") != 0).select(*USER_BASE_COLUMNS)
 
 
-def quarantine_bad_lines(fields: DataFrame) -> DataFrame:
+def quarantine_bad_lines(fields: DataFrame, strict_dates: bool = False) -> DataFrame:
     """The lines ``filter_bad_registration_lines`` drops, as they were read."""
-    p = _parsed_registration(fields)
+    p = _parsed_registration(fields, strict_dates)
     return p.where(F.col("uid") == 0).select(F.col("value").alias("line"))
