@@ -10,9 +10,40 @@ from __future__ import annotations
 
 from datetime import date, datetime, timedelta
 
-from userlens.functions.idcard import CHECK_CODES, FORMAT_15, FORMAT_18, FORMAT_ANY, POWER_WEIGHTS, PROVINCES
-from userlens.functions.url import HOST_PATTERN, PATH_PATTERN, URL_OK
-from userlens.plans import queries as Q
+# Fixed values, written out here so that an error in the library's own shows. Weight of each of the
+# first 17 digits of an 18-digit number, and the check character for the weighted sum mod 11.
+POWER_WEIGHTS = [7, 9, 10, 5, 8, 4, 2, 1, 6, 3, 7, 9, 10, 5, 8, 4, 2]
+CHECK_CODES = "10x98765432"
+# Province code -> name, in code order.
+PROVINCES = [
+    ("11", "北京"), ("12", "天津"), ("13", "河北"), ("14", "山西"), ("15", "内蒙古"),
+    ("21", "辽宁"), ("22", "吉林"), ("23", "黑龙江"),
+    ("31", "上海"), ("32", "江苏"), ("33", "浙江"), ("34", "安徽"), ("35", "福建"),
+    ("36", "江西"), ("37", "山东"),
+    ("41", "河南"), ("42", "湖北"), ("43", "湖南"), ("44", "广东"), ("45", "广西"),
+    ("46", "海南"),
+    ("50", "重庆"), ("51", "四川"), ("52", "贵州"), ("53", "云南"), ("54", "西藏"),
+    ("61", "陕西"), ("62", "甘肃"), ("63", "青海"), ("64", "宁夏"), ("65", "新疆"),
+    ("71", "台湾"), ("81", "香港"), ("82", "澳门"), ("91", "国外"),
+]
+FORMAT_ANY = r"(^\d{15}$)|(\d{17}(?:\d|x|X)$)"
+FORMAT_15 = r"^[1-9]\d{7}((0\d)|(1[0-2]))(([0|1|2]\d)|3[0-1])\d{3}$"
+FORMAT_18 = r"^[1-9]\d{5}[1-9]\d{3}((0\d)|(1[0-2]))(([0|1|2]\d)|3[0-1])\d{3}([\d|x|X]{1})$"
+
+
+class Q:
+    """Parameters of the registered queries."""
+
+    DAY_RANGE = ("2024-01-05", "2024-01-20")
+    ALL_DAYS = ("2000-01-01", "2099-12-31")
+    ORDERS_AS_OF, ORDERS_DAYS = "2001-08-01", 730
+    DEVICES_AS_OF, DEVICES_DAYS = "2024-01-31", 7
+    USERS_LOADED_BEFORE = "2017-06-01 00:00:00"
+    USERS_AS_OF = "2017-09-01 00:00:00"
+    IDCARD_AS_OF = "2024-06-30"
+    URL_PS, URL_ES_PS = "page,ref,utm_source", "page_no,ref_code"
+    RESYNC_DAY = "2030-01-01"
+
 
 # ---- SQL snippets -----------------------------------------------------------
 
@@ -37,7 +68,7 @@ def psum(x: str) -> str:
                             for i, w in enumerate(POWER_WEIGHTS)) + ")"
 
 
-CHECK = "".join(CHECK_CODES)
+CHECK = CHECK_CODES
 
 
 def check(sum_expr: str) -> str:
@@ -69,16 +100,30 @@ def yymmdd(t: str, as_of: str) -> str:
             f"ELSE {same} END)")
 
 
+def _authority(u: str) -> str:
+    return f"regexp_extract({jtrim(u)}, '(?i)^(https?|ftp|file)://([^/?#]*)', 2)"
+
+
+def _after_user(u: str) -> str:
+    return f"regexp_replace({_authority(u)}, '^[^@]*@', '')"
+
+
 def url_ok(u: str) -> str:
-    return f"coalesce(regexp_matches({jtrim(u)}, '{URL_OK}'), false)"
+    """A known scheme; a host without stray colons or brackets; an empty or 32-bit port."""
+    rest = _after_user(u)
+    port = f"regexp_extract({rest}, ':([^:\\]]*)$', 1)"
+    shape = f"regexp_matches({rest}, '^(\\[[0-9A-Fa-f:.%]*\\]|[^:\\[\\]]*)(:[+]?[0-9]*)?$')"
+    number = f"({port} = '' OR TRY_CAST({port} AS INTEGER) IS NOT NULL)"
+    return f"coalesce(regexp_matches({jtrim(u)}, '(?i)^(https?|ftp|file):') AND {shape} AND {number}, false)"
 
 
 def url_domain(u: str) -> str:
-    return f"regexp_extract({jtrim(u)}, '{HOST_PATTERN}', 3)"
+    return f"regexp_extract({_after_user(u)}, '^(\\[[^\\]]*\\]|[^:]*)', 1)"
 
 
 def url_path(u: str) -> str:
-    return f"regexp_replace(regexp_extract({jtrim(u)}, '{PATH_PATTERN}', 2), '//', '/', 'g')"
+    path = f"regexp_extract({jtrim(u)}, '(?i)^(https?|ftp|file):(//[^/?#]*)?([^?#]*)', 3)"
+    return f"regexp_replace({path}, '//', '/', 'g')"
 
 
 def raw_pairs(u: str) -> str:
@@ -122,7 +167,8 @@ def _event_url(e: str) -> str:
             f" || '&ref=r' || {v(f'{e} % 3')} || '&x=1=2&q=#top' "
             f"WHEN 1 THEN 'https://www.site' || {v(f'{e} % 9')} || '.example.org//p' || {v(f'{e} % 7')}"
             f" || '?utm_source=feed&page=' || {v(f'{e} % 4')} "
-            f"WHEN 2 THEN 'ftp://files.example.net/pub//f' || {v(f'{e} % 10')} "
+            f"WHEN 2 THEN CASE {e} % 44 WHEN 2 THEN 'http://h.com:abc/p?page=1' WHEN 6 THEN 'file:///var//log/a?page=2' "
+            f"WHEN 10 THEN 'http://u@[::1]:80/p?ref=z' ELSE 'ftp://files.example.net/pub//f' || {v(f'{e} % 10')} END "
             f"ELSE 'foo://bad/' || {v(e)} END")
 
 
@@ -141,6 +187,8 @@ LOGS = f"""logs AS (
                  ELSE '{{k=' || kk || '; uid=' || CAST(user_id AS VARCHAR) || ';' || chr(9)
                       || 'bad=;a=b=c;url=' || url || '}}' END)
          ELSE (CASE WHEN event_id % 17 = 0 THEN 'not json {{' || kk
+                    WHEN event_id % 23 = 0 THEN '{{"k": ' || kk || '}} tail'
+                    WHEN event_id % 29 = 0 THEN '{{"k": ' || kk || '}}{{"k": 1}}'
                     WHEN event_id % 5 = 0 THEN '{{"k": ' || kk || ', "Url": "' || url || '"}}'
                     ELSE '{{"k": ' || kk || ', "url": "' || url || '", "tags": {{"a": 1}}, " UID ": "'
                          || CAST(user_id AS VARCHAR) || '"}}' END) END AS eventcontent,
@@ -263,8 +311,8 @@ existing AS (SELECT uuid AS _id, p_day FROM trade WHERE matchresult = 'F' AND uu
 USERS = """users AS (
   SELECT c_custkey AS uid,
     CASE WHEN c_custkey % 5 = 0 THEN ' ' || c_name || chr(9) ELSE c_name END AS username,
-    TIMESTAMP '2017-01-01 00:00:00' + to_hours(CAST(c_custkey * 7 AS BIGINT))
-      + to_minutes(CAST(c_custkey % 60 AS BIGINT)) AS registerdate,
+    TIMESTAMP '2017-01-01 00:00:00'
+      + to_minutes(c_custkey * 525600 // (SELECT max(c_custkey) FROM customer)) AS registerdate,
     CASE WHEN c_custkey % 4 = 0 THEN 'iPhone' WHEN c_custkey % 4 = 1 THEN ' Android '
          WHEN c_custkey % 4 = 2 THEN NULL ELSE 'H5' END AS registerplateform,
     ' v' || CAST(c_custkey % 3 AS VARCHAR) || ' ' AS app_version,
@@ -291,9 +339,11 @@ def _user_base(alias: str = "u") -> str:
 
 LINES = """lines AS (
   SELECT concat_ws('#',
-    CASE WHEN c_custkey % 17 = 0 THEN 'x' WHEN c_custkey % 19 = 0 THEN '0' ELSE ' ' || CAST(c_custkey AS VARCHAR) END,
+    CASE WHEN c_custkey % 17 = 0 THEN 'x' WHEN c_custkey % 19 = 0 THEN '0'
+         WHEN c_custkey % 13 = 0 THEN lpad(CAST(c_custkey AS VARCHAR), 24, '0') ELSE ' ' || CAST(c_custkey AS VARCHAR) END,
     replace(c_name, '#', ''),
-    CASE WHEN c_custkey % 29 = 0 THEN '2017-13-01 10:00:00'
+    CASE WHEN c_custkey % 29 = 0 THEN '2017-13-01 10:00:00' WHEN c_custkey % 31 = 0 THEN '2017-1-2 3:4:5'
+         WHEN c_custkey % 37 = 0 THEN '2017-01-02 03:04:05.0' WHEN c_custkey % 43 = 0 THEN '2017-01-02'
          ELSE strftime(TIMESTAMP '2017-01-01 00:00:00' + to_hours(CAST(c_custkey * 5 AS BIGINT)), '%Y-%m-%d %H:%M:%S') END,
     c_mktsegment,
     'os' || CAST(c_custkey % 5 AS VARCHAR),
@@ -302,12 +352,18 @@ LINES = """lines AS (
     CASE WHEN c_custkey % 23 = 0 THEN NULL ELSE '"p' || CAST(c_custkey % 11 AS VARCHAR) || '"' END) AS value
   FROM customer)"""
 
+def _field(group: int) -> str:
+    shape = r"^\s*([0-9]+)-\s*([0-9]+)-\s*([0-9]+) \s*([0-9]+):\s*([0-9]+):\s*([0-9]+)"
+    return f"TRY_CAST(regexp_extract({jtrim('parts[3]')}, '{shape}', {group}) AS BIGINT)"
+
+
 PARSED = f"""parsed AS (
   SELECT value, parts, len(parts) AS n,
-         CASE WHEN regexp_matches({jtrim('parts[1]')}, '^[+-]?[0-9]{{1,19}}$')
-              THEN TRY_CAST({jtrim('parts[1]')} AS BIGINT) END AS uid0,
-         try_strptime({jtrim('parts[3]')}, '%Y-%m-%d %H:%M:%S') AS ts
-  FROM (SELECT value, string_split(value, '#') AS parts FROM lines) x),
+         TRY_CAST(regexp_extract({jtrim('parts[1]')}, '^[+]?(-?[0-9]+)$', 1) AS BIGINT) AS uid0,
+         make_date(CAST(d[1] + floor((d[2] - 1) / 12) AS BIGINT), CAST((d[2] - 1) % 12 + 1 AS BIGINT), 1)
+           + to_days(CAST(d[3] - 1 AS INTEGER)) + to_hours(d[4]) + to_minutes(d[5]) + to_seconds(d[6]) AS ts
+  FROM (SELECT value, parts, [{', '.join(_field(g) for g in range(1, 7))}] AS d
+        FROM (SELECT value, string_split(value, '#') AS parts FROM lines) x) y),
 checked AS (
   SELECT *, CASE WHEN n >= 8 AND uid0 IS NOT NULL AND ts IS NOT NULL THEN uid0 ELSE 0 END AS uid FROM parsed)"""
 
@@ -469,6 +525,12 @@ def _sql() -> dict[str, str]:
         f"WHERE p_day >= '{since_orders}' AND uuid IS NOT NULL AND NOT EXISTS ("
         f"SELECT 1 FROM existing e WHERE e.p_day >= '{since_orders}' AND e._id = t.uuid) "
         f"QUALIFY row_number() OVER (PARTITION BY uuid ORDER BY uid DESC, schemeid DESC) = 1")
+    out["orders_resync"] = (
+        f"WITH {_trade()}, open_orders AS (SELECT uuid AS _id, uid, schemeid, betnumber, p_day FROM trade "
+        f"WHERE matchresult = 'O' AND uuid IS NOT NULL), "
+        f"again AS (SELECT _id, uid, schemeid, 'again' AS betnumber, '{Q.RESYNC_DAY}' AS p_day FROM open_orders WHERE schemeid % 30 = 0) "
+        f"SELECT * FROM (SELECT * FROM again UNION ALL SELECT * FROM open_orders WHERE _id NOT IN (SELECT _id FROM again)) "
+        f"QUALIFY row_number() OVER (PARTITION BY _id ORDER BY uid DESC, schemeid DESC) = 1")
     out["users_text_parse"] = (
         f"WITH {LINES}, {PARSED} SELECT uid, {jtrim('parts[2]')} AS username, "
         f"strftime(ts, '%Y-%m-%d') AS register_day, strftime(ts, '%Y-%m-%d %H:%M:%S') AS register_time, "
@@ -494,6 +556,8 @@ def _sql() -> dict[str, str]:
         f"FROM dv WHERE registerday >= '{since_devices}'")
     out["tracks_first_use"] = (f"WITH {LOGS}, {_footprint(all_lo, all_hi)} SELECT uid, deviceid, channel, version, "
                                f"plateform, begintime, {_ms_text('begintime')} AS firstUseTime FROM first_use")
+    out["tracks_row_number"] = (f"WITH {LOGS}, {_footprint(all_lo, all_hi)} SELECT uid, deviceid, channel, version, "
+                                f"plateform, begintime FROM first_use")
     out["tracks_by_user"] = (
         f"WITH {LOGS}, {_footprint(all_lo, all_hi)}, tr AS (SELECT uid, deviceid, channel, version, plateform, "
         f"{_ms_text('begintime')} AS ft FROM first_use) "

@@ -36,6 +36,16 @@ def derby(spark):
 def test_scan_users_incremental_pushes_bounds(spark, derby):
     df = scans.scan_users_incremental(spark, URL, "USERS_T", 10, "2017-02-01 00:00:00", derby)
     assert [r[0] for r in df.collect()] == [20]
+    wide = scans.scan_users_incremental(spark, URL, "USERS_T", 0, "2018-01-01 00:00:00", derby)
+    assert wide.rdd.getNumPartitions() == scans.JDBC_PARTITIONS
+    assert sorted(r[0] for r in wide.collect()) == [10, 20, 30]
+    assert scans.scan_users_incremental(spark, URL, "USERS_T", 99, "2018-01-01 00:00:00", derby).count() == 0
+
+
+def test_scans_take_other_column_names(spark, derby):
+    names = {"phone_name": "s_login_name"}
+    df = scans.scan_users_incremental(spark, URL, "USERS_T", 10, "2017-02-01 00:00:00", derby, columns=names)
+    assert [r[0] for r in df.select("phone_name").collect()] == ["bob"]
 
 
 def test_scan_idcards_partitioned(spark, derby):
@@ -44,6 +54,9 @@ def test_scan_idcards_partitioned(spark, derby):
     assert df.rdd.getNumPartitions() == 2
     got = sorted(tuple(r) for r in df.collect())
     assert got == [(10, "110105194912310021"), (30, "321023199309173032")]
+    split = scans.scan_idcards_jdbc(spark, URL, "USERS_T", 0, options=derby)
+    assert split.rdd.getNumPartitions() == scans.JDBC_PARTITIONS
+    assert sorted(tuple(r) for r in split.collect()) == got
 
 
 def test_log_job_with_mapping_from_jdbc(spark, derby, tmp_path):
@@ -107,7 +120,7 @@ def test_user_document_workflow(spark, derby, tmp_path):
     root = str(tmp_path / "users")
     lines = tmp_path / "users.txt"
     lines.write_text("10#alice#2017-01-01 10:00:00#c1#os1#iPhone#1.0#p1\n")
-    jobs.run_load_users_bulk(spark, str(lines), root)
+    jobs.run_load_users_bulk(spark, str(lines), root, str(tmp_path / "bad"))
     assert jobs.run_load_users_incremental(spark, URL, "USERS_T", root, "2017-02-01 00:00:00",
                                            options=derby) is not None
     jobs.run_enrich_user_idcards(spark, URL, "USERS_T", root, "2024-06-30", min_uid=0,

@@ -42,14 +42,20 @@ def test_identified_filter(spark):
 def test_registration_lines(spark):
     lines = ["1#a#2017-01-02 03:04:05#ch#os#iPhone# v1 #\"p\"", "x#a#2017-01-02 03:04:05#ch#os#ios#v#p",
              "0#a#2017-01-02 03:04:05#ch#os#ios#v#p", "2#a#2017-01-02 03:04:05#ch#os#ios#v",
-             "3#a#2017-13-02 03:04:05#ch#os#ios#v#p", "4#b#2017-01-02 03:04:05#ch#os#H5#v#p#extra"]
+             "3#a#2017-13-02 03:04:05#ch#os#ios#v#p", "4#b#2017-01-02 03:04:05#ch#os#H5#v#p#extra",
+             "00000000000000000000005#a#2017-1-2 3:4:5#ch#os#ios#v#p", "6#a#2017-01-02 03:04:05.0#ch#os#ios#v#p",
+             "7#a#2017-01-02#ch#os#ios#v#p", "99999999999999999999#a#2017-01-02 03:04:05#ch#os#ios#v#p"]
     df = spark.createDataFrame([(x,) for x in lines], "value string")
     good, bad = jobs.users_bulk(df)
     g = {r["uid"]: r for r in good.collect()}
-    assert sorted(g) == [1, 4]
+    assert sorted(g) == [1, 3, 4, 5, 6]
+    assert g[3]["register_time"] == "2018-01-02 03:04:05"
+    assert g[5]["register_time"] == g[6]["register_time"] == "2017-01-02 03:04:05"
     assert g[1]["register_plateform"] == "ios" and g[1]["register_phone_name"] == '"p"'
     assert g[1]["register_app_version"] == "v1" and g[1]["register_day"] == "2017-01-02"
-    assert len(bad.collect()) == 4
+    assert len(bad.collect()) == 5
+    strict, _ = jobs.users_bulk(df, strict_dates=True)
+    assert sorted(r["uid"] for r in strict.collect()) == [1, 4]
 
 
 def test_upsert_and_replace(spark):
@@ -101,10 +107,9 @@ def test_mapping_one_template_per_action(spark):
 
 def test_bounded_broadcast(spark):
     small = spark.range(5)
-    _, used = J.bounded_broadcast(small, 10)
-    assert used
-    _, used = J.bounded_broadcast(small, 3)
-    assert not used
+    assert J.bounded_broadcast(small, 1000)[1]
+    assert not J.bounded_broadcast(small, 10)[1]
+    assert not J.bounded_broadcast(spark.createDataFrame([("x" * 500,)], "s string"), 500)[1]
 
 
 def test_snapshot_roundtrip(spark, tmp_path):
@@ -117,7 +122,7 @@ def test_snapshot_roundtrip(spark, tmp_path):
     assert cur == {1: "a", 2: "B", 3: "c"}
 
 
-def test_order_sync_appends_only_new(spark, tmp_path):
+def test_order_sync_replaces_a_redated_order(spark, tmp_path):
     root = str(tmp_path / "orders")
     cols = ", ".join(f"{c} string" for c in ["uuid", "issueno", "betnumber", "hteam", "vteam", "tournamentname",
                                              "matchresult", "platformcode", "bunch", "betsp", "winsp", "p_day"])
@@ -131,10 +136,14 @@ def test_order_sync_appends_only_new(spark, tmp_path):
                   platformcode="p", bunch="1", betsp="1", winsp="1", p_day=day, uid=1, schemeid=1, lotteryid=1,
                   playtypeid=1, superplaytypeid=1, hteamid=1, vteamid=1, tournamentid=1, iswin=0,
                   datetime=dt.datetime(2024, 1, 1), multiple=1, money=1.0) for i in ids], schema)
-    jobs.run_sync_new_orders(spark, orders(["a", "b"], "2024-01-30"), root, "2024-01-31")
-    jobs.run_sync_new_orders(spark, orders(["a", "b", "c"], "2024-01-30"), root, "2024-01-31")
-    got = sorted(r["_id"] for r in K.read_snapshot(spark, root).collect())
-    assert got == ["a", "b", "c"]
+    def latest():
+        return sorted((r["_id"], r["p_day"]) for r in K.read_latest(spark, root, "_id").collect())
+    jobs.run_sync_new_orders(spark, orders(["a", "b"], "2024-01-30"), root, "2024-01-31", version=1)
+    jobs.run_sync_new_orders(spark, orders(["a", "b", "c"], "2024-01-30"), root, "2024-01-31", version=2)
+    assert latest() == [("a", "2024-01-30"), ("b", "2024-01-30"), ("c", "2024-01-30")]
+    for version in (3, 4):  # re-dated beyond the look-back, and the run repeated
+        jobs.run_sync_new_orders(spark, orders(["a"], "2024-02-10"), root, "2024-02-10", version=version)
+        assert latest() == [("a", "2024-02-10"), ("b", "2024-01-30"), ("c", "2024-01-30")]
 
 
 def test_cli_runs_bulk_and_tracks(spark, tmp_path):
@@ -154,22 +163,6 @@ def test_cli_runs_bulk_and_tracks(spark, tmp_path):
     assert [r[0] for r in spark.read.text(str(tmp_path / "bad")).collect()] == ["x#b#2017-01-02 03:04:05#ch#os#ios#v#p"]
 
 
-def test_merge_paths_agree(spark):
-    old = spark.createDataFrame([(i, f"n{i}", f"t{i}") for i in range(50)], "uid long, name string, tag string")
-    new = spark.createDataFrame([(i, None if i % 2 else f"N{i}") for i in range(40, 60)], "uid long, name string")
-    for merge in (K.merge_upsert, K.merge_replace):
-        small = sorted(tuple(r) for r in merge(old, new, "uid").select("uid", "name", "tag").collect())
-        large = sorted(tuple(r) for r in merge(old, new, "uid", small_increment_rows=0)
-                       .select("uid", "name", "tag").collect())
-        assert small == large and len(small) == 60
-
-
-def test_bounded_broadcast_weight(spark):
-    df = spark.createDataFrame([(1, [1, 2, 3]), (2, [4])], "k int, a array<int>")
-    assert J.bounded_broadcast(df, 10, F.size("a"), 4)[1]
-    assert not J.bounded_broadcast(df, 10, F.size("a"), 3)[1]
-
-
 def test_cli_devices_and_compact(spark, tmp_path):
     from userlens import cli
     dev = spark.createDataFrame(
@@ -190,6 +183,7 @@ def test_cli_devices_and_compact(spark, tmp_path):
     K.write_keyed(spark, docs.where("_id = 'a'").withColumn("v", F.lit(9)), vroot, "_id",
                   mode="append_versioned", version=2)
     cli.main(["compact", "--target", vroot])
+    cli.main(["show", "--target", vroot, "--rows", "1"])
     rows = {r["_id"]: r["v"] for r in K.read_latest(spark, vroot, "_id").collect()}
     assert rows == {"a": 9, "b": 2} and K.read_snapshot(spark, vroot).count() == 2
 

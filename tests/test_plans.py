@@ -18,7 +18,7 @@ def plan_of(df) -> str:
 @pytest.fixture(scope="module")
 def Q():
     import __spark_entry__ as E
-    return E.queries()
+    return E.QUERIES
 
 
 def test_tracks_prune_columns_and_combine_before_shuffle(spark, Q):
@@ -31,7 +31,7 @@ def test_tracks_prune_columns_and_combine_before_shuffle(spark, Q):
 def test_log_documents_broadcasts_mapping_and_dedups_partially(spark, Q):
     p = plan_of(Q["log_documents"](spark, SF))
     assert "BroadcastHashJoin" in p
-    assert "partial_max_by" in p
+    assert "partial_max(struct" in p and "max_by" not in p
     assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p
 
 
@@ -44,3 +44,25 @@ def test_no_python_udf_anywhere(spark, Q):
 def test_order_sync_reads_only_needed_columns(spark, Q):
     p = plan_of(Q["orders_except_keys"](spark, SF))
     assert "o_totalprice" not in p
+
+
+def test_day_bound_prunes_folders_and_filters_are_pushed(spark, tmp_path):
+    from userlens.sources import scans
+    from userlens.sources.derived import behaviour_logs
+    src = str(tmp_path / "logs")
+    behaviour_logs(spark, SF).repartition("p_day").write.partitionBy("p_day").parquet(src)
+    p = plan_of(scans.scan_footprint_logs(spark, src, "2024-01-05", "2024-01-06"))
+    found = [l for l in p.splitlines() if l.startswith("PartitionFilters")]
+    assert found and "2024-01-05" in found[0] and "2024-01-06" in found[0]
+    pushed = [l for l in p.splitlines() if l.startswith("PushedFilters")]
+    assert pushed and "GreaterThan(uid,0)" in pushed[0] and "IsNotNull(deviceid)" in pushed[0]
+    assert "eventcontent" not in next(l for l in p.splitlines() if l.startswith("ReadSchema"))
+    days = {r[0] for r in scans.scan_logs_by_day(spark, src, "2024-01-05", "2024-01-06").select("p_day").distinct().collect()}
+    assert days == {"2024-01-05", "2024-01-06"}
+
+
+def test_order_sync_drops_known_orders_before_the_dedup(spark, Q):
+    p = plan_of(Q["orders_sync_new"](spark, SF))
+    tree = p.split("(1) ", 1)[0]
+    join = min(tree.index(j) for j in ("SortMergeJoin", "BroadcastHashJoin", "ShuffledHashJoin") if j in tree)
+    assert "LeftAnti" in p and tree.index("Aggregate") < join  # the tree is printed from the result down

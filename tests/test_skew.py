@@ -32,7 +32,7 @@ def test_mapping_join_without_broadcast_is_identical(spark):
     logs = Q._logs(spark, SF)
     mapping = Q._mapping(spark, SF)
     a = jobs.log_documents(logs, mapping)
-    b = jobs.log_documents(logs, mapping, max_broadcast_rows=0)
+    b = jobs.log_documents(logs, mapping, max_broadcast_bytes=-1)
     def norm(df):
         return sorted((r["_id"], str(sorted(r["eventcontent"].items()))) for r in df.collect())
     assert norm(a) == norm(b)

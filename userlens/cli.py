@@ -44,14 +44,15 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--end", required=True)
     p.add_argument("--mapping-url", required=True)
     p.add_argument("--target", required=True)
-    p = sub.add_parser("orders", help="recent orders -> new order documents (append)")
+    p = sub.add_parser("orders", help="recent orders -> new order documents (newest per uuid)")
     p.add_argument("--src", required=True)
     p.add_argument("--target", required=True)
     p.add_argument("--days", type=int, default=2)
     p = sub.add_parser("users-bulk", help="registration text -> user documents (replace)")
     p.add_argument("--path", required=True)
     p.add_argument("--target", required=True)
-    p.add_argument("--quarantine")
+    p.add_argument("--quarantine", required=True, help="folder for the lines that can't be read")
+    p.add_argument("--strict-dates", action="store_true")
     p = sub.add_parser("users", help="new database users -> user documents (upsert)")
     p.add_argument("--url", required=True)
     p.add_argument("--table", required=True)
@@ -67,7 +68,8 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--target", required=True)
     p.add_argument("--min-uid", type=int, required=True)
     p.add_argument("--bounds", type=int, nargs=2)
-    p.add_argument("--partitions", type=int, default=2)
+    p.add_argument("--partitions", type=int, default=8)
+    p.add_argument("--strict-dates", action="store_true")
     p = sub.add_parser("devices", help="recent devices -> device documents (upsert)")
     p.add_argument("--src", required=True)
     p.add_argument("--target", required=True)
@@ -76,6 +78,9 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--target", required=True)
     p.add_argument("--key", default="_id")
     p.add_argument("--partition-by", default=None)
+    p = sub.add_parser("show", help="print some rows of a snapshot")
+    p.add_argument("--target", required=True)
+    p.add_argument("--rows", type=int, default=10)
     for sp in sub.choices.values():
         sp.add_argument("--as-of", default=None, help="'now' for windows and guards (UTC)")
         sp.add_argument("--opt", action="append", help="JDBC option key=value")
@@ -90,19 +95,27 @@ def main(argv: list[str] | None = None) -> None:
     elif a.job == "orders":
         jobs.run_sync_new_orders(spark, a.src, a.target, as_of, a.days)
     elif a.job == "users-bulk":
-        jobs.run_load_users_bulk(spark, a.path, a.target, a.quarantine)
+        jobs.run_load_users_bulk(spark, a.path, a.target, a.quarantine, a.strict_dates)
     elif a.job == "users":
         jobs.run_load_users_incremental(spark, a.url, a.table, a.target, as_of, options=opts)
     elif a.job == "tracks":
         jobs.run_build_user_tracks(spark, a.src, a.start, a.end, a.target)
     elif a.job == "idcards":
         jobs.run_enrich_user_idcards(spark, a.url, a.table, a.target, as_of, a.min_uid,
-                                     tuple(a.bounds) if a.bounds else None, a.partitions, opts)
+                                     tuple(a.bounds) if a.bounds else None, a.partitions, opts,
+                                     strict_dates=a.strict_dates)
     elif a.job == "devices":
         jobs.run_sync_recent_devices(spark, a.src, a.target, as_of, a.days)
     elif a.job == "compact":
         from userlens.operators.keyed import compact_snapshot
         compact_snapshot(spark, a.target, a.key, a.partition_by)
+    elif a.job == "show":
+        from userlens.operators.filters import preview
+        from userlens.operators.keyed import read_snapshot
+        table = read_snapshot(spark, a.target)
+        if table is None:
+            raise SystemExit(f"no snapshot at {a.target}")
+        preview(table, a.rows).show(truncate=False)
 
 
 if __name__ == "__main__":

@@ -48,10 +48,16 @@ def track_struct(time_col: str = "begintime") -> Column:
 
 
 def collect_track(first_uses: DataFrame, time_col: str = "begintime") -> DataFrame:
-    """One row per uid with its tracks as a sorted array of structs."""
+    """One row per uid with its tracks as a sorted array of structs.
+
+    The array is the user's document, so all tracks of a uid meet in one row;
+    its input is distinct tracks, not events. A row is limited to 2 GB, some
+    ten million tracks of one uid.
+    """
     return (first_uses.groupBy("uid")
             .agg(F.array_sort(F.collect_list(track_struct(time_col))).alias("base_track")))
 
 
 def distinct_keys(df: DataFrame, key: str) -> DataFrame:
+    """The different values of a key column, one null included."""
     return df.select(key).distinct()

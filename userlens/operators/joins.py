@@ -1,57 +1,41 @@
 """Joins of the jobs.
 
-Broadcast is hinted only behind an explicit size check (rows, and optionally
-a weight such as attribute entries): a side proven small is hinted; otherwise
-the plain join stays and Spark/AQE pick a shuffle join (AQE splits skewed
-partitions of the big side at runtime).
+Broadcast is hinted only behind a check of the side's size in bytes: a side
+proven small is hinted; otherwise the plain join stays and Spark/AQE pick a
+shuffle join (AQE splits skewed partitions of the big side at runtime).
 """
 
 from __future__ import annotations
 
-import weakref
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Bounds for broadcasting the mapping side: actions, and attribute entries
-# over all actions (each entry is ~100-200 bytes, so ~100 MB at most).
-DEFAULT_BROADCAST_ROWS = 200_000
-DEFAULT_BROADCAST_ATTRS = 500_000
-
+from .aggregates import distinct_keys
 
-_checked: "weakref.WeakKeyDictionary[DataFrame, dict]" = weakref.WeakKeyDictionary()
+# Bound for broadcasting the mapping side, in bytes of its rows as JSON text.
+DEFAULT_BROADCAST_BYTES = 64 << 20
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
-                      weight=None, max_weight: int | None = None) -> tuple[DataFrame, bool]:
-    """``(broadcast(df), True)`` when ``df`` has at most ``max_rows`` rows
-    (and, with ``weight``, a column-sum of at most ``max_weight``).
+def bounded_broadcast(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> tuple[DataFrame, bool]:
+    """``(broadcast(df), True)`` when ``df``'s rows have at most ``max_bytes`` bytes.
 
-    The check reads at most ``max_rows + 1`` rows, so it never scans more
-    than the bound it is checking; the answer is remembered per frame.
+    One aggregate over ``df``, run now and not remembered, so whoever builds a
+    plan with it pays for it.
     """
-    seen = _checked.setdefault(df, {})
-    tag = (max_rows, max_weight, str(weight) if weight is not None else None)
-    if tag not in seen:
-        capped = df.limit(max_rows + 1)
-        if weight is None:
-            seen[tag] = capped.count() <= max_rows
-        else:
-            n, w = capped.agg(F.count(F.lit(1)), F.coalesce(F.sum(weight), F.lit(0))).first()
-            seen[tag] = n <= max_rows and w <= max_weight
-    if seen[tag]:
+    size = df.agg(F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*")))), F.lit(0))).first()[0]
+    if size <= max_bytes:
         return F.broadcast(df), True
     return df, False
 
 
 def join_event_mapping(logs: DataFrame, mapping: DataFrame,
-                       max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                       max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """Attach each event's mapping array (``attrs``); unmapped events get null.
 
     ``mapping`` has one row per action, so the fact side never fans out.
     Event ids are INT, actions BIGINT: the key is widened on the log side.
     """
-    small, _ = bounded_broadcast(mapping, max_broadcast_rows, F.size("attrs"), DEFAULT_BROADCAST_ATTRS)
+    small, _ = bounded_broadcast(mapping, max_broadcast_bytes)
     side = small.select(F.col("action_id").alias("__action"), "attrs")
     joined = logs.join(side, F.col("eventid").cast("long") == F.col("__action"), "left")
     return joined.drop("__action")
@@ -64,7 +48,9 @@ def semi_join_new_orders(orders: DataFrame, keys: DataFrame, key: str = "uuid")
 
 def except_keys(source_keys: DataFrame, existing_keys: DataFrame) -> DataFrame:
     """Distinct source keys not in the existing keys (null-safe, keeps one null)."""
-    return source_keys.subtract(existing_keys)
+    key = source_keys.columns[0]
+    known = existing_keys.select(F.col(existing_keys.columns[0]).alias("__known"))
+    return distinct_keys(source_keys, key).join(known, F.col(key).eqNullSafe(F.col("__known")), "left_anti")
 
 
 def anti_join_new_orders(orders: DataFrame, existing_keys: DataFrame, key: str = "uuid") -> DataFrame:

@@ -17,21 +17,20 @@ from ..functions.payload import with_event_payload
 from ..functions.text import null_to_empty_trim, normalize_platform
 from ..functions.time import epoch_ms_time_string, event_clock, registration_day_time, time_string
 from ..operators.aggregates import collect_track, first_use, high_water_column
-from ..operators.filters import (filter_bad_registration_lines, identified_event,
-                                 quarantine_bad_lines)
-from ..operators.joins import DEFAULT_BROADCAST_ROWS, join_event_mapping
-from ..operators.keyed import dedup_by_key, write_keyed
+from ..operators.filters import (filter_above_high_water, filter_bad_registration_lines,
+                                 filter_identified_events, filter_valid_idcards, quarantine_bad_lines)
+from ..operators.joins import DEFAULT_BROADCAST_BYTES, anti_join_new_orders, join_event_mapping
+from ..operators.keyed import (as_documents, dedup_by_key, read_snapshot, write_keyed,
+                               write_replace_by_key, write_upsert_by_key)
 from ..operators.mapping import build_event_mapping
 from ..sources import scans
 
 # ---- log documents --------------------------------------------------------
 
+# The columns that a log document is made from.
 LOG_SOURCE_COLUMNS = ["uid", "deviceid", "plateform", "eventid", "eventcontent", "begintime",
                       "uploadtime", "ip", "version", "pmenu", "menu", "net", "channel", "client",
                       "os", "p_day"]
-LOG_DOCUMENT_FIELDS = ["uid", "deviceid", "plateform", "eventid", "eventcontent", "begintime",
-                       "uploadtime", "ip", "version", "pmenu", "menu", "net", "channel", "client",
-                       "os", "p_day", "hour", "minute", "eventtime"]
 
 
 def project_log_document(df: DataFrame) -> DataFrame:
@@ -52,20 +51,20 @@ def project_log_document(df: DataFrame) -> DataFrame:
 
 
 def log_documents(logs: DataFrame, mapping: DataFrame,
-                  max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                  max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """identified filter -> key -> dedup -> mapping lookup -> payload -> project.
 
     The only shuffle is the dedup on the document key, done on the raw log
-    columns with a map-side partial ``max_by`` (latest ``uploadtime``, then
+    columns with a map-side partial ``max`` (latest ``uploadtime``, then
     the whole raw row), so a repeated key never concentrates raw rows in one
     task. The payload is then built once per surviving document, after a
     broadcast (size-checked) lookup of the event's mapping.
     """
-    kept = logs.where(identified_event()).withColumn(
+    kept = filter_identified_events(logs).withColumn(
         "_id", event_key("uid", "deviceid", "eventid", "begintime"))
     cols = ["_id"] + [c for c in LOG_SOURCE_COLUMNS if c in kept.columns]
     latest = dedup_by_key(kept.select(*cols), "_id", [F.coalesce(F.col("uploadtime"), F.lit(0))])
-    joined = join_event_mapping(latest, mapping, max_broadcast_rows)
+    joined = join_event_mapping(latest, mapping, max_broadcast_bytes)
     return project_log_document(with_event_payload(joined).drop("attrs"))
 
 
@@ -93,22 +92,19 @@ ORDER_DOCUMENT_FIELDS = [c for c in scans.ORDER_COLUMNS if c != "uuid"]
 
 def project_order_document(df: DataFrame) -> DataFrame:
     """``_id`` = uuid plus 23 fields, ``datetime`` as text."""
-    cols = [time_string("datetime").alias("datetime") if c == "datetime" else F.col(c)
-            for c in ORDER_DOCUMENT_FIELDS]
-    return df.select(F.col("uuid").alias("_id"), *cols)
+    return as_documents(df, "uuid", {c: time_string("datetime") if c == "datetime" else F.col(c)
+                                     for c in ORDER_DOCUMENT_FIELDS})
 
 
 def new_order_documents(recent: DataFrame, existing_keys: DataFrame) -> DataFrame:
     """Orders not yet in the target, one document per uuid.
 
-    Dedup first (partial aggregate per task, so a repeated uuid never piles
-    up raw rows), then one anti join on uuid that reuses the dedup's hash
-    partitioning on the order side; the key side is broadcast only when
-    Catalyst's size statistics allow it.
+    The anti join comes first, so known orders are dropped before their
+    columns are carried anywhere; the dedup then reuses its partitioning when
+    the join was shuffled.
     """
-    docs = dedup_by_key(project_order_document(recent.where(F.col("uuid").isNotNull())), "_id")
-    keys = existing_keys.select(F.col("uuid").alias("_id"))
-    return docs.join(keys, "_id", "left_anti")
+    new = anti_join_new_orders(recent, existing_keys)
+    return dedup_by_key(project_order_document(new), "_id")
 
 
 def sync_new_orders(spark: SparkSession, orders_src, target_src, as_of: str, days: int = 2) -> DataFrame:
@@ -119,33 +115,32 @@ def sync_new_orders(spark: SparkSession, orders_src, target_src, as_of: str, day
 
 
 def run_sync_new_orders(spark: SparkSession, orders_src, target_root: str, as_of: str,
-                        days: int = 2) -> str:
-    from ..operators.keyed import read_snapshot
+                        days: int = 2, version: int | None = None) -> str:
+    """The uuid is the document's key: an order that comes again under a later
+    day replaces its old document (newest run wins, ``read_latest``)."""
     old = read_snapshot(spark, target_root)
     if old is None:
         old = spark.createDataFrame([], "_id string, p_day string")
     docs = sync_new_orders(spark, orders_src, old, as_of, days)
-    # New orders never collide with existing ids (an order's p_day is fixed
-    # and the anti join removed the ids already present in the window).
-    return write_keyed(spark, docs, target_root, "_id", mode="append_new", partition_by="p_day")
+    return write_keyed(spark, docs, target_root, "_id", mode="append_versioned", sort_by="p_day", version=version)
 
 
 # ---- users ----------------------------------------------------------------
 
-def users_bulk(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+def users_bulk(lines: DataFrame, strict_dates: bool = False) -> tuple[DataFrame, DataFrame]:
     """Registration lines -> (user documents, quarantined lines). No shuffle."""
     fields = scans.scan_registration_text(None, lines)
-    return filter_bad_registration_lines(fields), quarantine_bad_lines(fields)
+    return filter_bad_registration_lines(fields, strict_dates), quarantine_bad_lines(fields, strict_dates)
 
 
-def run_load_users_bulk(spark: SparkSession, path: str, target_root: str,
-                        quarantine_path: str | None = None) -> str:
-    """Registration text file -> user documents (replace); bad lines are
-    written to ``quarantine_path`` when given (D8), never dropped silently."""
-    good, bad = users_bulk(spark.read.text(path))
-    if quarantine_path:
-        bad.write.mode("append").text(quarantine_path)
-    return write_keyed(spark, good, target_root, "uid", mode="replace")
+def run_load_users_bulk(spark: SparkSession, path: str, target_root: str, quarantine_path: str,
+                        strict_dates: bool = False) -> str:
+    """Registration text file -> user documents (replace). Bad lines replace what
+    ``quarantine_path`` holds (one folder per load), so none vanishes and a
+    repeated load doesn't double them."""
+    good, bad = users_bulk(spark.read.text(path), strict_dates)
+    bad.write.mode("overwrite").text(quarantine_path)
+    return write_replace_by_key(spark, good, target_root, "uid")
 
 
 def project_user_base(users: DataFrame) -> DataFrame:
@@ -172,15 +167,14 @@ def users_incremental(users: DataFrame, target: DataFrame, as_of: str, guard_min
     an empty or non-positive target yields no rows (the bulk job bootstraps).
     """
     hw = high_water_column(target)
-    cutoff_ts = F.to_timestamp(F.lit(as_of)) - F.make_interval(mins=F.lit(guard_minutes))
-    new = users.where((F.col("uid") > hw) & (hw > 0) & (F.col("registerdate") < cutoff_ts))
-    return project_user_base(new)
+    cutoff = F.to_timestamp(F.lit(as_of)) - F.make_interval(mins=F.lit(guard_minutes))
+    return project_user_base(filter_above_high_water(users, hw, cutoff).where(hw > 0))
 
 
 def run_load_users_incremental(spark: SparkSession, jdbc_url: str, table: str, target_root: str,
-                               as_of: str, guard_minutes: int = 5, options: dict | None = None) -> str | None:
+                               as_of: str, guard_minutes: int = 5, options: dict | None = None,
+                               columns: dict[str, str] | None = None, num_partitions: int = scans.JDBC_PARTITIONS) -> str | None:
     """High water from the target, then a JDBC read with the bound pushed in."""
-    from ..operators.keyed import read_snapshot
     old = read_snapshot(spark, target_root)
     if old is None:
         return None
@@ -189,23 +183,30 @@ def run_load_users_incremental(spark: SparkSession, jdbc_url: str, table: str, t
         return None
     cutoff = spark.range(1).select(time_string(
         F.to_timestamp(F.lit(as_of)) - F.make_interval(mins=F.lit(guard_minutes)))).first()[0]
-    rows = scans.scan_users_incremental(spark, jdbc_url, table, max_uid, cutoff, options)
-    return write_keyed(spark, project_user_base(rows), target_root, "uid", mode="upsert")
+    rows = scans.scan_users_incremental(spark, jdbc_url, table, max_uid, cutoff, options, columns, num_partitions)
+    return write_upsert_by_key(spark, project_user_base(rows), target_root, "uid")
 
 
-def idcard_documents(rows: DataFrame, as_of: str) -> DataFrame:
-    """``(uid, idcard)`` -> enriched, valid rows only. Column expressions only."""
+def idcard_documents(rows: DataFrame, as_of: str, strict_dates: bool = False) -> DataFrame:
+    """``(uid, idcard)`` -> enriched, valid rows only. Column expressions only.
+
+    ``strict_dates`` also drops numbers whose month or day is out of range,
+    which otherwise roll over as the JVM's lenient calendar does.
+    """
     rows = rows.select(F.col("uid").cast("long").alias("uid"), "idcard")
-    # valid_only is ``filter_valid_idcards`` decided up front on the flag.
-    return idc.with_enriched_idcard(rows, as_of, valid_only=True)
+    if strict_dates:
+        rows = rows.where(idc.calendar_date_ok("idcard", as_of))
+    # Most invalid rows go before the derived fields are computed; the job's own filter decides.
+    return filter_valid_idcards(idc.with_enriched_idcard(rows, as_of, valid_only=True))
 
 
 def run_enrich_user_idcards(spark: SparkSession, jdbc_url: str, table: str, target_root: str,
                             as_of: str, min_uid: int, bounds: tuple[int, int] | None = None,
-                            num_partitions: int = 2, options: dict | None = None) -> str:
+                            num_partitions: int = scans.JDBC_PARTITIONS, options: dict | None = None,
+                            columns: dict[str, str] | None = None, strict_dates: bool = False) -> str:
     lo, hi = bounds if bounds else (None, None)
-    rows = scans.scan_idcards_jdbc(spark, jdbc_url, table, min_uid, lo, hi, num_partitions, options)
-    return write_keyed(spark, idcard_documents(rows, as_of), target_root, "uid", mode="upsert")
+    rows = scans.scan_idcards_jdbc(spark, jdbc_url, table, min_uid, lo, hi, num_partitions, options, columns)
+    return write_upsert_by_key(spark, idcard_documents(rows, as_of, strict_dates), target_root, "uid")
 
 
 # ---- tracks ---------------------------------------------------------------
@@ -227,22 +228,20 @@ def build_user_tracks(spark: SparkSession, src, start_day: str, end_day: str) ->
 def run_build_user_tracks(spark: SparkSession, src, start_day: str, end_day: str,
                           target_root: str) -> str:
     """Upsert (D9): the tracks must not wipe the user's registration fields."""
-    return write_keyed(spark, build_user_tracks(spark, src, start_day, end_day), target_root, "uid",
-                       mode="upsert")
+    return write_upsert_by_key(spark, build_user_tracks(spark, src, start_day, end_day), target_root, "uid")
 
 
 # ---- devices --------------------------------------------------------------
 
 def project_device_base(devices: DataFrame) -> DataFrame:
-    return devices.select(
-        F.col("deviceid").alias("_id"),
-        "uid", "deviceid",
-        F.col("registerday").alias("register_day"),
-        epoch_ms_time_string("registertime").alias("register_time"),
-        F.col("registerplateform").alias("register_plateform"),
-        F.col("version").alias("register_app_version"),
-        F.col("channel").alias("register_channel"),
-    )
+    return as_documents(devices, "deviceid", {
+        "uid": F.col("uid"), "deviceid": F.col("deviceid"),
+        "register_day": F.col("registerday"),
+        "register_time": epoch_ms_time_string("registertime"),
+        "register_plateform": F.col("registerplateform"),
+        "register_app_version": F.col("version"),
+        "register_channel": F.col("channel"),
+    })
 
 
 def device_documents(recent: DataFrame) -> DataFrame:
@@ -254,23 +253,4 @@ def sync_recent_devices(spark: SparkSession, src, as_of: str, days: int = 7) ->
 
 
 def run_sync_recent_devices(spark: SparkSession, src, target_root: str, as_of: str, days: int = 7) -> str:
-    return write_keyed(spark, sync_recent_devices(spark, src, as_of, days), target_root, "_id",
-                       mode="upsert")
-
-
-__all__ = [
-    "log_documents", "build_log_documents", "run_build_log_documents", "project_log_document",
-    "new_order_documents", "sync_new_orders", "run_sync_new_orders", "project_order_document",
-    "users_bulk", "users_incremental", "run_load_users_incremental", "project_user_base",
-    "idcard_documents", "run_enrich_user_idcards",
-    "user_tracks", "build_user_tracks", "run_build_user_tracks",
-    "device_documents", "sync_recent_devices", "run_sync_recent_devices", "project_device_base",
-    "build_event_mapping", "DEFAULT_BROADCAST_ROWS",
-    "load_users_bulk", "load_users_incremental", "enrich_user_idcards",
-]
-
-
-# Blueprint job names.
-load_users_bulk = users_bulk
-load_users_incremental = users_incremental
-enrich_user_idcards = idcard_documents
+    return write_upsert_by_key(spark, sync_recent_devices(spark, src, as_of, days), target_root, "_id")

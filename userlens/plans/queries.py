@@ -7,8 +7,8 @@ elements so they compare equal across engines.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
-from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,15 +18,17 @@ from ..functions.keys import event_key
 from ..functions.entries import entries_json
 from ..functions.payload import (attribute_value, ios_pairs, mapped_fields, merge_payload,
                                  normalized_keys, parse_payload, payload_json, payload_map,
-                                 with_source_text)
+                                 with_source_text, wrap_source)
 from ..functions.text import jtrim
 from ..functions.time import epoch_ms_time_string, event_clock
 from ..functions.url import raw_query_pairs, renamed_query_params, url_domain_path, url_fields_map
 from ..operators.aggregates import first_use, max_key_high_water
 from ..operators.filters import filter_identified_events
 from ..operators.joins import except_keys, join_event_mapping, semi_join_new_orders
-from ..operators.keyed import merge_replace, merge_upsert
+from ..operators.keyed import read_latest, read_snapshot, write_replace_by_key, write_upsert_by_key
 from ..operators.mapping import build_event_mapping, flatten_mapping
+from ..operators.windows import row_number_first
+from ..session import ensure_checkpoint_dir
 from ..sources import derived, scans
 from . import jobs
 
@@ -38,13 +40,11 @@ DEVICES_AS_OF, DEVICES_DAYS = "2024-01-31", 7
 USERS_LOADED_BEFORE = "2017-06-01 00:00:00"    # users already in the target
 USERS_AS_OF = "2017-09-01 00:00:00"
 IDCARD_AS_OF = "2024-06-30"
+RESYNC_DAY, RESYNC_LOOK_BACK = "2030-01-01", 20_000   # whole table, then the re-dated orders
 URL_PS, URL_ES_PS = "page,ref,utm_source", "page_no,ref_code"
 
 
-@lru_cache(maxsize=16)
 def _logs(spark, sf):
-    """Derived inputs are plain (lazy) DataFrames; building one is pure
-    driver-side work, so they are built once per session and table folder."""
     return derived.behaviour_logs(spark, sf)
 
 
@@ -77,7 +77,7 @@ def payload_ios_pairs(spark, sf):
         F.size("__kv").alias("n_pairs"),
         entries_json(F.col("__kv")).alias("pairs"),
         "source",
-        F.to_json(F.create_map(F.lit("source"), F.col("source"))).alias("wrapped"))
+        wrap_source("source").alias("wrapped"))
 
 
 def payload_json_values(spark, sf):
@@ -91,7 +91,6 @@ def payload_json_values(spark, sf):
         *[F.when(is_obj, attribute_value(ents, F.lit(a))).alias(f"{a}_value") for a in ("k", "url", "uid")])
 
 
-@lru_cache(maxsize=16)
 def _mapping(spark, sf):
     return build_event_mapping(*derived.mapping_tables(_logs(spark, sf)))
 
@@ -135,7 +134,6 @@ def log_documents(spark, sf):
     return docs.withColumn("eventcontent", payload_json("eventcontent"))
 
 
-@lru_cache(maxsize=16)
 def _orders(spark, sf):
     return derived.trade_orders(spark, sf)
 
@@ -198,7 +196,6 @@ def tracks_by_user(spark, sf):
     return t.select("uid", F.to_json("base_track").alias("base_track"))
 
 
-@lru_cache(maxsize=16)
 def _idcards(spark, sf):
     return derived.idcard_numbers(spark, sf)
 
@@ -238,14 +235,42 @@ def _user_target_and_cards(spark, sf):
     return target, cards
 
 
-def upsert_users(spark, sf):
+def _fresh_root(spark, name: str) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def _written(spark, sf, write):
+    """Write the target, then the cards onto it, and read the table back."""
     target, cards = _user_target_and_cards(spark, sf)
-    return merge_upsert(target, cards, "uid")
+    root = _fresh_root(spark, "users")
+    write_replace_by_key(spark, target, root, "uid")
+    write(spark, cards, root, "uid")
+    return read_snapshot(spark, root)
+
+
+def upsert_users(spark, sf):
+    return _written(spark, sf, write_upsert_by_key)
 
 
 def replace_users(spark, sf):
-    target, cards = _user_target_and_cards(spark, sf)
-    return merge_replace(target, cards, "uid")
+    return _written(spark, sf, write_replace_by_key)
+
+
+def orders_resync(spark, sf):
+    """Two syncs into one table: the open orders, then every third of them again, re-dated by a
+    day. The look-back of the second doesn't reach the first's days, so it replaces them by key."""
+    orders = _orders(spark, sf).where(F.col("matchresult") == "O")
+    again = (orders.where(F.col("schemeid") % 30 == 0).withColumn("betnumber", F.lit("again"))
+             .withColumn("p_day", F.lit(RESYNC_DAY)))
+    root = _fresh_root(spark, "orders")
+    jobs.run_sync_new_orders(spark, orders, root, ORDERS_AS_OF, RESYNC_LOOK_BACK, version=1)
+    jobs.run_sync_new_orders(spark, again, root, RESYNC_DAY, 1, version=2)
+    return read_latest(spark, root, "_id").select("_id", "uid", "schemeid", "betnumber", "p_day")
+
+
+def tracks_row_number(spark, sf):
+    """First use by the ranking window, beside the aggregate of ``tracks_first_use``."""
+    return row_number_first(_footprint(spark, sf))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -274,6 +299,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "idcard_convert15": idcard_convert15,
     "idcard_formats": idcard_formats,
     "idcard_enrich": idcard_enrich,
+    "orders_resync": orders_resync,
+    "tracks_row_number": tracks_row_number,
     "upsert_users": upsert_users,
     "replace_users": replace_users,
 }

@@ -44,6 +44,9 @@ def _event_url(e):
             .when(k == 1, F.concat(F.lit("https://www.site"), (e % 9).cast("string"),
                                    F.lit(".example.org//p"), (e % 7).cast("string"),
                                    F.lit("?utm_source=feed&page="), (e % 4).cast("string")))
+            .when(e % 44 == 2, F.lit("http://h.com:abc/p?page=1"))
+            .when(e % 44 == 6, F.lit("file:///var//log/a?page=2"))
+            .when(e % 44 == 10, F.lit("http://u@[::1]:80/p?ref=z"))
             .when(k == 2, F.concat(F.lit("ftp://files.example.net/pub//f"), (e % 10).cast("string")))
             .otherwise(F.concat(F.lit("foo://bad/"), e.cast("string"))))
 
@@ -69,6 +72,8 @@ def behaviour_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("{k="), k, F.lit("; uid="), F.col("user_id").cast("string"),
         F.lit(";\tbad=;a=b=c;url="), url, F.lit("}")))
     json_text = (F.when(e % 17 == 0, F.concat(F.lit("not json {"), k))
+                 .when(e % 23 == 0, F.concat(F.lit('{"k": '), k, F.lit("} tail")))
+                 .when(e % 29 == 0, F.concat(F.lit('{"k": '), k, F.lit('}{"k": 1}')))
                  .when(e % 5 == 0, F.concat(F.lit('{"k": '), k, F.lit(', "Url": "'), url, F.lit('"}')))
                  .otherwise(F.concat(F.lit('{"k": '), k, F.lit(', "url": "'), url,
                                      F.lit('", "tags": {"a": 1}, " UID ": "'),
@@ -144,15 +149,21 @@ def existing_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``customer`` as the user database relation (untrimmed, some nulls)."""
+    """``customer`` as the user database relation (untrimmed, some nulls).
+
+    Registrations run through 2017 in key order at any table size, so a date
+    cuts the table at the same share of its rows.
+    """
     c = read(spark, sf_dir, "customer")
     k = F.col("c_custkey")
+    last = c.agg(F.max("c_custkey")).scalar()
+    minutes = F.expr("c_custkey * 525600").cast("long")
     return c.select(
         k.alias("uid"),
         F.when(k % 5 == 0, F.concat(F.lit(" "), F.col("c_name"), F.lit("\t")))
          .otherwise(F.col("c_name")).alias("username"),
-        (F.lit("2017-01-01 00:00:00").cast("timestamp")
-         + F.make_interval(hours=(k * 7).cast("int"), mins=(k % 60).cast("int"))).alias("registerdate"),
+        F.timestamp_seconds(F.unix_seconds(F.lit("2017-01-01 00:00:00").cast("timestamp"))
+                            + F.floor(minutes / last) * 60).alias("registerdate"),
         F.when(k % 4 == 0, F.lit("iPhone")).when(k % 4 == 1, F.lit(" Android "))
          .when(k % 4 == 2, F.lit(None).cast("string")).otherwise(F.lit("H5")).alias("registerplateform"),
         F.concat(F.lit(" v"), (k % 3).cast("string"), F.lit(" ")).alias("app_version"),
@@ -167,14 +178,20 @@ def registration_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``#``-separated registration lines (``value``) from ``customer``.
 
     Some are broken on purpose: a non-numeric uid, uid 0, too few fields, a
-    month-13 date; quote characters must stay literal.
+    date without time. Dates of lenient forms (month 13, short fields, a
+    fraction) and a uid of more than 19 digits are good; quote characters must
+    stay literal.
     """
     c = read(spark, sf_dir, "customer")
     k = F.col("c_custkey")
     uid = (F.when(k % 17 == 0, F.lit("x"))
            .when(k % 19 == 0, F.lit("0"))
+           .when(k % 13 == 0, F.lpad(k.cast("string"), 24, "0"))
            .otherwise(F.concat(F.lit(" "), k.cast("string"))))
     date = (F.when(k % 29 == 0, F.lit("2017-13-01 10:00:00"))
+            .when(k % 31 == 0, F.lit("2017-1-2 3:4:5"))
+            .when(k % 37 == 0, F.lit("2017-01-02 03:04:05.0"))
+            .when(k % 43 == 0, F.lit("2017-01-02"))
             .otherwise(F.date_format(F.lit("2017-01-01 00:00:00").cast("timestamp")
                                      + F.make_interval(hours=(k * 5).cast("int")),
                                      "yyyy-MM-dd HH:mm:ss")))
@@ -249,7 +266,10 @@ def mapping_tables(logs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     Details cover string/url/unknown datatypes, platform gates in mixed case,
     an inactive row, a duplicate attribute and a capitalised attribute.
     """
-    actions = logs.select(F.col("eventid").cast("long").alias("a")).distinct()
+    spark = logs.sparkSession
+    # A handful of actions, asked for once instead of by each of the three tables.
+    found = [r[0] for r in logs.select(F.col("eventid").cast("long")).distinct().collect()]
+    actions = spark.createDataFrame([(x,) for x in sorted(found)], "a long")
     a = F.col("a")
     mapper = actions.select(
         a.alias("action_id"),

@@ -13,8 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.time import days_before
-from ..operators.partitioning import ensure_parallelism
+from ..operators.filters import filter_day_range
 
+# The columns of the sources.
 LOG_COLUMNS = ["uid", "deviceid", "plateform", "eventid", "eventcontent", "begintime", "uploadtime",
                "ip", "version", "pmenu", "menu", "net", "channel", "client", "os", "subplateform",
                "p_day"]
@@ -32,15 +33,14 @@ REGISTRATION_FIELDS = ["uid", "username", "registerdate", "channel", "phone_os",
 def load(spark: SparkSession, src) -> DataFrame:
     """DataFrame as is; a path is read as parquet; anything else is a table.
 
-    A source read here gets ``ensure_parallelism``: a no-op for a large table,
-    a round-robin spread for a handful of small files feeding the CPU-heavy
-    column work. A DataFrame passed in is the caller's to partition.
+    The number of tasks is that of the splits left after the filters, set by
+    ``spark.sql.files.maxPartitionBytes``.
     """
     if isinstance(src, DataFrame):
         return src
     if "/" in src or src.endswith(".parquet"):
-        return ensure_parallelism(spark.read.parquet(src))
-    return ensure_parallelism(spark.table(src))
+        return spark.read.parquet(src)
+    return spark.table(src)
 
 
 def day_col(name: str = "p_day"):
@@ -56,7 +56,7 @@ def _with_text_day(df: DataFrame, cols: list[str], name: str = "p_day") -> DataF
 def scan_logs_by_day(spark: SparkSession, src, start_day: str, end_day: str) -> DataFrame:
     """Behaviour logs with ``start_day <= p_day <= end_day`` (string compare)."""
     df = load(spark, src)
-    return _with_text_day(df.where(day_col().between(F.lit(start_day), F.lit(end_day))), LOG_COLUMNS)
+    return _with_text_day(filter_day_range(df, start_day, end_day), LOG_COLUMNS)
 
 
 def scan_footprint_logs(spark: SparkSession, src, start_day: str, end_day: str) -> DataFrame:
@@ -65,9 +65,8 @@ def scan_footprint_logs(spark: SparkSession, src, start_day: str, end_day: str)
     ``deviceid != ''`` is compared untrimmed, as the reference does.
     """
     df = load(spark, src)
-    cond = ((F.col("uid") > 0) & F.col("deviceid").isNotNull() & (F.col("deviceid") != "")
-            & day_col().between(F.lit(start_day), F.lit(end_day)))
-    return df.where(cond).select(*FOOTPRINT_COLUMNS)
+    cond = (F.col("uid") > 0) & F.col("deviceid").isNotNull() & (F.col("deviceid") != "")
+    return filter_day_range(df, start_day, end_day).where(cond).select(*FOOTPRINT_COLUMNS)
 
 
 def scan_recent_orders(spark: SparkSession, src, as_of: str, days: int = 2) -> DataFrame:
@@ -103,43 +102,60 @@ def scan_registration_text(spark: SparkSession, path_or_lines) -> DataFrame:
         *[F.get(parts, i).alias(name) for i, name in enumerate(REGISTRATION_FIELDS)])
 
 
+# Parallel reads and rows per round trip of a JDBC scan.
+JDBC_PARTITIONS = 8
+JDBC_FETCH_ROWS = 10_000
+# Our names -> the database's; callers with another schema pass their own.
+USER_COLUMNS = {"uid": "n_user_id", "username": "s_login_name", "registerdate": "d_register_time",
+                "registerplateform": "s_platform_code", "app_version": "s_app_version",
+                "channel": "s_entrance_code", "phone_os": "s_platform_version", "phone_name": "s_phone_name"}
+IDCARD_COLUMNS = {"uid": "n_user_id", "idcard": "s_idcard_number"}
+
+
 def _jdbc(spark: SparkSession, url: str, query: str, options: dict | None) -> DataFrame:
-    reader = spark.read.format("jdbc").option("url", url).option("dbtable", f"({query}) t")
+    reader = spark.read.format("jdbc").option("url", url).option("dbtable", f"({query}) t").option("fetchsize", JDBC_FETCH_ROWS)
     for k, v in (options or {}).items():
         reader = reader.option(k, v)
     return reader.load()
 
 
+def _jdbc_split(spark: SparkSession, url: str, table: str, columns: dict[str, str], where: str, options: dict | None,
+                bounds: tuple[int, int] | None, num_partitions: int) -> DataFrame:
+    """A read split into ranges of uid. Without given bounds the smallest and largest
+    uid under the same filter are asked for first (an index lookup)."""
+    if bounds is None:
+        edge = _jdbc(spark, url, f"select min({columns['uid']}) as lo, max({columns['uid']}) as hi from {table} where {where}", options).first()
+        bounds = (edge[0], edge[1]) if edge[0] is not None else None
+    names = ", ".join(f"{theirs} as {ours}" for ours, theirs in columns.items())
+    opts = dict(options or {})
+    if bounds is not None and num_partitions > 1:
+        opts.update(partitionColumn="uid", lowerBound=str(bounds[0]), upperBound=str(max(bounds[1], bounds[0]) + 1),
+                    numPartitions=str(num_partitions))
+    return _jdbc(spark, url, f"select {names} from {table} where {where}", opts)
+
+
 def scan_users_incremental(spark: SparkSession, url: str, table: str, max_uid: int, cutoff: str,
-                           options: dict | None = None) -> DataFrame:
+                           options: dict | None = None, columns: dict[str, str] | None = None,
+                           num_partitions: int = JDBC_PARTITIONS) -> DataFrame:
     """New users from the user database: ``uid > max_uid`` registered before ``cutoff``.
 
     Column names are mapped inside the derived table; the predicates run in
-    the database. Connection settings (``user``, ``password``, ``driver`` …)
-    come from the caller.
+    the database, and the read is split into uid ranges. Connection settings
+    (``user``, ``password``, ``driver`` …) come from the caller.
     """
-    query = (f"select n_user_id as uid, s_login_name as username, d_register_time as registerdate, "
-             f"s_platform_code as registerplateform, s_app_version as app_version, "
-             f"s_entrance_code as channel, s_platform_version as phone_os, s_phone_name as phone_name "
-             f"from {table} where n_user_id > {int(max_uid)} and d_register_time < '{cutoff}'")
-    return _jdbc(spark, url, query, options)
+    c = {**USER_COLUMNS, **(columns or {})}
+    where = f"{c['uid']} > {int(max_uid)} and {c['registerdate']} < '{cutoff}'"
+    return _jdbc_split(spark, url, table, c, where, options, None, num_partitions)
 
 
 def scan_idcards_jdbc(spark: SparkSession, url: str, table: str, min_uid: int,
                       lower_bound: int | None = None, upper_bound: int | None = None,
-                      num_partitions: int = 2, options: dict | None = None) -> DataFrame:
-    """``(uid, idcard)`` with ``uid > min_uid and idcard is not null``.
-
-    With bounds the read is split into ``num_partitions`` uid ranges, which
-    is what makes JDBC reads parallel (without bounds Spark uses one).
-    """
-    query = (f"select n_user_id as uid, s_idcard_number as idcard from {table} "
-             f"where n_user_id > {int(min_uid)} and s_idcard_number is not null")
-    opts = dict(options or {})
-    if lower_bound is not None and upper_bound is not None:
-        opts.update(partitionColumn="uid", lowerBound=str(lower_bound), upperBound=str(upper_bound),
-                    numPartitions=str(num_partitions))
-    return _jdbc(spark, url, query, opts)
+                      num_partitions: int = JDBC_PARTITIONS, options: dict | None = None,
+                      columns: dict[str, str] | None = None) -> DataFrame:
+    """``(uid, idcard)`` with ``uid > min_uid and idcard is not null``, split into uid ranges."""
+    c = {**IDCARD_COLUMNS, **(columns or {})}
+    bounds = (lower_bound, upper_bound) if lower_bound is not None and upper_bound is not None else None
+    return _jdbc_split(spark, url, table, c, f"{c['uid']} > {int(min_uid)} and {c['idcard']} is not null", options, bounds, num_partitions)
 
 
 def scan_mapping_tables(spark: SparkSession, src: dict) -> tuple[DataFrame, DataFrame, DataFrame]:
