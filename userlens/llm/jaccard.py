@@ -14,7 +14,7 @@ Two documents link when ``100 * |A & B| >= percent * |A | B|`` for their sets of
 3. A family's sets meet in cells of at most ``cell`` sets a side: a small family is one cell, a
    large one a triangle of cells, so no group meets in one task. A cell is an inverted index
    (shingle -> sorted list of sets). For each set T shingles must be shared; the L longest lists
-   are put aside, the short ones merged by a heap for candidates with T - L occurrences, and the
+   are put aside, the short ones merged by a heap (many elements: by a merge sort) for candidates with T - L occurrences, and the
    candidates probed in the long lists by binary search; the exact condition decides. Sets that
    the cell already knows to be connected aren't probed again, and a cell emits a forest, not pairs.
 4. Links become components by grouped minima and joins (``shared.components``).
@@ -162,6 +162,29 @@ class _Forest:
             self.up[max(a, b)] = min(a, b)
 
 
+#: Elements up to which lists are merged by the heap; beyond, by a merge sort of their sorted runs.
+HEAP_MOST = 400
+
+
+def _merged(lists: list[list[int]]) -> list[tuple[int, int]]:
+    """(element, number of lists that have it), ascending: a k-way merge of sorted lists."""
+    if sum(map(len, lists)) > HEAP_MOST:
+        x, n = np.unique(np.sort(np.concatenate([np.array(k, dtype=np.int64) for k in lists]), kind="stable"), return_counts=True)
+        return list(zip(x.tolist(), n.tolist(), strict=True))
+    out: list[tuple[int, int]] = []
+    last, times = -1, 0
+    for x in merge(*lists):
+        if x == last:
+            times += 1
+            continue
+        if times:
+            out.append((last, times))
+        last, times = x, 1
+    if times:
+        out.append((last, times))
+    return out
+
+
 def search_cell(ids: list[int], sets: list[np.ndarray], left: list[bool], right: list[bool], percent: int = PERCENT) -> list[tuple[int, int]]:
     """Star edges (doc_id, smallest doc_id) of the sets that links between a left and a right set
     connect. ``ids`` ascend."""
@@ -188,17 +211,7 @@ def search_cell(ids: list[int], sets: list[np.ndarray], left: list[bool], right:
         lists = sorted(((int(first[k]), int(first[k + 1])) for k in at), key=lambda x: x[0] - x[1])
         longest = lists[0][1] - lists[0][0]
         aside = min(need - 1, int(need / (MU * log2(max(longest, 2)) + 1)))
-        found: list[tuple[int, int]] = []
-        last, times = -1, 0
-        for x in merge(*(owners[a:b] for a, b in lists[aside:])):
-            if x == last:
-                times += 1
-                continue
-            if times >= need - aside:
-                found.append((last, times))
-            last, times = x, 1
-        if times >= need - aside:
-            found.append((last, times))
+        found = [f for f in _merged([owners[a:b] for a, b in lists[aside:]]) if f[1] >= need - aside]
         root = forest.find(q)
         for x, times in found:
             low, high = (n, size[x]) if n < size[x] else (size[x], n)
@@ -263,13 +276,15 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     """doc_id, n_words, n_shingles, component_id of every row of ``docs`` (doc_id, text)."""
     base = written(_profiles(docs, words, percent), "profiles")
     slim = base.select("doc_id", "n_words", "n_shingles", "digest")
-    reps = slim.filter("n_shingles > 0 and doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("rep"))
+    # Written first, so that both sides of the join are plain exchanges and Spark may split a digest
+    # that a large part of the rows has; the same for the signatures' heads.
+    reps = written(slim.filter("n_shingles > 0 and doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("rep")), "reps")
     classes = written(slim.join(reps, "digest", "left"), "classes")
 
     # Families: classes that share a signature, each tied to the smallest id at it.
-    by_sig = Window.partitionBy("sig")
-    ties = (base.select("doc_id", F.explode("sigs").alias("sig")).withColumn("head", F.min("doc_id").over(by_sig))
-            .filter("doc_id > head").select("doc_id", "head").distinct())
+    sigs = base.select("doc_id", F.explode("sigs").alias("sig"))
+    heads = sigs.groupBy("sig").agg(F.min("doc_id").alias("head"), F.max("doc_id").alias("last")).filter("head < last").drop("last")
+    ties = sigs.join(written(heads, "heads"), "sig").filter("doc_id > head").select("doc_id", "head").distinct()
     name = classes.filter("rep is not null").select(F.col("doc_id").alias("id"), "rep").distinct()
     ties = (ties.join(name.withColumnRenamed("rep", "u"), F.col("doc_id") == F.col("id")).drop("id")
             .join(name.withColumnRenamed("rep", "v"), F.col("head") == F.col("id")).select("u", "v"))

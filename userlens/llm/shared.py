@@ -5,8 +5,10 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,43 +27,75 @@ def shared_dir(spark: SparkSession) -> str:
     return at
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a Parquet table in the shared folder: lineage is cut and the work is done once."""
+def written(df: DataFrame, name: str, files: int | None = None) -> DataFrame:
+    """``df`` as a Parquet table in the shared folder: lineage is cut and the work is done once.
+    ``files`` bounds the number of files where the size is known to be small for more."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    (df.coalesce(files) if files else df).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Edges a file (and task) when a table of edges is written whose size is known.
+EDGES_PER_FILE = 500_000
+
+
+def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A task's edges as stars: every node tied to the smallest node that the task's edges connect
+    it with. Union-find over the task's own nodes only."""
+    up: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        root = x
+        while up.get(root, root) != root:
+            root = up[root]
+        while up.get(x, x) != root:
+            up[x], x = root, up[x]
+        return root
+
+    for batch in batches:
+        for u, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            a, b = find(u), find(v)
+            if a != b:
+                up[max(a, b)] = min(a, b)
+    nodes = list(up)
+    yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array([find(x) for x in nodes], pa.int64())], names=["u", "v"])
+
+
+def _not_stars(e: DataFrame) -> tuple[int, int]:
+    """(nodes that keep the edges (u, v) from being stars, edges): a node that is tied twice, or that is
+    tied to another and has nodes tied to itself. One aggregation."""
+    ends = e.select(F.col("u").alias("x"), F.lit(1).alias("tied"), F.lit(0).alias("head")).unionByName(e.select(F.col("v").alias("x"), F.lit(0).alias("tied"), F.lit(1).alias("head")))
+    per = ends.groupBy("x").agg(F.sum("tied").alias("tied"), F.max("head").alias("head"))
+    bad = F.sum(((F.col("tied") > 1) | ((F.col("tied") > 0) & (F.col("head") > 0))).cast("long"))
+    r = per.agg(F.coalesce(bad, F.lit(0)), F.coalesce(F.sum("tied"), F.lit(0))).first()
+    return r[0], r[1]
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) of the undirected graph of long columns ``u`` and ``v``: the component is
     its smallest node. Nodes without an edge are absent.
 
-    Alternating large-star and small-star steps: every step sends a node's neighbours to the
-    smallest of them by a grouped minimum and a join on the node, so no neighbour list is ever
-    gathered; a hub is one aggregated row on one side of a join that Spark may split. Edges
-    are written to the shared folder after each round until a round changes none.
+    Tasks first contract the edges they hold to stars. Until these fit together, alternating
+    large-star and small-star steps send a node's neighbours to the smallest of them, by a grouped
+    minimum and a join on the node, so no neighbour list is ever gathered; a hub is one aggregated
+    row on one side of a join that Spark may split. Edges are written to the shared folder in each
+    round.
     """
-    e = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u > v").distinct()
-    e = written(e, "edges")
-
-    def state(df: DataFrame) -> tuple:
-        return tuple(df.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-
-    was = state(e)
-    while was[0]:
+    e = written(edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")), "edges")
+    files = None
+    while True:
+        e = written(e.mapInArrow(_contract, "u long, v long").distinct(), "edges", files)
+        bad, n = _not_stars(e)
+        if not bad:
+            break
+        files = max(e.sparkSession.sparkContext.defaultParallelism, n // EDGES_PER_FILE)
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        large = written(large.filter("u > v"), "large")
+        large = both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = (large.join(low, "u").filter("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-                 .unionByName(low.select("u", F.col("m").alias("v"))).distinct())
-        e = written(small, "edges")
-        now = state(e)
-        if now == was:
-            break
-        was = now
+        e = (large.join(low, "u").filter("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+             .unionByName(low.select("u", F.col("m").alias("v"))))
     roots = e.select(F.col("v").alias("node")).distinct().select("node", F.col("node").alias("component"))
     return e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
 
