@@ -53,12 +53,12 @@ def test_crash_between_data_and_publish_changes_nothing(spark, tmp_path, monkeyp
     root = str(tmp_path / "t")
     K.write_keyed(spark, table(spark, 50), root, "uid")
     before = content(spark, root)
-    real = K._has_rows
-    monkeypatch.setattr(K, "_has_rows", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+    real = K._commit
+    monkeypatch.setattr(K, "_commit", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
     with pytest.raises(RuntimeError):
         K.write_keyed(spark, table(spark, 60, "b"), root, "uid", mode="upsert")
     assert content(spark, root) == before
-    monkeypatch.setattr(K, "_has_rows", real)
+    monkeypatch.setattr(K, "_commit", real)
     K.write_keyed(spark, table(spark, 60, "b"), root, "uid", mode="upsert")
     assert content(spark, root) == {i: f"b{i}" for i in range(60)}
 

@@ -231,8 +231,9 @@ def with_enriched_idcard(df: DataFrame, as_of: str, col: str = "idcard",
     if valid_only:
         # Valid numbers always get a non-empty idcard and birthday, except an
         # 18-digit number with birth year 0000 (no such calendar year).
+        from ..operators.filters import filter_valid_idcards
         year_ok = F.when(F.length(t) == 18, F.substring(t, 7, 4).try_cast("int") >= 1).otherwise(True)
-        d = d.where(F.col("__ok") & F.coalesce(year_ok, F.lit(False)))
+        d = filter_valid_idcards(d, F.when(F.col("__ok"), t), F.when(year_ok, t))
     d = d.withColumn("__id18", F.when(F.length(t) == 15, F.col("__c15")).otherwise(t))
     ok, id18 = F.col("__ok"), F.col("__id18")
     fields = {

@@ -35,9 +35,14 @@ def filter_above_high_water(df: DataFrame, high_water, cutoff, key: str = "uid",
     return df.where((F.col(key) > hw) & (F.col(time_col) < until))
 
 
-def filter_valid_idcards(df: DataFrame) -> DataFrame:
-    """Keep rows whose birthday and idcard are both non-empty."""
-    return df.where((F.col("birthday") != "") & (F.col("idcard") != ""))
+def filter_valid_idcards(df: DataFrame, idcard: Column | str = "idcard", birthday: Column | str = "birthday") -> DataFrame:
+    """Keep rows whose birthday and idcard are both non-empty.
+
+    Either may be a cheaper expression that is empty or null exactly when the
+    field would be, so that the field isn't computed for rows that go.
+    """
+    some = [F.coalesce((F.col(c) if isinstance(c, str) else c) != "", F.lit(False)) for c in (birthday, idcard)]
+    return df.where(some[0] & some[1])
 
 
 def preview(df: DataFrame, n: int = 10) -> DataFrame:

@@ -20,7 +20,7 @@ import time
 import uuid as _uuid
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -126,10 +126,10 @@ def manifest(spark: SparkSession, root: str) -> list | None:
         if e.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
-    newest = df.agg(F.max("version")).first()[0]
-    if newest is None:
+    last = df.groupBy("version").agg(F.collect_list(F.struct(*df.columns)).alias("rows")).orderBy(F.desc("version")).first()
+    if last is None or last["version"] is None:
         raise ValueError(f"the snapshot at {root} has a manifest folder but no version in it")
-    rows = df.where(F.col("version") == newest).collect()
+    newest, rows = last["version"], last["rows"]
     if len({r["run"] for r in rows}) > 1:
         raise ValueError(f"two writers published version {newest} of {root}")
     if any(r["path"] is None or r["bucket"] is None or r["columns"] is None for r in rows):
@@ -196,6 +196,7 @@ def _publish(spark: SparkSession, df: DataFrame, root: str, key: str, buckets: i
     run = f"{int(time.time() * 1000)}-{_uuid.uuid4().hex[:8]}"
     path = f"{_root(root)}/data/{RUN_COL}={run}"
     split = [BUCKET_COL] + ([partition_by] if partition_by else [])
+    seen, df = observed_buckets(df)
     (df.repartition(*split).sortWithinPartitions(*split, *([sort_by] if sort_by else []), key)
      .write.mode("errorifexists").partitionBy(*split).parquet(path))
     columns = T.StructType([f for f in df.schema.fields if f.name != BUCKET_COL])
@@ -203,24 +204,24 @@ def _publish(spark: SparkSession, df: DataFrame, root: str, key: str, buckets: i
         was = T.StructType.fromJson(json.loads(old[0]["columns"]))
         columns = T.StructType([*was.fields, *[f for f in columns.fields if f.name not in was.names]])
     text = columns.json()
-    written = [r[0] for r in spark.read.parquet(path).select(BUCKET_COL).distinct().collect()] if _has_rows(spark, path) else []
     version = old[0]["version"] + 1 if old else 1
-    rows = [(version, run, buckets, int(b), f"{path}/{BUCKET_COL}={b}", text) for b in written]
+    rows = [(version, run, buckets, int(b), f"{path}/{BUCKET_COL}={b}", text) for b in sorted(seen.get["buckets"])]
     rows += [(version, run, buckets, r["bucket"], r["path"], text) for r in keep]
     if not rows:  # an empty table still has its columns
         rows = [(version, run, buckets, -1, path, text)]
-    spark.createDataFrame(rows, _MANIFEST).coalesce(1).write.mode("append").json(f"{_root(root)}/_manifest")
+    _commit(spark, root, rows)
     return path
 
 
-def _has_rows(spark: SparkSession, path: str) -> bool:
-    """Whether a run wrote any file (a run of no rows has only its success marker)."""
-    try:
-        return BUCKET_COL in spark.read.parquet(path).columns
-    except AnalysisException as e:
-        if e.getCondition() != "UNABLE_TO_INFER_SCHEMA":
-            raise
-        return False
+def _commit(spark: SparkSession, root: str, rows: list) -> None:
+    """One file, renamed into place when it is whole."""
+    spark.createDataFrame(rows, _MANIFEST).coalesce(1).write.mode("append").json(f"{_root(root)}/_manifest")
+
+
+def observed_buckets(df: DataFrame) -> tuple[Observation, DataFrame]:
+    """``df`` whose next action also notes the buckets that it has rows of (their numbers are bounded)."""
+    seen = Observation()
+    return seen, df.observe(seen, F.collect_set(BUCKET_COL).alias("buckets"))
 
 
 def compact_snapshot(spark: SparkSession, root: str, key: str, partition_by: str | None = None) -> str:
@@ -267,9 +268,10 @@ def write_keyed(spark: SparkSession, incoming: DataFrame, root: str, key: str,
         return _publish(spark, with_bucket(dedup_by_key(incoming, key), key, n), root, key, n, None, [], partition_by, sort_by)
     # Used twice (buckets, merge): written once to the shared folder, so that a source
     # that moves on meanwhile can't give the two uses different rows.
-    docs, table = materialize(with_bucket(dedup_by_key(incoming, key), key, n))
+    seen, docs = observed_buckets(with_bucket(dedup_by_key(incoming, key), key, n))
+    docs, table = materialize(docs)
     try:
-        touched = {r[0] for r in docs.select(BUCKET_COL).distinct().collect()}
+        touched = set(seen.get["buckets"])
         if not touched:
             return old[0]["path"]
         rows = [r for r in old if r["bucket"] in touched]

@@ -18,7 +18,7 @@ from ..functions.text import null_to_empty_trim, normalize_platform
 from ..functions.time import epoch_ms_time_string, event_clock, registration_day_time, time_string
 from ..operators.aggregates import collect_track, first_use, high_water_column
 from ..operators.filters import (filter_above_high_water, filter_bad_registration_lines,
-                                 filter_identified_events, filter_valid_idcards, quarantine_bad_lines)
+                                 filter_identified_events, quarantine_bad_lines)
 from ..operators.joins import DEFAULT_BROADCAST_BYTES, anti_join_new_orders, join_event_mapping
 from ..operators.keyed import (as_documents, dedup_by_key, read_snapshot, write_keyed,
                                write_replace_by_key, write_upsert_by_key)
@@ -196,8 +196,8 @@ def idcard_documents(rows: DataFrame, as_of: str, strict_dates: bool = False) ->
     rows = rows.select(F.col("uid").cast("long").alias("uid"), "idcard")
     if strict_dates:
         rows = rows.where(idc.calendar_date_ok("idcard", as_of))
-    # Most invalid rows go before the derived fields are computed; the job's own filter decides.
-    return filter_valid_idcards(idc.with_enriched_idcard(rows, as_of, valid_only=True))
+    # ``valid_only`` is ``filter_valid_idcards``, decided before the fields are computed.
+    return idc.with_enriched_idcard(rows, as_of, valid_only=True)
 
 
 def run_enrich_user_idcards(spark: SparkSession, jdbc_url: str, table: str, target_root: str,
