@@ -25,6 +25,7 @@ not looked at (``remove_passages`` keeps them).
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -120,7 +121,11 @@ class Paragraphs:
         """The runs' 5-word shingles end to end, and their bounds."""
         n = end - start - SHINGLE + 1
         at = np.arange(int(n.sum())) + np.repeat(start - tv.starts_of(n)[:-1], n)
-        return tv.gram_hashes(self.hashes, SHINGLE)[at], tv.starts_of(n)
+        return self.grams[at], tv.starts_of(n)
+
+    @cached_property
+    def grams(self) -> np.ndarray:
+        return tv.gram_hashes(self.hashes, SHINGLE)
 
 
 def signatures(grams: np.ndarray, bounds: np.ndarray, n: int, rows: int) -> np.ndarray:
@@ -184,15 +189,16 @@ def _line_sets(rows: DataFrame) -> DataFrame:
                 o = offsets[a:b + 1]
                 p = Paragraphs(raw[o[0]:o[-1]], o - o[0])
                 digest = _run_hashes(p.hashes, p.line_start, p.line_end).view(np.int64)
-                by = {(a + int(d), int(x)): k for k, (d, x) in enumerate(zip(p.words.doc[p.line_start], digest, strict=True))}
+                want = {(d - a, x["node"]): x for d in range(a, b) for x in wanted[d]}
+                doc = p.words.doc[p.line_start]
+                spots = np.flatnonzero(np.isin(digest, np.fromiter((k[1] for k in want), np.int64, len(want))))
                 cols: list[list] = [[] for _ in names]
-                for d in range(a, b):
-                    for x in wanted[d]:
-                        k = by.get((d, x["node"]))
-                        if k is not None:
-                            grams, _ = p.shingles(p.line_start[k:k + 1], p.line_end[k:k + 1])
-                            for c, v in zip(cols, (x["node"], x["family"], x["chunk"], x["chunks"], np.unique(grams).tobytes()), strict=True):
-                                c.append(v)
+                for k, d, node in zip(spots.tolist(), doc[spots].tolist(), digest[spots].tolist(), strict=True):
+                    x = want.pop((d, node), None)  # a line that the text repeats goes once
+                    if x is not None:
+                        grams = p.grams[p.line_start[k]:p.line_end[k] - SHINGLE + 1]
+                        for c, v in zip(cols, (node, x["family"], x["chunk"], x["chunks"], np.unique(grams).tobytes()), strict=True):
+                            c.append(v)
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()), strict=True)], names=names)
 
     return rows.mapInArrow(run, "doc_id long, family long, chunk int, chunks int, shingles binary")
@@ -206,7 +212,7 @@ def repeated_passages(docs: DataFrame, percent: int = PERCENT, recall: float = R
 
     at_band = lines.select("digest", F.explode("sigs").alias("sig")).distinct()
     heads = at_band.groupBy("sig").agg(F.min("digest").alias("v"), F.max("digest").alias("top")).filter("v < top").drop("top")
-    ties = at_band.join(heads, "sig").filter("digest > v").select(F.col("digest").alias("u"), "v").distinct()
+    ties = at_band.join(written(heads, "heads"), "sig").filter("digest > v").select(F.col("digest").alias("u"), "v").distinct()
     place = lines.groupBy("digest").agg(F.min("doc_id").alias("doc_id")).withColumnRenamed("digest", "node")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
