@@ -134,6 +134,9 @@ def test_a_cluster_without_shared_folder_is_refused():
         def getConf(self):
             return Conf()
 
+        def getCheckpointDir(self):
+            return None
+
     class Session:
         conf, sparkContext = Conf(), Context()
 

@@ -78,14 +78,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     their own, so it is an error.
     """
     sc = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
-    if not configured:
+    configured = sc.getConf().get("spark.checkpoint.dir", None)
+    if configured:
+        return configured
+    if not sc.getCheckpointDir():
         if sc.master != "local" and not sc.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        configured = tempfile.mkdtemp(prefix="userlens-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", configured)
-    sc.setCheckpointDir(configured)
-    return configured
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="userlens-ckpt-"))
+    return sc.getCheckpointDir()
 
 
 def table_path(sf_dir: str, name: str) -> str:
