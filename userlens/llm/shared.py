@@ -17,14 +17,13 @@ def shared_dir(spark: SparkSession) -> str:
     """``spark.checkpoint.dir`` of the session. Only a ``local[...]`` session, whose driver is its
     one executor, may go without: it gets a temporary folder of its own."""
     sc = spark.sparkContext
-    at = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    at = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if at:
         return at
     if sc.master != "local" and not sc.master.startswith("local["):
         raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
-    at = tempfile.mkdtemp(prefix="userlens-llm-")
-    spark.conf.set("spark.checkpoint.dir", at)
-    return at
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="userlens-llm-"))
+    return sc.getCheckpointDir()
 
 
 def written(df: DataFrame, name: str, files: int | None = None) -> DataFrame:
