@@ -46,7 +46,7 @@ ROUNDS = 4
 SEGMENT = 64
 SUFFIX = 3
 SMOOTH = 0.1
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 PART_WORDS = 400_000
 END = np.uint64(0x5E0D5E0D5E0D5E0D)  # stands for the end token among the words' hashes
 
@@ -180,6 +180,22 @@ def _read(batch: pa.RecordBatch | pa.Table) -> Iterator[tuple[int, Block, np.nda
         yield get("block"), block, np.array(get("held"), dtype=bool), batch.column("ids")[k].values
 
 
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Rows gathered to about BLOCK_BYTES of text; one long text may be more."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        _, offsets = tv.texts_of(batch.column(1))
+        for a, b in tv.slices(offsets, BLOCK_BYTES):
+            if held and size + int(offsets[b] - offsets[a]) > BLOCK_BYTES:
+                yield pa.Table.from_batches(held)
+                held, size = [], 0
+            held.append(batch.slice(a, b - a))
+            size += int(offsets[b] - offsets[a])
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def encoded(docs: DataFrame, classes: int = CLASSES) -> DataFrame:
     """The corpus as blocks, written to the shared folder."""
     id_type = docs.schema["doc_id"].dataType
@@ -189,15 +205,13 @@ def encoded(docs: DataFrame, classes: int = CLASSES) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
-        for batch in batches:
-            raw, offsets = tv.texts_of(batch.column(1))
-            for a, b in tv.slices(offsets, BLOCK_BYTES):
-                o = offsets[a:b + 1]
-                x = encode(raw[o[0]:o[-1]], o - o[0], classes)
-                one = lambda v: pa.array([v.tobytes()], pa.binary())
-                lists = [pa.ListArray.from_arrays(pa.array([0, b - a], pa.int32()), batch.column(c).slice(a, b - a)) for c in (0, 2)]
-                yield pa.RecordBatch.from_arrays([pa.array([number]), *lists, one(x.tokens), one(x.bounds), one(x.words), one(x.classes)], names=schema.names)
-                number += 1
+        for part in _blocks(batches):
+            raw, offsets = tv.texts_of(part.column(1))
+            x = encode(raw, offsets, classes)
+            one = lambda v: pa.array([v.tobytes()], pa.binary())
+            lists = [pa.ListArray.from_arrays(pa.array([0, part.num_rows], pa.int32()), part.column(c).combine_chunks()) for c in (0, 2)]
+            yield pa.RecordBatch.from_arrays([pa.array([number]), *lists, one(x.tokens), one(x.bounds), one(x.words), one(x.classes)], names=schema.names)
+            number += 1
 
     return written(docs.select("doc_id", F.col("text").cast("string").alias("text"), held.alias("held")).mapInArrow(run, schema), "encoded")
 

@@ -99,8 +99,16 @@ def components(edges: DataFrame) -> DataFrame:
     return e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
 
 
+#: Rows and bytes of the batches that go to Python workers. Texts are long, and a worker, its JVM
+#: and the buffers between them each hold a batch or more.
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000", "spark.sql.execution.arrow.maxBytesPerBatch": "8m"}
+
+
 def ship(spark: SparkSession) -> None:
-    """Send this package to the session's Python workers, once; they may not have it installed."""
+    """Make the session ready for the operators: small batches, and this package sent to its Python
+    workers, once, as they may not have it installed."""
+    for k, v in BATCH.items():
+        spark.conf.set(k, v)
     sc = spark.sparkContext
     if getattr(sc, "_userlens_sent", False):
         return

@@ -16,7 +16,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 #: Bytes hashed at once; bounds the 8-byte-per-byte temporaries for a very long text.
 HASH_BYTES = 1 << 20
 
