@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import textvec as tv
+from .shared import hash_share
 
 SAMPLE_ROWS = 500
 SAMPLE_CHARS = 8000
@@ -201,8 +202,8 @@ def _softmax(x: np.ndarray) -> np.ndarray:
 
 
 def train(docs: DataFrame, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS) -> LicenseModel:
-    picked = (docs.select("doc_id", "text").filter(F.col("doc_id").isNotNull() & F.col("text").isNotNull() & (F.length("text") <= chars))
-              .orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")).limit(rows).select("text").collect())
+    picked = (hash_share(docs.select("doc_id", "text"), "doc_id", rows)
+              .filter(F.col("doc_id").isNotNull() & F.col("text").isNotNull() & (F.length("text") <= chars)).orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")).limit(rows).select("text").collect())
     lines = sorted({line for r in picked for line in r["text"].split("\n") if line.strip()})
     return fit(lines)
 

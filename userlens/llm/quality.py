@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import textvec as tv
+from .shared import hash_share
 
 #: Symbols that running prose has few of (fixed by the result's definition).
 SYMBOLS = "#*$%&|<>"
@@ -239,7 +240,7 @@ def _ascend(x: np.ndarray, y: np.ndarray, count: np.ndarray, config: TrainConfig
 
 def train(docs: DataFrame, labels: DataFrame, config: TrainConfig = TrainConfig()) -> LineModel:
     """Fit on the bounded sample: ``labels`` has doc_id and quality (1 good, 0 bad)."""
-    picked = (labels.select(F.col("doc_id").alias("__id"), F.col("quality").cast("int").alias("__y"))
+    picked = (hash_share(labels.select(F.col("doc_id").alias("__id"), F.col("quality").cast("int").alias("__y")), "__id", config.max_docs)
               .filter(F.col("__y").isin(0, 1) & F.col("__id").isNotNull())
               .orderBy(F.xxhash64("__id"), "__id", "__y").limit(config.max_docs))
     rows = (docs.select("doc_id", "text").filter(F.length("text") <= config.max_chars)

@@ -99,6 +99,14 @@ def components(edges: DataFrame) -> DataFrame:
     return e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
 
 
+def hash_share(df: DataFrame, column: str, rows: int) -> DataFrame:
+    """A part of ``df`` of about four times ``rows`` rows, those of the smallest hashes of ``column``: what a
+    bounded sample is then picked from, so that not every task sends that many rows."""
+    n = df.count()
+    span = 1 << 40
+    return df.filter(F.pmod(F.xxhash64(column), F.lit(span)) < int(span * min(1.0, 4 * rows / max(n, 1))) + 1)
+
+
 #: Rows and bytes of the batches that go to Python workers. Texts are long, and a worker, its JVM
 #: and the buffers between them each hold a batch or more.
 BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000", "spark.sql.execution.arrow.maxBytesPerBatch": "8m"}
