@@ -8,9 +8,10 @@ Two documents link when ``100 * |A & B| >= percent * |A | B|`` for their sets of
    a task emits the signatures of a class once, so a group of copies never meets as copies.
 2. Signatures only say which classes may meet (no link is lost): linked sets differ in at most
    k = floor((100 - percent) * a / percent) shingles, a the smaller size. Sizes fall into levels
-   so that linked sets share a level; a level cuts the hash space into k + 3 segments, so that
-   three segments at least are equal, and one of them isn't empty unless the set has more than
-   two empty ones (then these count, too). Classes that share a signature form a family.
+   so that linked sets share a level; a level cuts the hash space into k + 1 + s segments, so that
+   s + 1 segments at least are equal, and one of them isn't empty unless the set has more than
+   s empty ones (then these count, too); s grows with the segments, so that few sets have (``spares``).
+   Classes that share a signature form a family.
 3. A family's sets meet in cells of at most ``cell`` sets a side: a small family is one cell, a
    large one a triangle of cells, so no group meets in one task. A cell is an inverted index
    (shingle -> sorted list of sets). For each set T shingles must be shared; the L longest lists
@@ -31,8 +32,9 @@ from __future__ import annotations
 import hashlib
 from bisect import bisect_left
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 from heapq import merge
-from math import log2
+from math import ceil, log2, sqrt
 
 import numpy as np
 import pyarrow as pa
@@ -47,6 +49,7 @@ PERCENT = 90
 CELL = 512
 #: Weight of a binary probe against a step of the heap, in the choice of L (from the method's paper).
 MU = 0.0085
+#: Segments beyond those that differences may touch, at least (see ``spares``).
 SPARE = 2
 
 
@@ -58,6 +61,24 @@ def levels(percent: int, most: int = 1 << 40) -> np.ndarray:
     return np.array(out, dtype=np.int64)
 
 
+@lru_cache
+def spares(percent: int) -> np.ndarray:
+    """Spare segments of each size level: as many as the empty segments that a level's smallest set is
+    expected to have, with three deviations; while a segment has two shingles on average."""
+    ends = levels(percent)
+    out = []
+    for least, after in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True):
+        must, s = (100 - percent) * (after - 1) // percent + 1, SPARE
+        while 2 * (must + s) < least:
+            empty = (must + s) * (1 - 1 / (must + s)) ** least
+            more = min(ceil(empty + 3 * sqrt(empty)), least // 2 - must)
+            if more <= s:
+                break
+            s = more
+        out.append(s)
+    return np.array(out, dtype=np.int64)
+
+
 def signatures(sets: np.ndarray, bounds: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
     """Segment signatures of each set and their counts per set (a set that links only with its
     equals has none)."""
@@ -70,7 +91,8 @@ def signatures(sets: np.ndarray, bounds: np.ndarray, percent: int = PERCENT) ->
         use = np.flatnonzero((lv >= 0) & (size > 0) & (k > 0))
         if not len(use):
             continue
-        m = (k[use] + 1 + SPARE).astype(np.uint64)
+        spare = spares(percent)[lv[use]]
+        m = (k[use] + 1 + spare).astype(np.uint64)
         n = size[use]
         at = np.repeat(bounds[use], n) + _ramp(n)
         who = np.repeat(np.arange(len(use)), n)
@@ -80,7 +102,7 @@ def signatures(sets: np.ndarray, bounds: np.ndarray, percent: int = PERCENT) ->
         total = np.add.reduceat(tv.mix(x + np.uint64(0x51ED27)), edge)
         who, part = who[edge], part[edge]
         empties = m.astype(np.int64) - np.bincount(who, minlength=len(use))
-        for d in np.flatnonzero(empties > SPARE):
+        for d in np.flatnonzero(empties > spare):
             gone = np.setdiff1d(np.arange(int(m[d]), dtype=np.uint64), part[who == d])
             total, part = np.concatenate([total, np.zeros(len(gone), np.uint64)]), np.concatenate([part, gone])
             who = np.concatenate([who, np.full(len(gone), d)])
