@@ -1,9 +1,10 @@
 """Passages that repeat across documents: MinHash banding over paragraphs.
 
 Paragraphs are the lines of a text of at least ``LINE_WORDS`` words and, so that a passage is found
-wherever it stands in a line, the lines' pieces: a line is cut before a word whose 3-word hash is the
-smallest among its neighbours within ``REACH`` words, which depends on the words alone, so two
-lines that share a passage are cut alike inside it.
+wherever it stands and however it is wrapped, the text's pieces: the words of the whole text, whatever
+their lines, are cut before a word whose 3-word hash is the smallest among its neighbours within
+``REACH`` words, which depends on the words alone, so two texts that share a passage are cut alike
+inside it.
 
 1. One pass writes each paragraph with its place and a digest of its words (lower-cased). Equal
    paragraphs are one node from here on; their copies are only ever counted, by partial sums.
@@ -16,7 +17,7 @@ lines that share a passage are cut alike inside it.
    that touch or overlap them, ``PASSAGE_WORDS`` words on end. The first place of a class
    (smallest doc_id, then place) stays, the others are to be removed.
 
-Defined results: a null or empty text and lines that are too short have no paragraphs; a row
+Defined results: a null or empty text and one of less than ``PIECE_WORDS`` words have no paragraphs; a row
 without doc_id takes no part; repeated rows of one id are one document, so they repeat nothing
 across documents; an empty table gives an empty table; other columns, whatever their names, are
 not looked at (``remove_passages`` keeps them).
@@ -78,7 +79,7 @@ def _run_hashes(values: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.nd
 
 
 class Paragraphs:
-    """Lines and pieces of a run of texts as runs of words [start, end)."""
+    """Lines and pieces of a run of texts as runs of words [start, end). Pieces may cross lines."""
 
     def __init__(self, raw: np.ndarray, offsets: np.ndarray) -> None:
         w = self.words = tv.words_of(raw, offsets, lower=True)
@@ -94,24 +95,25 @@ class Paragraphs:
         end = np.append(start[1:], n) if len(start) else start
         whole = end - start >= LINE_WORDS
         self.line_start, self.line_end = start[whole], end[whole]
-        cut = new | self._cuts(np.cumsum(new))
+        cut = self._cuts(w.doc)
+        cut[self.first_word[:-1][w.counts > 0]] = True
         start = np.flatnonzero(cut)
         end = np.append(start[1:], n) if len(start) else start
-        # A line that isn't cut is there as a line already.
-        part = (end - start >= PIECE_WORDS) & ~(new[start] & np.append(new, True)[end])
+        # A piece stays where it is a line, too: elsewhere its words may be wrapped in another way.
+        part = end - start >= PIECE_WORDS
         self.piece_start, self.piece_end = start[part], end[part]
 
-    def _cuts(self, line: np.ndarray) -> np.ndarray:
-        n = len(line)
+    def _cuts(self, doc: np.ndarray) -> np.ndarray:
+        n = len(doc)
         out = np.zeros(n, dtype=bool)
         if n < 3:
             return out
         top = np.uint64(2 ** 64 - 1)
         g = np.full(n, top)
-        g[:n - 2] = np.where(line[2:] == line[:-2], tv.gram_hashes(self.hashes, 3), top)
+        g[:n - 2] = np.where(doc[2:] == doc[:-2], tv.gram_hashes(self.hashes, 3), top)
         least = np.ones(n, dtype=bool)
         for k in range(1, REACH + 1):
-            same = line[k:] == line[:-k]
+            same = doc[k:] == doc[:-k]
             least[k:] &= ~same | (g[k:] < g[:-k])
             least[:-k] &= ~same | (g[:-k] < g[k:])
         out[:] = least & (g != top)
