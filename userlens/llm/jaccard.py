@@ -317,11 +317,26 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
             .select("doc_id", "n_words", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "rep", "doc_id")).alias("component_id")))
 
 
+def _own_ids(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``__own``: a number for each (doc_id, text), ascending by doc_id, then by hash of the text.
+    Null where doc_id is. Rows are numbered by their place in sorted partitions, so none gathers them."""
+    pairs = docs.select(F.col("doc_id").cast("long").alias("__id"), F.xxhash64("text").alias("__hash")).filter("__id is not null").distinct()
+    ranged = pairs.repartitionByRange("__id", "__hash").sortWithinPartitions("__id", "__hash")
+    own = written(ranged.withColumn("__own", F.monotonically_increasing_id()), "own-ids")
+    return docs.join(own, (F.col("doc_id").cast("long") == F.col("__id")) & (F.xxhash64("text") == F.col("__hash")), "left").drop("__id", "__hash")
+
+
 def one_of_each(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` whose document is the smallest of its component, all columns kept.
-    Repeated rows (one id, one text) leave one row; rows without an id stay."""
-    gone = (jaccard_components(docs, **options).groupBy("doc_id").agg(F.min(F.col("component_id") == F.col("doc_id")).alias("first"))
+    Repeated rows (one id, one text) leave one row; rows without an id stay. Where rows share an id but
+    not a text, each is a document of its own, the smaller hash of its text first."""
+    names = docs.columns
+    ids = docs.select(F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("hash")).filter("id is not null")
+    key = F.col("doc_id").cast("long")
+    if not ids.groupBy("id").agg(F.min("hash").alias("low"), F.max("hash").alias("high")).filter("low < high").isEmpty():
+        docs, key = written(_own_ids(docs), "own"), F.col("__own")
+    gone = (jaccard_components(docs.select(key.alias("doc_id"), "text"), **options).groupBy("doc_id").agg(F.min(F.col("component_id") == F.col("doc_id")).alias("first"))
             .filter(~F.col("first")).select(F.col("doc_id").alias("__gone")))
-    left = docs.join(gone, F.col("doc_id").cast("long") == F.col("__gone"), "left_anti")
+    left = docs.join(gone, key == F.col("__gone"), "left_anti")
     again = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy("doc_id")
-    return left.withColumn("__nth", F.row_number().over(again)).filter(F.col("doc_id").isNull() | (F.col("__nth") == 1)).drop("__nth")
+    return left.withColumn("__nth", F.row_number().over(again)).filter(F.col("doc_id").isNull() | (F.col("__nth") == 1)).select(*[F.col(f"`{c}`") for c in names])
