@@ -68,7 +68,7 @@ def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ledger = f"{shared_dir(spark)}/ledger-{uuid.uuid4().hex}"
+    ledger = secrets.ledger_path(spark) or f"{shared_dir(spark)}/ledger-{uuid.uuid4().hex}"
     return secrets.digest(secrets.findings(table(spark, sf_dir, "documents"), ledger))
 
 

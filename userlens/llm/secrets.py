@@ -44,13 +44,20 @@ BASE = [
     # The same spans as [0-9a-f]+ of 24 or more: a maximal run is matched from its start.
     Rule("hex", r"([0-9a-f]{24,})", 1, 24, ""),
 ]
+#: What may lie between the lines of a key: blanks, quotes, comment signs and escaped newlines.
+_BETWEEN = r"""(?:[\s"'>#*,|]|\\[nrt])*+"""
+# A private key from its BEGIN line to its END line; without an END line, its header fields and
+# base64 lines, and a last line that is short. Possessive groups, as others recurse in the matcher.
+PEM = (r"(-----BEGIN [A-Z ]*PRIVATE KEY-----(?:(?:(?!-----)[\s\S]){0,20000}+-----END [A-Z ]*PRIVATE KEY-----"
+       rf"|(?:{_BETWEEN}(?:Proc-Type|DEK-Info): [A-Za-z0-9,-]++)*+(?:{_BETWEEN}[A-Za-z0-9+/]{{16,}}+={{0,2}}+)++"
+       rf"(?:{_BETWEEN}[A-Za-z0-9+/]++(?:={{1,2}}+|(?=[\x20\t\r]*(?:\n|\z))))?+|))")
 ADDED = [
     Rule("github", r"(gh[pousr]_[A-Za-z0-9]+)", 1, 40, "gh"),
     Rule("jwt", r"(eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+)", 1, 20, "eyJ"),
-    Rule("pem", r"(-----BEGIN [A-Z ]*PRIVATE KEY-----)", 1, 0, "PRIVATE KEY"),
+    Rule("pem", PEM, 1, 0, "PRIVATE KEY"),
 ]
 RULES = BASE + ADDED
-RULES_VERSION = "1"
+RULES_VERSION = "1.1"  # PEM spans take in the key
 SPAN = "struct<start:int,rule:int,end:int,kind:string>"
 MASK = "[REDACTED]"
 
@@ -102,6 +109,11 @@ def read_ledger(spark: SparkSession, path: str) -> DataFrame | None:
         return None
 
 
+def ledger_path(spark: SparkSession) -> str | None:
+    """The ledger that the session names, kept from run to run; None for none."""
+    return spark.conf.get("spark.userlens.ledger", None)
+
+
 def scan_versions(docs: DataFrame, ledger: str | None = None, rules: list[Rule] = RULES, version: str = RULES_VERSION) -> DataFrame:
     """(blob, spans) for every blob of ``docs`` with findings. ``ledger`` is the path of the ledger,
     which gains the blobs scanned now; without it nothing counts as seen."""
