@@ -1,6 +1,8 @@
 """Licence scans: a paragraph classifier, confirmed by comparison with templates.
 
-Paragraphs are the lines of a text. A multinomial logistic regression over sparse word n-grams (1 to
+Paragraphs are the lines of a text and, as notices are wrapped, runs of consecutive lines with words (a line
+without words ends a run) none of which is a licence paragraph alone; of overlapping runs that qualify the
+best covered counts, then the shortest. A multinomial logistic regression over sparse word n-grams (1 to
 3 words, A-Z lower-cased, words being runs of ASCII letters, digits and bytes beyond ASCII) gives
 each paragraph a probability per licence family and for ``unknown``. Features are the n-grams of
 the templates; a paragraph without any of them is unknown without further work, so nearly all of
@@ -97,6 +99,8 @@ class LicenseModel(NamedTuple):
     bias: np.ndarray
     templates: np.ndarray  # [templates, grams], of bool
     family: np.ndarray  # [templates]
+    length: np.ndarray  # [grams], in words
+    words: np.ndarray  # [templates], of words
 
 
 _WORD = np.zeros(256, dtype=bool)
@@ -170,7 +174,12 @@ def fit(unknown: list[str], steps: int = 300, rate: float = 0.1, l2: float = 1e-
     rng = np.random.default_rng(seed)
     every = [(FAMILIES.index(f), t) for f, ts in TEMPLATES.items() for t in ts]
     raw, offsets = tv.texts_of(pa.array([t for _, t in every]))
-    grams = np.unique(_line_grams(*_line_words(raw, offsets))[1])
+    w, line = _line_words(raw, offsets)
+    at, each = _line_grams(w, line)
+    grams, spot = np.unique(each, return_index=True)
+    n_words = len(w.start)
+    ends = np.cumsum([(line[n - 1:] == line[:n_words - n + 1]).sum() for n in range(1, GRAMS + 1)])
+    length = np.searchsorted(ends, spot, side="right") + 1
     templates = _features([t for _, t in every], grams) > 0
     # A paragraph that holds most of a template isn't unknown, whoever wrote it.
     features = _features(unknown, grams)
@@ -193,7 +202,7 @@ def fit(unknown: list[str], steps: int = 300, rate: float = 0.1, l2: float = 1e-
     logits = np.hstack([x[test], np.ones((len(test), 1))]) @ theta
     loss = [(-np.log(_softmax(logits / t)[np.arange(len(test)), y[test]] + 1e-12).mean(), t) for t in np.geomspace(0.2, 5.0, 60)]
     theta /= min(loss)[1]
-    return LicenseModel(grams, theta[:-1], theta[-1], templates, np.array([f for f, _ in every]))
+    return LicenseModel(grams, theta[:-1], theta[-1], templates, np.array([f for f, _ in every]), length, w.counts)
 
 
 def _softmax(x: np.ndarray) -> np.ndarray:
@@ -216,6 +225,61 @@ class Found(NamedTuple):
     cover: np.ndarray
 
 
+def _scored(row: np.ndarray, col: np.ndarray, n: int, model: LicenseModel) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(family, its probability, its cover) of n paragraphs with the n-grams (row, col)."""
+    logits = np.tile(model.bias, (n, 1))
+    np.add.at(logits, row, model.weights[col])
+    p = _softmax(logits)
+    family = p.argmax(axis=1)
+    part = _covers(row, col, n, model)
+    cover = np.where(model.family[None, :] == family[:, None], part, 0.0).max(axis=1)
+    return family, p[np.arange(n), family], cover
+
+
+def _covers(row: np.ndarray, col: np.ndarray, n: int, model: LicenseModel) -> np.ndarray:
+    """[paragraphs, templates]: the share of each template's n-grams that a paragraph has."""
+    shared = np.zeros((n, len(model.family)))
+    np.add.at(shared, row, model.templates[:, col].T)
+    return shared / model.templates.sum(axis=1)
+
+
+def _template_grams(w: tv.Words, group: np.ndarray, keep: np.ndarray, model: LicenseModel) -> tuple[np.ndarray, np.ndarray]:
+    """(word index, number of the n-gram) of the templates' n-grams inside groups of words."""
+    at, g = _line_grams(w, group, keep)
+    j = np.searchsorted(model.grams, g).clip(max=len(model.grams) - 1)
+    ok = model.grams[j] == g
+    return at[ok], j[ok]
+
+
+def _wrapped(at: np.ndarray, col: np.ndarray, first: np.ndarray, length: np.ndarray, model: LicenseModel) -> list[tuple[int, int, float, float]]:
+    """(first line, family, probability, cover) of the notices in one run of lines: ``first`` words of the
+    lines and of what follows, (``at``, ``col``) the run's n-grams."""
+    order = np.argsort(at, kind="stable")
+    at, col = at[order], col[order]
+    end = at + length[col] - 1  # an n-gram may end on a later line than it starts
+    low, high = np.searchsorted(at, first[:-1]), np.searchsorted(at, first[1:])
+    longest = 2 * int(model.words.max())
+    n = len(first) - 1
+    found = []
+    for i in range(n):
+        for j in range(i + 1, n):
+            # Whole lines inside a notice are of its words.
+            if first[j] - first[i + 1] > longest:
+                break
+            if high[j] == low[j] and high[i] == low[i]:
+                continue
+            inside = np.unique(col[low[i]:high[j]][end[low[i]:high[j]] < first[j + 1]])
+            family, p, cover = (x[0] for x in _scored(np.zeros(len(inside), np.int64), inside, 1, model))
+            if family > 0 and p >= MIN_PROBABILITY and cover >= MIN_COVER:
+                found.append((-cover, j - i, i, -p, int(family)))
+    out, used = [], np.zeros(n, dtype=bool)
+    for cover, more, i, p, family in sorted(found):
+        if not used[i:i + more + 1].any():
+            used[i:i + more + 1] = True
+            out.append((i, family, -float(p), -float(cover)))
+    return out
+
+
 def classify(raw: np.ndarray, offsets: np.ndarray, model: LicenseModel) -> Found:
     """The paragraphs with a confirmed family."""
     w, line = _line_words(raw, offsets)
@@ -230,27 +294,40 @@ def classify(raw: np.ndarray, offsets: np.ndarray, model: LicenseModel) -> Found
     some = np.bincount(of_line, weights=hit)[of_line] > 0
     if not some.any():
         return none
-    at, g = _line_grams(w, line, hit & some)
-    j = np.searchsorted(model.grams, g).clip(max=len(model.grams) - 1)
-    ok = model.grams[j] == g
-    lines, which = np.unique(of_line[at[ok]], return_inverse=True)
-    pairs = np.unique(which * len(model.grams) + j[ok])
-    row, col = pairs // len(model.grams), pairs % len(model.grams)
-    logits = np.tile(model.bias, (len(lines), 1))
-    np.add.at(logits, row, model.weights[col])
-    p = _softmax(logits)
-    family = p.argmax(axis=1)
-    shared = np.zeros((len(lines), len(model.family)))
-    np.add.at(shared, row, model.templates[:, col].T)
-    part = shared / model.templates.sum(axis=1)
-    cover = np.where(model.family[None, :] == family[:, None], part, 0.0).max(axis=1)
-    best = p[np.arange(len(lines)), family]
+    at, j = _template_grams(w, of_line, hit & some, model)
+    lines, which = np.unique(of_line[at], return_inverse=True)
+    pairs = np.unique(which * len(model.grams) + j)
+    family, best, cover = _scored(pairs // len(model.grams), pairs % len(model.grams), len(lines), model)
     keep = (family > 0) & (best >= MIN_PROBABILITY) & (cover >= MIN_COVER)
-    first = np.searchsorted(of_line, lines)
+    lines, family, best, cover = lines[keep], family[keep], best[keep], cover[keep]
+
+    # Runs of other lines: only those that cover a template as a whole can have a notice in them.
+    start = np.flatnonzero(np.concatenate([[True], of_line[1:] != of_line[:-1]]))
+    bounds = np.append(start, len(of_line))
+    alone = np.zeros(len(start), dtype=bool)
+    alone[lines] = True
+    apart = (np.diff(line[start]) != 1) | (np.diff(w.doc[start]) != 0) | alone[1:] | alone[:-1]
+    run = np.concatenate([[0], np.cumsum(apart)])
+    at, j = _template_grams(w, run[of_line], hit, model)
+    runs, which = np.unique(run[of_line[at]], return_inverse=True)
+    pairs = np.unique(which * len(model.grams) + j)
+    may = (_covers(pairs // len(model.grams), pairs % len(model.grams), len(runs), model) >= MIN_COVER).any(axis=1)
+    more = []
+    for r in np.flatnonzero(may):
+        a, b = np.searchsorted(run, runs[r]), np.searchsorted(run, runs[r], side="right")
+        if b - a > 1:
+            mine = which == r
+            more += [(a + k, *x) for k, *x in _wrapped(at[mine], j[mine], bounds[a:b + 1], model.length, model)]
+    if more:
+        extra = [np.array(x) for x in zip(*more, strict=True)]
+        lines, family, best, cover = (np.concatenate([x, y]) for x, y in zip((lines, family, best, cover), extra, strict=True))
+        order = np.argsort(lines, kind="stable")
+        lines, family, best, cover = lines[order], family[order], best[order], cover[order]
+    first = start[lines]
     doc = w.doc[first]
     newlines = np.cumsum(np.concatenate([[0], raw == 10]))
     number = newlines[w.start[first]] - newlines[offsets[doc]]
-    return Found(doc[keep], number[keep], family[keep], best[keep], cover[keep])
+    return Found(doc, number, family, best, cover)
 
 
 def scan(docs: DataFrame, model: LicenseModel) -> DataFrame:
