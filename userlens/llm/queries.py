@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontaminate, hmm, jaccard, licenses, packing, quality, secrets, substring, tokencount
+from . import chat, decontaminate, hmm, jaccard, licenses, packing, patternpack, quality, secrets, substring, tokencount
 from .shared import shared_dir, ship
 
 
@@ -72,6 +72,10 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.findings(table(spark, sf_dir, "documents"), ledger))
 
 
+def op13_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return patternpack.pack(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_formatting": op1_chat_formatting,
     "op2_license_scans": op2_license_scans,
@@ -83,4 +87,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_lm_scoring": op9_lm_scoring,
     "op10_secret_scans": op10_secret_scans,
+    "op13_best_fit_packing": op13_best_fit_packing,
 }
