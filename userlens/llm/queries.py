@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontaminate, hmm, jaccard, licenses, packing, patternpack, quality, secrets, substring, tokencount
+from . import chat, decontaminate, hmm, jaccard, licenses, packing, patternpack, prefixtrie, quality, secrets, substring, tokencount, whitening
 from .shared import shared_dir, ship
 
 
@@ -72,6 +72,14 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.findings(table(spark, sf_dir, "documents"), ledger))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixtrie.trie(table(spark, sf_dir, "conversations"))
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 def op13_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return patternpack.pack(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
 
@@ -87,5 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_lm_scoring": op9_lm_scoring,
     "op10_secret_scans": op10_secret_scans,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_embedding_whitening": op12_embedding_whitening,
     "op13_best_fit_packing": op13_best_fit_packing,
 }
