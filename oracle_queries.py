@@ -526,10 +526,10 @@ def _sql() -> dict[str, str]:
         f"SELECT 1 FROM existing e WHERE e.p_day >= '{since_orders}' AND e._id = t.uuid) "
         f"QUALIFY row_number() OVER (PARTITION BY uuid ORDER BY uid DESC, schemeid DESC) = 1")
     out["orders_resync"] = (
-        f"WITH {_trade()}, open_orders AS (SELECT uuid AS _id, uid, schemeid, betnumber, p_day FROM trade "
-        f"WHERE matchresult = 'O' AND uuid IS NOT NULL), "
-        f"again AS (SELECT _id, uid, schemeid, 'again' AS betnumber, '{Q.RESYNC_DAY}' AS p_day FROM open_orders WHERE schemeid % 30 = 0) "
-        f"SELECT * FROM (SELECT * FROM again UNION ALL SELECT * FROM open_orders WHERE _id NOT IN (SELECT _id FROM again)) "
+        f"WITH {_trade()}, firsts AS (SELECT uuid AS _id, uid, schemeid, betnumber, p_day FROM trade WHERE uuid IS NOT NULL), "
+        f"again AS (SELECT uuid AS _id, uid, schemeid, 'again' AS betnumber, '{Q.RESYNC_DAY}' AS p_day FROM trade "
+        f"WHERE matchresult = 'O' AND uuid IS NOT NULL) "
+        f"SELECT * FROM (SELECT * FROM again UNION ALL SELECT * FROM firsts WHERE _id NOT IN (SELECT _id FROM again)) "
         f"QUALIFY row_number() OVER (PARTITION BY _id ORDER BY uid DESC, schemeid DESC) = 1")
     out["users_text_parse"] = (
         f"WITH {LINES}, {PARSED} SELECT uid, {jtrim('parts[2]')} AS username, "
@@ -564,6 +564,7 @@ def _sql() -> dict[str, str]:
         "SELECT uid, to_json(list({'deviceid': deviceid, 'channel': channel, 'app_version': version, "
         "'plateform': plateform, 'firstUseTime': ft} ORDER BY deviceid, channel, version, plateform, ft))::VARCHAR AS base_track "
         "FROM tr GROUP BY uid")
+    out["tracks_two_runs"] = out["tracks_by_user"]
     head = "substr(idcard, 1, 17)"
     ps17 = f"CASE WHEN {digits(head)} AND length({head}) = 17 THEN {psum(head)} END"
     out["idcard_checksum"] = (

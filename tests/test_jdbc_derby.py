@@ -136,3 +136,22 @@ def test_user_document_workflow(spark, derby, tmp_path):
     assert got[20]["username"] == "bob" and got[20]["register_plateform"] == "android"
     assert got[20]["idcard"] is None and len(got[20]["base_track"]) == 1
     assert got[30]["username"] is None and got[30]["birth_province"] == "江苏"
+
+
+def test_ranges_of_clustered_uids_hold_equal_shares(spark, derby):
+    """Most uids in two narrow clusters far apart, one uid repeated, some spread over the whole range."""
+    n = 4000
+    uid = (F.when(F.col("id") < 1800, F.col("id") + 5).when(F.col("id") < 3600, F.col("id") + 9_000_000_000_000)
+           .otherwise((F.col("id") - 3600) * 22_500_000_000 + 7))
+    df = spark.range(n).select(uid.alias("N_USER_ID"), F.lit("110105194912310021").alias("S_IDCARD_NUMBER"))
+    df.write.format("jdbc").option("url", URL).option("dbtable", "CLUSTERED_T").option("driver", DRIVER).mode("overwrite").save()
+    got = scans.scan_idcards_jdbc(spark, URL, "CLUSTERED_T", 0, num_partitions=8, options=derby)
+    sizes = sorted(r["n"] for r in got.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect())
+    assert got.select("uid").distinct().count() == n - 1 and sum(sizes) == n
+    assert len(sizes) == 8 and sizes[-1] <= 2 * sizes[4] and sizes[0] * 2 >= sizes[4]
+
+
+def test_ranges_of_one_repeated_uid(spark, derby):
+    df = spark.range(50).select(F.lit(7).cast("long").alias("N_USER_ID"), F.lit("x").alias("S_IDCARD_NUMBER"))
+    df.write.format("jdbc").option("url", URL).option("dbtable", "SAME_T").option("driver", DRIVER).mode("overwrite").save()
+    assert scans.scan_idcards_jdbc(spark, URL, "SAME_T", 0, num_partitions=4, options=derby).count() == 50

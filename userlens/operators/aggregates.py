@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.entries import let
 from ..functions.time import epoch_ms_time_string
 
 TRACK_KEYS = ["uid", "deviceid", "channel", "version", "plateform"]
@@ -58,6 +59,28 @@ def collect_track(first_uses: DataFrame, time_col: str = "begintime") -> DataFra
             .agg(F.array_sort(F.collect_list(track_struct(time_col))).alias("base_track")))
 
 
+def merge_tracks(old: Column, new: Column) -> Column:
+    """One track array of a stored and a new one: the earliest ``firstUseTime`` of each track, in the
+    order of ``collect_track``. Either may be null, which is no tracks.
+
+    Times are ``yyyy-MM-dd HH:mm:ss`` text, so the smallest text is the earliest for years 0 to 9999;
+    after sorting, a track's first entry is the one to keep.
+    """
+    fields = ("deviceid", "channel", "app_version", "plateform")
+
+    def first_of_track(tracks: Column) -> Column:
+        def differs(t: Column, i: Column) -> Column:
+            before = F.get(tracks, i - 1)
+            same = F.lit(True)
+            for f in fields:
+                same = same & t[f].eqNullSafe(before[f])
+            return (i == 0) | ~same
+        return F.filter(tracks, differs)
+
+    both = F.when(old.isNull(), new).when(new.isNull(), old).otherwise(F.concat(old, new))
+    return let(F.array_sort(both), first_of_track)
+
+
 def distinct_keys(df: DataFrame, key: str) -> DataFrame:
     """The different values of a key column, one null included."""
     return df.select(key).distinct()

@@ -82,17 +82,30 @@ USER_BASE_COLUMNS = ["uid", "username", "register_day", "register_time", "regist
                      "register_phone_name"]
 
 
-def filter_bad_registration_lines(fields: DataFrame, strict_dates: bool = False) -> DataFrame:
-    """Parsed users from split lines; any parse error or uid 0 drops the line.
+def judged_registration_lines(fields: DataFrame, strict_dates: bool = False) -> DataFrame:
+    """Every split line parsed, with ``bad``: whether an error or uid 0 drops it. ``value`` is kept for bad lines
+    alone.
 
     Dates are read leniently (month 13, short fields, text after the seconds);
     ``strict_dates`` takes only exact ``yyyy-MM-dd HH:mm:ss`` calendar dates.
     """
-    p = _parsed_registration(fields, strict_dates)
-    return p.where(F.col("uid") != 0).select(*USER_BASE_COLUMNS)
+    bad = F.col("uid") == 0
+    return _parsed_registration(fields, strict_dates).select(*USER_BASE_COLUMNS, F.when(bad, F.col("value")).alias("value"), bad.alias("bad"))
+
+
+def good_registrations(judged: DataFrame) -> DataFrame:
+    return judged.where(~F.col("bad")).select(*USER_BASE_COLUMNS)
+
+
+def quarantined_lines(judged: DataFrame) -> DataFrame:
+    return judged.where(F.col("bad")).select(F.col("value").alias("line"))
+
+
+def filter_bad_registration_lines(fields: DataFrame, strict_dates: bool = False) -> DataFrame:
+    """Parsed users from split lines; any parse error or uid 0 drops the line."""
+    return good_registrations(judged_registration_lines(fields, strict_dates))
 
 
 def quarantine_bad_lines(fields: DataFrame, strict_dates: bool = False) -> DataFrame:
     """The lines ``filter_bad_registration_lines`` drops, as they were read."""
-    p = _parsed_registration(fields, strict_dates)
-    return p.where(F.col("uid") == 0).select(F.col("value").alias("line"))
+    return quarantined_lines(judged_registration_lines(fields, strict_dates))

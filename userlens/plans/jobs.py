@@ -16,13 +16,14 @@ from ..functions.keys import event_key
 from ..functions.payload import with_event_payload
 from ..functions.text import null_to_empty_trim, normalize_platform
 from ..functions.time import epoch_ms_time_string, event_clock, registration_day_time, time_string
-from ..operators.aggregates import collect_track, first_use, high_water_column
-from ..operators.filters import (filter_above_high_water, filter_bad_registration_lines,
-                                 filter_identified_events, quarantine_bad_lines)
+from ..operators.aggregates import collect_track, first_use, high_water_column, merge_tracks
+from ..operators.filters import (filter_above_high_water, filter_bad_registration_lines, filter_identified_events,
+                                 good_registrations, judged_registration_lines, quarantine_bad_lines, quarantined_lines)
 from ..operators.joins import DEFAULT_BROADCAST_BYTES, anti_join_new_orders, join_event_mapping
-from ..operators.keyed import (as_documents, dedup_by_key, read_snapshot, write_keyed,
+from ..operators.keyed import (as_documents, dedup_by_key, largest_value, read_snapshot, write_keyed,
                                write_replace_by_key, write_upsert_by_key)
 from ..operators.mapping import build_event_mapping
+from ..session import drop_table, materialize
 from ..sources import scans
 
 # ---- log documents --------------------------------------------------------
@@ -137,10 +138,18 @@ def run_load_users_bulk(spark: SparkSession, path: str, target_root: str, quaran
                         strict_dates: bool = False) -> str:
     """Registration text file -> user documents (replace). Bad lines replace what
     ``quarantine_path`` holds (one folder per load), so none vanishes and a
-    repeated load doesn't double them."""
-    good, bad = users_bulk(spark.read.text(path), strict_dates)
-    bad.write.mode("overwrite").text(quarantine_path)
-    return write_replace_by_key(spark, good, target_root, "uid")
+    repeated load doesn't double them.
+
+    The file is read and parsed once, into one table with a folder of good lines
+    and one of bad lines; each output then reads its own folder.
+    """
+    judged = judged_registration_lines(scans.scan_registration_text(spark, path), strict_dates)
+    judged, table = materialize(judged, "bad")
+    try:
+        quarantined_lines(judged).write.mode("overwrite").text(quarantine_path)
+        return write_replace_by_key(spark, good_registrations(judged), target_root, "uid")
+    finally:
+        drop_table(spark, table)
 
 
 def project_user_base(users: DataFrame) -> DataFrame:
@@ -174,12 +183,9 @@ def users_incremental(users: DataFrame, target: DataFrame, as_of: str, guard_min
 def run_load_users_incremental(spark: SparkSession, jdbc_url: str, table: str, target_root: str,
                                as_of: str, guard_minutes: int = 5, options: dict | None = None,
                                columns: dict[str, str] | None = None, num_partitions: int = scans.JDBC_PARTITIONS) -> str | None:
-    """High water from the target, then a JDBC read with the bound pushed in."""
-    old = read_snapshot(spark, target_root)
-    if old is None:
-        return None
-    max_uid = old.agg(F.coalesce(F.max("uid"), F.lit(-1))).first()[0]
-    if max_uid <= 0:
+    """High water from the target's file footers, then a JDBC read with the bound pushed in."""
+    max_uid = largest_value(spark, target_root, "uid")
+    if max_uid is None or max_uid <= 0:
         return None
     cutoff = spark.range(1).select(time_string(
         F.to_timestamp(F.lit(as_of)) - F.make_interval(mins=F.lit(guard_minutes)))).first()[0]
@@ -227,8 +233,10 @@ def build_user_tracks(spark: SparkSession, src, start_day: str, end_day: str) ->
 
 def run_build_user_tracks(spark: SparkSession, src, start_day: str, end_day: str,
                           target_root: str) -> str:
-    """Upsert (D9): the tracks must not wipe the user's registration fields."""
-    return write_upsert_by_key(spark, build_user_tracks(spark, src, start_day, end_day), target_root, "uid")
+    """Upsert (D9): the tracks must not wipe the user's registration fields. Stored tracks are merged
+    with the run's, so runs over several day ranges add up to one run over all of them."""
+    return write_upsert_by_key(spark, build_user_tracks(spark, src, start_day, end_day), target_root, "uid",
+                               merge={"base_track": merge_tracks})
 
 
 # ---- devices --------------------------------------------------------------

@@ -35,6 +35,7 @@ from . import jobs
 # Fixed parameters of the registered queries.
 DAY_RANGE = ("2024-01-05", "2024-01-20")       # the day-range feature itself
 ALL_DAYS = ("2000-01-01", "2099-12-31")        # whole table
+TRACK_SPLIT = ("2024-01-15", "2024-01-16")     # last day of the first run, first of the second
 ORDERS_AS_OF, ORDERS_DAYS = "2001-08-01", 730
 DEVICES_AS_OF, DEVICES_DAYS = "2024-01-31", 7
 USERS_LOADED_BEFORE = "2017-06-01 00:00:00"    # users already in the target
@@ -257,10 +258,10 @@ def replace_users(spark, sf):
 
 
 def orders_resync(spark, sf):
-    """Two syncs into one table: the open orders, then every third of them again, re-dated by a
-    day. The look-back of the second doesn't reach the first's days, so it replaces them by key."""
-    orders = _orders(spark, sf).where(F.col("matchresult") == "O")
-    again = (orders.where(F.col("schemeid") % 30 == 0).withColumn("betnumber", F.lit("again"))
+    """Two syncs into one table: all orders, then the open ones again, re-dated. The look-back of
+    the second doesn't reach the first's days, so it replaces them by key."""
+    orders = _orders(spark, sf)
+    again = (orders.where(F.col("matchresult") == "O").withColumn("betnumber", F.lit("again"))
              .withColumn("p_day", F.lit(RESYNC_DAY)))
     root = _fresh_root(spark, "orders")
     jobs.run_sync_new_orders(spark, orders, root, ORDERS_AS_OF, RESYNC_LOOK_BACK, version=1)
@@ -268,6 +269,14 @@ def orders_resync(spark, sf):
     return read_latest(spark, root, "_id").select("_id", "uid", "schemeid", "betnumber", "p_day")
 
 
+def tracks_two_runs(spark, sf):
+    """The track job run over two day ranges, one after the other, into one table: stored and new tracks merge."""
+    root = _fresh_root(spark, "tracks")
+    for first, last in ((ALL_DAYS[0], TRACK_SPLIT[0]), (TRACK_SPLIT[1], ALL_DAYS[1])):
+        jobs.run_build_user_tracks(spark, _logs(spark, sf), first, last, root)
+    return read_snapshot(spark, root).select("uid", F.to_json("base_track").alias("base_track"))
+
+
 def tracks_row_number(spark, sf):
     """First use by the ranking window, beside the aggregate of ``tracks_first_use``."""
     return row_number_first(_footprint(spark, sf))
@@ -301,6 +310,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "idcard_enrich": idcard_enrich,
     "orders_resync": orders_resync,
     "tracks_row_number": tracks_row_number,
+    "tracks_two_runs": tracks_two_runs,
     "upsert_users": upsert_users,
     "replace_users": replace_users,
 }

@@ -8,6 +8,7 @@ configured untouched.
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 
@@ -88,21 +89,36 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+@contextlib.contextmanager
+def settings(spark: SparkSession, **values: str):
+    """Session settings for the plans made and run inside; ``__`` in a name stands for a dot."""
+    names = {k.replace("__", "."): v for k, v in values.items()}
+    before = {k: spark.conf.get(k, None) for k in names}
+    try:
+        for k, v in names.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
-def materialize(df):
+def materialize(df, *partition_by: str):
     """Write ``df`` once as Parquet under the shared checkpoint folder and read
     it back: later uses read files instead of recomputing the lineage, and a
-    lost executor never recomputes the sources. Returns the table and its path,
-    for ``drop_table`` after use."""
+    lost executor never recomputes the sources. With ``partition_by`` a use that
+    filters on it reads its folders alone. Returns the table and its path, for
+    ``drop_table`` after use."""
     import uuid as _uuid
 
     spark = df.sparkSession
     base = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{base}/userlens-table-{_uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.partitionBy(*partition_by).parquet(path)
     return spark.read.schema(df.schema).parquet(path), path
 
 
@@ -111,3 +127,9 @@ def drop_table(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     at = jvm.org.apache.hadoop.fs.Path(path)
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of the files in a folder."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(at).getLength()

@@ -112,26 +112,69 @@ USER_COLUMNS = {"uid": "n_user_id", "username": "s_login_name", "registerdate":
 IDCARD_COLUMNS = {"uid": "n_user_id", "idcard": "s_idcard_number"}
 
 
-def _jdbc(spark: SparkSession, url: str, query: str, options: dict | None) -> DataFrame:
+def _jdbc(spark: SparkSession, url: str, query: str, options: dict | None, predicates: list[str] | None = None) -> DataFrame:
+    if predicates:
+        properties = {"fetchsize": str(JDBC_FETCH_ROWS), **{k: str(v) for k, v in (options or {}).items()}}
+        return spark.read.jdbc(url, f"({query}) t", predicates=predicates, properties=properties)
     reader = spark.read.format("jdbc").option("url", url).option("dbtable", f"({query}) t").option("fetchsize", JDBC_FETCH_ROWS)
     for k, v in (options or {}).items():
         reader = reader.option(k, v)
     return reader.load()
 
 
+# Cells that a range with too many rows is cut into, and how often at most.
+DEPTH_CELLS, DEPTH_ROUNDS = 256, 8
+
+
+def equal_ranges(spark: SparkSession, url: str, table: str, column: str, where: str, options: dict | None, parts: int) -> list[int]:
+    """Upper ends of all but the last of ``parts`` ranges of an integer column with about equally many rows.
+
+    The database counts the rows of even cells; cells with more than a quarter of a range's rows are cut
+    again, all in one grouped count a round, until none is left or they are single values. At most 4 * parts
+    cells are cut in a round, so each count returns at most 4 * parts * DEPTH_CELLS rows.
+    """
+    edge = _jdbc(spark, url, f"select min({column}) as lo, max({column}) as hi, count(*) as n from {table} where {where}", options).first()
+    if edge[0] is None:
+        return []
+    total = int(edge[2])
+    cells, heavy = [], [(int(edge[0]), int(edge[1]), total)]
+    for _ in range(DEPTH_ROUNDS):
+        heavy, done = [c for c in heavy if c[0] < c[1] and 4 * parts * c[2] > total], [c for c in heavy if c[0] == c[1] or 4 * parts * c[2] <= total]
+        cells += done
+        if not heavy:
+            break
+        width = [(hi - lo) // DEPTH_CELLS + 1 for lo, hi, _ in heavy]
+        cases = " ".join(f"when {column} between {lo} and {hi} then {k * DEPTH_CELLS} + ({column} - {lo} - mod({column} - {lo}, {w})) / {w}"
+                         for k, ((lo, hi, _), w) in enumerate(zip(heavy, width)))
+        inside = " or ".join(f"{column} between {lo} and {hi}" for lo, hi, _ in heavy)
+        counts = _jdbc(spark, url, f"select cell, count(*) as n from (select case {cases} end as cell from {table} where {where} and ({inside})) c group by cell", options).collect()
+        cut = []
+        for cell, n in ((int(r[0]), int(r[1])) for r in counts):
+            (lo, hi, _), w = heavy[cell // DEPTH_CELLS], width[cell // DEPTH_CELLS]
+            first = lo + cell % DEPTH_CELLS * w
+            cut.append((first, min(first + w - 1, hi), n))
+        heavy = cut
+    ends, seen = [], 0
+    for _, hi, n in sorted(cells + heavy):
+        seen += n
+        while len(ends) < parts - 1 and seen * parts >= total * (len(ends) + 1):
+            ends.append(hi)
+    return ends
+
+
 def _jdbc_split(spark: SparkSession, url: str, table: str, columns: dict[str, str], where: str, options: dict | None,
                 bounds: tuple[int, int] | None, num_partitions: int) -> DataFrame:
-    """A read split into ranges of uid. Without given bounds the smallest and largest
-    uid under the same filter are asked for first (an index lookup)."""
-    if bounds is None:
-        edge = _jdbc(spark, url, f"select min({columns['uid']}) as lo, max({columns['uid']}) as hi from {table} where {where}", options).first()
-        bounds = (edge[0], edge[1]) if edge[0] is not None else None
+    """A read split into ranges of uid: even ones between given bounds, else ranges of about equally many rows."""
     names = ", ".join(f"{theirs} as {ours}" for ours, theirs in columns.items())
-    opts = dict(options or {})
-    if bounds is not None and num_partitions > 1:
-        opts.update(partitionColumn="uid", lowerBound=str(bounds[0]), upperBound=str(max(bounds[1], bounds[0]) + 1),
-                    numPartitions=str(num_partitions))
-    return _jdbc(spark, url, f"select {names} from {table} where {where}", opts)
+    query = f"select {names} from {table} where {where}"
+    if num_partitions > 1 and bounds is not None:
+        return _jdbc(spark, url, query, {**(options or {}), "partitionColumn": "uid", "lowerBound": str(bounds[0]),
+                                         "upperBound": str(max(bounds[1], bounds[0]) + 1), "numPartitions": str(num_partitions)})
+    ends = equal_ranges(spark, url, table, columns["uid"], where, options, num_partitions) if num_partitions > 1 else []
+    if not ends:
+        return _jdbc(spark, url, query, options)
+    inner = [f"uid > {a} and uid <= {b}" for a, b in zip(ends, ends[1:])]
+    return _jdbc(spark, url, query, options, [f"uid <= {ends[0]}", *inner, f"uid > {ends[-1]}"])
 
 
 def scan_users_incremental(spark: SparkSession, url: str, table: str, max_uid: int, cutoff: str,
