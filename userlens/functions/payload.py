@@ -10,6 +10,8 @@ higher-order functions over entry arrays (no UDF, no explode/regroup):
    mapping attribute of the event whose name is a
    payload key (trimmed, lower-cased) and whose platform gate passes, the
    derived fields (``string`` -> one field, ``url`` -> domain/path/params).
+   The mapping comes compiled (``compiled_rules``): gates resolved per platform
+   and renames as maps, once per action on the small side of the lookup.
 
 ``merge_payload`` writes ``source`` first, then the derived fields in
 ascending attribute order; a later write of the same field wins.
@@ -22,7 +24,7 @@ from pyspark.sql import functions as F
 
 from .entries import dedup_last, empty_entries as _empty_entries, entries_json, entry as _entry, kv_pairs, let, unique_map
 from .text import is_blank, jtrim
-from .url import url_fields, url_ok
+from .url import compiled_renames, url_entries
 
 MAPPING_ATTR_TYPE = ("array<struct<attribute:string,target_attribute:string,datatype:string,"
                      "ps:string,es_ps:string,plateform:string>>")
@@ -103,52 +105,65 @@ def normalized_keys(payload: Column) -> Column:
     return F.array_distinct(F.transform(F.map_keys(payload), lambda k: F.lower(jtrim(k))))
 
 
-def platform_gate(attr_platform: Column, event_platform: Column) -> Column:
-    """Mapping row applies for platform ``all`` or the event's, ignoring case."""
-    gate = (F.lower(attr_platform) == "all") | (F.lower(attr_platform) == F.lower(event_platform))
-    return F.coalesce(gate, F.lit(False))
+RULE_TYPE = "array<struct<attribute:string,target:string,renames:map<string,string>>>"
 
 
-def string_fields(attr: Column, value: Column) -> Column:
-    ok = value.isNotNull() & attr["target_attribute"].isNotNull()
-    return F.when(ok, F.array(_entry(attr["target_attribute"], value))).otherwise(_empty_entries())
+def compiled_rules(attrs: Column | str) -> Column:
+    """An event's mapping array (sorted by attribute) as rules that a log row only looks up.
+
+    A rule is an attribute with its target field (``string``) or its compiled renames (``url``);
+    attributes that can emit nothing have none. ``named`` holds the rules of each platform that
+    an attribute names (with those for ``all``), ``other`` those of every other platform. Platforms
+    are compared without case.
+    """
+    def rules(kept: Column) -> Column:
+        def of(platform: Column | None) -> Column:
+            mine = lambda a: (a["gate"] == "all") if platform is None else (a["gate"] == "all") | (a["gate"] == platform)
+            return F.transform(F.filter(kept, mine), lambda a: F.struct(a["attribute"], a["target"], a["renames"]))
+        platforms = F.filter(F.array_distinct(kept.getField("gate")), lambda p: p != "all")
+        named = F.map_from_entries(F.transform(platforms, lambda p: F.struct(p, of(p))))
+        return F.struct(named.alias("named"), of(None).alias("other"))
+
+    def rule(a: Column) -> Column:
+        return F.struct(a["attribute"].alias("attribute"), F.when(a["datatype"] == "string", a["target_attribute"]).alias("target"),
+                        F.when(a["datatype"] == "url", compiled_renames(a["ps"], a["es_ps"])).alias("renames"),
+                        F.lower(a["plateform"]).alias("gate"))
+
+    all_rules = F.transform(F.coalesce(_col(attrs), F.array().cast(MAPPING_ATTR_TYPE)), rule)
+    usable = F.filter(all_rules, lambda r: r["gate"].isNotNull() & (r["target"].isNotNull() | r["renames"].isNotNull()))
+    return let(usable, rules)
+
+
+def gate_by_platform(rules: Column | str, plateform: Column | str) -> Column:
+    """The rules that apply to an event of a platform (null rules: none)."""
+    rules = _col(rules)
+    named = F.try_element_at(rules["named"], F.lower(_col(plateform)))
+    return F.coalesce(named, rules["other"], F.array().cast(RULE_TYPE))
 
 
-def url_attribute_fields(attr: Column, value: Column) -> Column:
-    """domain/path/params of a URL value; nothing when any piece is missing
-    or the URL does not parse (the attribute fails alone)."""
-    ok = F.coalesce(value.isNotNull() & attr["ps"].isNotNull() & attr["es_ps"].isNotNull()
-                    & url_ok(value), F.lit(False))
-    return F.when(ok, url_fields(value, attr["ps"], attr["es_ps"])).otherwise(_empty_entries())
+def rule_fields(rule: Column, value: Column) -> Column:
+    """Entries of one rule and its value: one field, or domain, path and parameters of a URL. A null value or a
+    URL that does not parse emits nothing (the attribute fails alone)."""
+    fields = F.when(rule["target"].isNotNull(), F.array(_entry(rule["target"], value))).otherwise(url_entries(value, rule["renames"]))
+    return F.when(value.isNull() | fields.isNull(), _empty_entries()).otherwise(fields)
 
 
-def mapped_fields(payload: Column, attrs: Column | str, plateform: Column | str,
+def mapped_fields(payload: Column, rules: Column | str, plateform: Column | str,
                   keys: Column | str | None = None) -> Column:
     """Derived fields of all applicable mapping attributes, in apply order.
 
-    ``attrs`` is the event's mapping array sorted by attribute (null when the
-    event has no mapping). ``keys`` may name a column that already holds
-    ``normalized_keys(payload)``: inside the per-attribute lambda an inline
-    expression would be rebuilt for every attribute. Rows where no attribute
-    name occurs among the keys (a native ``array_intersect``) skip the
-    lambdas altogether.
+    ``rules`` is the event's ``compiled_rules`` (null when the event has no mapping). ``keys`` may
+    name a column that already holds ``normalized_keys(payload)``: inside the per-rule lambda an
+    inline expression would be rebuilt for every rule.
     """
-    attrs = F.coalesce(_col(attrs), F.array().cast(MAPPING_ATTR_TYPE))
     keys = _col(keys) if keys is not None else normalized_keys(payload)
-    plateform = _col(plateform)
-    applicable = F.filter(attrs, lambda a: F.array_contains(keys, a["attribute"])
-                          & platform_gate(a["plateform"], plateform))
 
-    def fields(a: Column) -> Column:
-        # The value is looked up once for each attribute, not by every piece of its fields.
-        return let(attribute_value(payload, a["attribute"]), lambda v: (
-            F.when(a["datatype"] == "string", string_fields(a, v))
-            .when(a["datatype"] == "url", url_attribute_fields(a, v))
-            .otherwise(_empty_entries())))
+    def derived(gated: Column) -> Column:
+        present = F.filter(gated, lambda r: F.array_contains(keys, r["attribute"]))
+        # The value is looked up once for each rule, not by every piece of its fields.
+        return F.flatten(F.transform(present, lambda r: let(attribute_value(payload, r["attribute"]), lambda v: rule_fields(r, v))))
 
-    derived = F.flatten(F.transform(applicable, fields))
-    none_present = F.size(F.array_intersect(attrs.getField("attribute"), keys)) == 0
-    return F.when(none_present, _empty_entries()).otherwise(derived)
+    return let(gate_by_platform(rules, plateform), derived)
 
 
 def merge_payload(source: Column | str, derived: Column) -> Column:
@@ -171,19 +186,21 @@ def with_source_text(df: DataFrame, plateform: str, content: str, out: str,
 
 
 def with_event_payload(df: DataFrame, plateform: str = "plateform", content: str = "eventcontent",
-                       attrs: str = "attrs", out: str = "eventcontent") -> DataFrame:
+                       attrs: str = "attrs", out: str = "eventcontent", rules: str | None = None) -> DataFrame:
     """Add ``out``: the full ``eventcontent`` map of each log row.
 
     Staged projections (source text, parsed entries, derived fields, merge)
-    so every intermediate is computed once per row and stays in codegen.
+    so every intermediate is computed once per row and stays in codegen. ``rules`` names a
+    column of ``compiled_rules``; without it they are compiled from ``attrs`` here, per row.
     """
     d = with_source_text(df, plateform, content, "__src")
+    d = d.withColumn("__rules", F.col(rules) if rules else compiled_rules(attrs))
     d = d.withColumn("__parsed", parse_payload("__src"))
     d = d.withColumn("__ents", unique_payload(F.col("__parsed")))
     d = d.withColumn("__keys", normalized_keys(F.col("__ents")))
-    d = d.withColumn("__derived", mapped_fields(F.col("__ents"), attrs, plateform, "__keys"))
+    d = d.withColumn("__derived", mapped_fields(F.col("__ents"), "__rules", plateform, "__keys"))
     d = d.withColumn(out, merge_payload("__src", F.col("__derived")))
-    return d.drop("__src", "__parsed", "__ents", "__keys", "__derived")
+    return d.drop("__src", "__rules", "__parsed", "__ents", "__keys", "__derived")
 
 
 def payload_json(payload: Column | str) -> Column:

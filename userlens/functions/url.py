@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .entries import entries_json, entry, kv_pairs, let
+from .entries import empty_entries, entries_json, entry, kv_pairs, let, unique_map
 from .text import java_split, jtrim
 
 # URL shapes accepted and the pieces extracted from them.
@@ -20,6 +20,7 @@ SCHEME = r"(?i)^(?:https?|ftp|file):"
 AUTHORITY = r"(?i)^(?:https?|ftp|file)://([^/?#]*)"
 # user info, host (an IPv6 address keeps its brackets), port
 HOST_PORT = r"^(?:[^@]*@)?(\[[0-9A-Fa-f:.%]*\]|[^:\[\]]*)(?::([+]?[0-9]*))?\z"
+NOT_PLAIN = r"[:@\[\]]"
 PATH_PATTERN = r"(?i)^(?:https?|ftp|file):(?://[^/?#]*)?([^?#]*)"
 
 
@@ -75,32 +76,47 @@ def rename_pairs(ps: Column | str, es_ps: Column | str) -> Column:
     return F.slice(zipped, 1, n)
 
 
+def compiled_renames(ps: Column | str, es_ps: Column | str) -> Column:
+    """``map<string,string>`` from a parameter's name to its new one. A name listed twice takes its
+    last target; names with a blank target are left out."""
+    entries = F.transform(rename_pairs(ps, es_ps), lambda r: entry(r["ps"], r["es"]))
+    return F.map_filter(unique_map(entries), lambda _, es: jtrim(es) != "")
+
+
+def params_by(u: Column | str, renames: Column) -> Column:
+    """Query parameters whose name is a key of ``renames``, under their new names, in query order."""
+    known = F.filter(raw_query_pairs(u), lambda p: F.map_contains_key(renames, p["key"]))
+    return F.transform(known, lambda p: entry(F.element_at(renames, p["key"]), p["value"]))
+
+
 def renamed_query_params(u: Column | str, ps: Column | str, es_ps: Column | str) -> Column:
     """Params whose name is listed in ``ps``, renamed to the matching ``es_ps``.
 
     A name listed twice takes its last target; blank targets are dropped.
     Result: ``array<struct<key,value>>`` in query order.
     """
-    def rename_all(renames: Column) -> Column:
-        def target(name: Column) -> Column:
-            hits = F.filter(renames, lambda r: r["ps"] == name)
-            return F.try_element_at(hits, F.lit(-1))["es"]
+    # the renames are compiled once per URL, not once per parameter
+    return let(compiled_renames(ps, es_ps), lambda renames: params_by(u, renames))
 
-        named = F.transform(raw_query_pairs(u),
-                            lambda p: F.struct(target(p["key"]).alias("key"), p["value"].alias("value")))
-        return F.filter(named, lambda e: e["key"].isNotNull() & (jtrim(e["key"]) != ""))
 
-    # the rename list is built once per URL, not once per parameter
-    return let(rename_pairs(ps, es_ps), rename_all)
+def url_entries(u: Column | str, renames: Column) -> Column:
+    """Entries that a ``url`` attribute writes: domain, path, renamed params; null unless the URL is parsable.
+    The authority is cut out once for the check and the domain."""
+    u = _col(u)
 
+    def fields(a: Column) -> Column:
+        plain = ~a.rlike(NOT_PLAIN)  # an authority that is its host, the common case
+        port = F.regexp_extract(a, HOST_PORT, 2)
+        ok = jtrim(u).rlike(SCHEME) & (plain | (a.rlike(HOST_PORT) & ((port == "") | port.try_cast("int").isNotNull())))
+        domain = F.when(plain, a).otherwise(F.regexp_extract(a, HOST_PORT, 1))
+        params = F.when(F.contains(u, F.lit("?")), params_by(u, renames)).otherwise(empty_entries())
+        return F.when(ok, F.concat(F.array(entry(F.lit("domain"), domain), entry(F.lit("path"), url_path(u))), params))
 
-def url_fields(u: Column | str, ps: Column | str, es_ps: Column | str) -> Column:
-    """Entries a ``url`` attribute writes: domain, path, renamed params."""
-    return F.concat(F.array(entry(F.lit("domain"), url_domain(u)), entry(F.lit("path"), url_path(u))),
-                    renamed_query_params(u, ps, es_ps))
+    return let(_authority(u), fields)
 
 
 def url_fields_map(u: Column | str, ps: Column | str, es_ps: Column | str) -> Column:
     """Those entries as JSON text (sorted keys, last write wins); null when
     the URL is not parsable."""
-    return F.when(url_ok(u), entries_json(url_fields(u, ps, es_ps)))
+    entries = let(compiled_renames(ps, es_ps), lambda renames: url_entries(u, renames))
+    return let(entries, lambda e: F.when(e.isNotNull(), entries_json(e)))

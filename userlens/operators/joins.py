@@ -30,13 +30,14 @@ def bounded_broadcast(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -
 
 def join_event_mapping(logs: DataFrame, mapping: DataFrame,
                        max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
-    """Attach each event's mapping array (``attrs``); unmapped events get null.
+    """Attach each event's mapping (all columns but ``action_id``: the ``attrs`` array or what was compiled from
+    it); unmapped events get null.
 
     ``mapping`` has one row per action, so the fact side never fans out.
     Event ids are INT, actions BIGINT: the key is widened on the log side.
     """
     small, _ = bounded_broadcast(mapping, max_broadcast_bytes)
-    side = small.select(F.col("action_id").alias("__action"), "attrs")
+    side = small.withColumnRenamed("action_id", "__action")
     joined = logs.join(side, F.col("eventid").cast("long") == F.col("__action"), "left")
     return joined.drop("__action")
 

@@ -2,8 +2,8 @@
 
 A snapshot table is a set of Parquet files in key buckets (``pmod(xxhash64(key), buckets)``).
 Each write puts its rows into a new run folder and then commits a manifest: one small
-file that names the folders and files of the new version, renamed into place by
-Spark's committer. Readers take the newest manifest, so a write that dies before
+file that names the folders and files of the new version, renamed into place when it
+is whole. Readers take the newest manifest, so a write that dies before
 its manifest changes nothing. Writers claim their version first: of two that
 started from one version the second fails alone.
 
@@ -313,10 +313,18 @@ def _commit(spark: SparkSession, root: str, rows: list) -> None:
     claim = f"{_root(root)}/_claims/{rows[0][0]:020d}"
     if not _claimed(spark, claim):
         raise RuntimeError(f"another writer published or is publishing version {rows[0][0]} of {root}")
+    names = [f.strip().split()[0] for f in _MANIFEST.split(",")]
+    text = "".join(json.dumps(dict(zip(names, r))) + "\n" for r in rows)
+    name = f"part-{rows[0][0]:020d}-{rows[0][1]}.json"
+    fs, hidden = _fs(spark, f"{_root(root)}/_manifest/_{name}")
     try:
-        spark.createDataFrame(rows, _MANIFEST).coalesce(1).write.mode("append").json(f"{_root(root)}/_manifest")
+        out = fs.create(hidden, True)
+        out.write(bytearray(text.encode()))
+        out.close()
+        if not fs.rename(hidden, _fs(spark, f"{_root(root)}/_manifest/{name}")[1]):
+            raise RuntimeError(f"the manifest of version {rows[0][0]} of {root} could not be renamed into place")
     except BaseException:
-        _fs(spark, claim)[0].delete(_fs(spark, claim)[1], False)
+        fs.delete(_fs(spark, claim)[1], False)
         raise
 
 

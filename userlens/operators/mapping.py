@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.payload import compiled_rules
+
 ATTR_FIELDS = ["target_attribute", "datatype", "ps", "es_ps", "plateform"]
 
 
@@ -52,6 +54,11 @@ def build_event_mapping(mapper: DataFrame, template: DataFrame, detail: DataFram
     return join_template_detail(actions, collect_mapping(active_details(detail)))
 
 
+def compile_mapping(mapping: DataFrame) -> DataFrame:
+    """``rules`` in place of ``attrs``: what log rows look up, compiled once per action."""
+    return mapping.select("action_id", compiled_rules("attrs").alias("rules"))
+
+
 def flatten_mapping(mapping: DataFrame) -> DataFrame:
     """One row per (action, attribute): the flat, comparable form."""
     return (mapping.select("action_id", F.explode("attrs").alias("a"))

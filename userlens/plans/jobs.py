@@ -22,7 +22,7 @@ from ..operators.filters import (filter_above_high_water, filter_bad_registratio
 from ..operators.joins import DEFAULT_BROADCAST_BYTES, anti_join_new_orders, join_event_mapping
 from ..operators.keyed import (as_documents, dedup_by_key, largest_value, read_snapshot, write_keyed,
                                write_replace_by_key, write_upsert_by_key)
-from ..operators.mapping import build_event_mapping
+from ..operators.mapping import build_event_mapping, compile_mapping
 from ..session import drop_table, materialize
 from ..sources import scans
 
@@ -65,8 +65,8 @@ def log_documents(logs: DataFrame, mapping: DataFrame,
         "_id", event_key("uid", "deviceid", "eventid", "begintime"))
     cols = ["_id"] + [c for c in LOG_SOURCE_COLUMNS if c in kept.columns]
     latest = dedup_by_key(kept.select(*cols), "_id", [F.coalesce(F.col("uploadtime"), F.lit(0))])
-    joined = join_event_mapping(latest, mapping, max_broadcast_bytes)
-    return project_log_document(with_event_payload(joined).drop("attrs"))
+    joined = join_event_mapping(latest, compile_mapping(mapping), max_broadcast_bytes)
+    return project_log_document(with_event_payload(joined, rules="rules").drop("rules"))
 
 
 def build_log_documents(spark: SparkSession, src, start_day: str, end_day: str,

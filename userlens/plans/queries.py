@@ -26,7 +26,7 @@ from ..operators.aggregates import first_use, max_key_high_water
 from ..operators.filters import filter_identified_events
 from ..operators.joins import except_keys, join_event_mapping, semi_join_new_orders
 from ..operators.keyed import read_latest, read_snapshot, write_replace_by_key, write_upsert_by_key
-from ..operators.mapping import build_event_mapping, flatten_mapping
+from ..operators.mapping import build_event_mapping, compile_mapping, flatten_mapping
 from ..operators.windows import row_number_first
 from ..session import ensure_checkpoint_dir
 from ..sources import derived, scans
@@ -102,11 +102,11 @@ def event_mapping(spark, sf):
 
 def log_mapped_attributes(spark, sf):
     logs = _logs(spark, sf)
-    j = join_event_mapping(logs, _mapping(spark, sf))
+    j = join_event_mapping(logs, compile_mapping(_mapping(spark, sf)))
     j = with_source_text(j, "plateform", "eventcontent", "__src")
     j = j.withColumn("__ents", payload_map("__src"))
     j = j.withColumn("__keys", normalized_keys(F.col("__ents")))
-    j = j.withColumn("__d", mapped_fields(F.col("__ents"), "attrs", "plateform", "__keys"))
+    j = j.withColumn("__d", mapped_fields(F.col("__ents"), "rules", "plateform", "__keys"))
     return j.select("begintime", "uid", "eventid", "plateform", F.size("__d").alias("n_fields"),
                     payload_json(merge_payload("__src", F.col("__d"))).alias("eventcontent"))
 

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..functions.idcard import check_code, power_sum
 from ..functions.time import day_string, ts_to_epoch_ms
 from ..operators.partitioning import ensure_parallelism
-from ..session import table_path
+from ..session import folder_bytes, table_path
 
 EVENT_IDS = {"click": 1, "error": 2, "purchase": 3, "signup": 4, "view": 5}
 
@@ -31,8 +31,9 @@ SPREAD_TABLES = {"events"}
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A driver table; ``events`` is spread over the cluster's cores when it
     is only a handful of splits (a no-op for a large, many-file table)."""
-    df = spark.read.parquet(table_path(sf_dir, name))
-    return ensure_parallelism(df) if name in SPREAD_TABLES else df
+    path = table_path(sf_dir, name)
+    df = spark.read.parquet(path)
+    return ensure_parallelism(df, input_bytes=folder_bytes(spark, path)) if name in SPREAD_TABLES else df
 
 
 def _event_url(e):
