@@ -66,3 +66,28 @@ def test_order_sync_drops_known_orders_before_the_dedup(spark, Q):
     tree = p.split("(1) ", 1)[0]
     join = min(tree.index(j) for j in ("SortMergeJoin", "BroadcastHashJoin", "ShuffledHashJoin") if j in tree)
     assert "LeftAnti" in p and tree.index("Aggregate") < join  # the tree is printed from the result down
+
+
+def test_known_orders_are_kept_out_of_the_shuffle_by_a_bloom_filter(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from userlens.operators.joins import anti_join_new_orders, may_contain
+
+    n = 20_000  # 99 % known
+    orders = spark.range(n).select(F.when(F.col("id") % 500 != 7, F.concat(F.lit("o"), (F.col("id") - F.col("id") % 3).cast("string"))).alias("uuid"),
+                                   F.sha2(F.col("id").cast("string"), 512).alias("wide"))
+    orders.write.parquet(str(tmp_path / "orders"))
+    orders = spark.read.parquet(str(tmp_path / "orders"))
+    known = spark.range(n).where("id < 19800").select(F.concat(F.lit("o"), F.col("id").cast("string")).alias("uuid"))
+    plain = anti_join_new_orders(orders, known)
+    fast = anti_join_new_orders(orders, known, mostly_known=True)
+    assert fast.columns == plain.columns
+    assert sorted(map(tuple, fast.collect())) == sorted(map(tuple, plain.collect())) and fast.count() > 150
+    assert anti_join_new_orders(orders, known.limit(0), mostly_known=True).count() == orders.where("uuid is not null").count()
+    assert anti_join_new_orders(orders.limit(0), known, mostly_known=True).count() == 0
+    assert "getbit" in plan_of(fast) and "getbit" not in plan_of(plain)
+    new = known.select(F.concat(F.lit("x"), F.col("uuid")).alias("uuid")).limit(1000)
+    passed = orders.where("uuid is not null").where(may_contain(new, "uuid", F.col("uuid"))).count()
+    assert passed < n // 50  # what reaches the shuffle of a plain semi join: none of these keys is in orders
+    assert new.where(may_contain(new, "uuid", F.col("uuid"))).count() == 1000
+    assert orders.where(may_contain(new, "uuid", F.col("uuid"), bits=64)).count() >= passed  # full: more rows pass, none is lost

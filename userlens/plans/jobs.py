@@ -97,32 +97,35 @@ def project_order_document(df: DataFrame) -> DataFrame:
                                      for c in ORDER_DOCUMENT_FIELDS})
 
 
-def new_order_documents(recent: DataFrame, existing_keys: DataFrame) -> DataFrame:
+def new_order_documents(recent: DataFrame, existing_keys: DataFrame, mostly_known: bool = False) -> DataFrame:
     """Orders not yet in the target, one document per uuid.
 
     The anti join comes first, so known orders are dropped before their
     columns are carried anywhere; the dedup then reuses its partitioning when
     the join was shuffled.
     """
-    new = anti_join_new_orders(recent, existing_keys)
+    new = anti_join_new_orders(recent, existing_keys, mostly_known=mostly_known)
     return dedup_by_key(project_order_document(new), "_id")
 
 
-def sync_new_orders(spark: SparkSession, orders_src, target_src, as_of: str, days: int = 2) -> DataFrame:
+def sync_new_orders(spark: SparkSession, orders_src, target_src, as_of: str, days: int = 2,
+                    mostly_known: bool = False) -> DataFrame:
     recent = scans.scan_recent_orders(spark, orders_src, as_of, days)
     since = (date.fromisoformat(as_of[:10]) - timedelta(days=days)).isoformat()
     existing = scans.scan_existing_keys(spark, target_src, since)
-    return new_order_documents(recent, existing)
+    return new_order_documents(recent, existing, mostly_known)
 
 
 def run_sync_new_orders(spark: SparkSession, orders_src, target_root: str, as_of: str,
                         days: int = 2, version: int | None = None) -> str:
     """The uuid is the document's key: an order that comes again under a later
-    day replaces its old document (newest run wins, ``read_latest``)."""
+    day replaces its old document (newest run wins, ``read_latest``). A sync of an
+    existing table finds most orders of its look-back known."""
     old = read_snapshot(spark, target_root)
+    mostly_known = old is not None
     if old is None:
         old = spark.createDataFrame([], "_id string, p_day string")
-    docs = sync_new_orders(spark, orders_src, old, as_of, days)
+    docs = sync_new_orders(spark, orders_src, old, as_of, days, mostly_known)
     return write_keyed(spark, docs, target_root, "_id", mode="append_versioned", sort_by="p_day", version=version)
 
 
