@@ -26,20 +26,32 @@ def shared_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def written(df: DataFrame, name: str, files: int | None = None) -> DataFrame:
-    """``df`` as a Parquet table in the shared folder: lineage is cut and the work is done once.
-    ``files`` bounds the number of files where the size is known to be small for more."""
+def written_at(df: DataFrame, name: str, files: int | None = None) -> tuple[DataFrame, str]:
+    """``written``, and where, for ``dropped``."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     (df.coalesce(files) if files else df).write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def written(df: DataFrame, name: str, files: int | None = None) -> DataFrame:
+    """``df`` as a Parquet table in the shared folder: lineage is cut and the work is done once.
+    ``files`` bounds the number of files where the size is known to be small for more."""
+    return written_at(df, name, files)[0]
+
+
+def dropped(spark: SparkSession, path: str) -> None:
+    """Delete a table of ``written_at`` that nothing reads any more."""
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
 #: Edges a file (and task) when a table of edges is written whose size is known.
 EDGES_PER_FILE = 500_000
 
 
-def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A task's edges as stars: every node tied to the smallest node that the task's edges connect
     it with. Union-find over the task's own nodes only."""
     up: dict[int, int] = {}
@@ -79,12 +91,15 @@ def components(edges: DataFrame) -> DataFrame:
     large-star and small-star steps send a node's neighbours to the smallest of them, by a grouped
     minimum and a join on the node, so no neighbour list is ever gathered; a hub is one aggregated
     row on one side of a join that Spark may split. Edges are written to the shared folder in each
-    round.
+    round, and those of the round before deleted.
     """
-    e = written(edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")), "edges")
+    spark = edges.sparkSession
+    e, at = written_at(edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")), "edges")
     files = None
     while True:
-        e = written(e.mapInArrow(_contract, "u long, v long").distinct(), "edges", files)
+        before = at
+        e, at = written_at(e.mapInArrow(contract, "u long, v long").distinct(), "edges", files)
+        dropped(spark, before)
         bad, n = _not_stars(e)
         if not bad:
             break
