@@ -11,7 +11,9 @@ Two documents link when ``100 * |A & B| >= percent * |A | B|`` for their sets of
    so that linked sets share a level; a level cuts the hash space into k + 1 + s segments, so that
    s + 1 segments at least are equal, and one of them isn't empty unless the set has more than
    s empty ones (then these count, too); s grows with the segments, so that few sets have (``spares``).
-   Classes that share a signature form a family.
+   Classes that share a signature form a family. Signatures are sorted by range with their documents, so a
+   signature of many classes lies over several tasks; a task joins the documents of each signature, hands out
+   what it has joined as stars, and the tasks' first and last rows tie a signature across tasks.
 3. A family's sets meet in cells of at most ``cell`` sets a side: a small family is one cell, a
    large one a triangle of cells, so no group meets in one task. A cell is an inverted index
    (shingle -> sorted list of sets). For each set T shingles must be shared; the L longest lists
@@ -38,11 +40,13 @@ from math import ceil, log2, sqrt
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import textvec as tv
-from .shared import components, written
+from .shared import components, contract, dropped, written, written_at
 
 WORDS = 3
 PERCENT = 90
@@ -280,6 +284,49 @@ def _cell_edges(cells: DataFrame, percent: int) -> DataFrame:
             .select("family", "i", "j", "chunk", "doc_id", "shingles").mapInArrow(run, "u long, v long"))
 
 
+def signature_ties(sigs: DataFrame) -> DataFrame:
+    """(u, v): ties of ids that connect all ids (``doc_id``) of each ``sig``."""
+    names = ["kind", "part", "sig", "u", "v"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, head, last = TaskContext.get().partitionId(), None, None
+
+        def rows(kind: int, sig: int, u: np.ndarray, v: np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([*(pa.array(np.full(len(u), x, np.int64)) for x in (kind, part, sig)), pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=names)
+
+        def pairs() -> Iterator[pa.RecordBatch]:
+            nonlocal head, last
+            for batch in batches:
+                sig, doc = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("sig", "doc_id"))
+                if not len(sig):
+                    continue
+                head = head or (int(sig[0]), int(doc[0]))
+                now = last or (*head, head[1])  # signature, its first id here, the last id
+                new = np.concatenate([[int(sig[0]) != now[0]], sig[1:] != sig[:-1]])
+                at = np.maximum.accumulate(np.where(new, np.arange(len(sig)), -1))
+                first = np.where(at < 0, now[1], doc[at])
+                last = int(sig[-1]), int(first[-1]), int(doc[-1])
+                tied = np.unique(np.stack([doc, first], axis=1)[doc != first], axis=0)
+                yield pa.RecordBatch.from_arrays([pa.array(tied[:, 0]), pa.array(tied[:, 1])], names=["u", "v"])
+
+        for star in contract(pairs()):
+            far = star.filter(pc.not_equal(star.column(0), star.column(1)))
+            yield rows(2, 0, *(far.column(k).to_numpy() for k in (0, 1)))
+        if last is not None:
+            yield rows(0, head[0], *[np.array([head[1]])] * 2)
+            yield rows(1, last[0], *[np.array([last[2]])] * 2)
+
+    ranged = sigs.select("sig", "doc_id").repartitionByRange("sig", "doc_id").sortWithinPartitions("sig", "doc_id")
+    found = written(ranged.mapInArrow(run, ", ".join(f"{n} long" for n in names)), "ties")
+    ends: dict[int, dict[int, tuple[int, int]]] = {}  # two rows a task
+    for r in found.filter("kind < 2").collect():
+        ends.setdefault(r["part"], {})[r["kind"]] = r["sig"], r["u"]
+    order = [ends[p] for p in sorted(ends)]
+    across = [(b[0][1], a[1][1]) for a, b in zip(order, order[1:]) if a[1][0] == b[0][0] and a[1][1] != b[0][1]]
+    ties = found.filter("kind = 2").select("u", "v")
+    return ties.unionByName(ties.sparkSession.createDataFrame(across, "u long, v long")) if across else ties
+
+
 def link_families(ties: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percent: int, cell: int) -> DataFrame:
     """(node, component) by the links within the families that the ``ties`` (u, v) of nodes make.
     ``sets_of`` gives (doc_id, family, chunk, chunks, shingles) for (node, family, chunk, chunks), doc_id
@@ -296,17 +343,16 @@ def link_families(ties: DataFrame, sets_of: Callable[[DataFrame], DataFrame], pe
 
 def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, cell: int = CELL) -> DataFrame:
     """doc_id, n_words, n_shingles, component_id of every row of ``docs`` (doc_id, text)."""
-    base = written(_profiles(docs, words, percent), "profiles")
+    base, at = written_at(_profiles(docs, words, percent), "profiles")
     slim = base.select("doc_id", "n_words", "n_shingles", "digest")
     # Written first, so that both sides of the join are plain exchanges and Spark may split a digest
-    # that a large part of the rows has; the same for the signatures' heads.
+    # that a large part of the rows has.
     reps = written(slim.filter("n_shingles > 0 and doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("rep")), "reps")
     classes = written(slim.join(reps, "digest", "left"), "classes")
 
-    # Families: classes that share a signature, each tied to the smallest id at it.
-    sigs = base.select("doc_id", F.explode("sigs").alias("sig"))
-    heads = sigs.groupBy("sig").agg(F.min("doc_id").alias("head"), F.max("doc_id").alias("last")).filter("head < last").drop("last")
-    ties = sigs.join(written(heads, "heads"), "sig").filter("doc_id > head").select("doc_id", "head").distinct()
+    # Families: classes that share a signature.
+    ties = signature_ties(base.select("doc_id", F.explode("sigs").alias("sig"))).select(F.col("u").alias("doc_id"), F.col("v").alias("head")).distinct()
+    dropped(docs.sparkSession, at)  # the signatures are the largest table of all
     name = classes.filter("rep is not null").select(F.col("doc_id").alias("id"), "rep").distinct()
     ties = (ties.join(name.withColumnRenamed("rep", "u"), F.col("doc_id") == F.col("id")).drop("id")
             .join(name.withColumnRenamed("rep", "v"), F.col("head") == F.col("id")).select("u", "v"))
