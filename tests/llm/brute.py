@@ -20,9 +20,9 @@ def shingles(text, n=3):
     return frozenset(tuple(w[k:k + n]) for k in range(len(w) - n + 1)) or frozenset([tuple(w)])
 
 
-def jaccard_components(rows, percent=90):
+def jaccard_components(rows, percent=90, words=3):
     """[(doc_id, text)] -> {doc_id: (n_shingles, component_id)}"""
-    sets = {i: shingles(t) for i, t in rows}
+    sets = {i: shingles(t, words) for i, t in rows}
     up = {i: i for i in sets}
 
     def find(x):

@@ -23,7 +23,7 @@ def test_stages(spark, real):
         got[name] = before, {r["doc_id"]: r for r in docs.collect()}
         assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars"]
     before, after = got["near_duplicates"]
-    assert set(after) == {i for i, (_, c) in jaccard_components([tuple(r) for r in before]).items() if i == c}
+    assert set(after) == {i for i, (_, c) in jaccard_components([tuple(r) for r in before], percent=80, words=5).items() if i == c}
     before, after = got["benchmark_decontamination"]
     assert set(after) == {r["doc_id"] for r in before if not contamination(r["text"], items)[1]}
     before, after = got["secret_scans"]
@@ -73,3 +73,70 @@ def test_queries_match_their_oracles(spark, name):
     cols = [d[0] for d in cur.description]
     assert sorted(cols) == sorted(df.columns) and rows
     assert digest(df.columns, rows)[0] == digest(cols, cur.fetchall())[0]
+
+
+def test_signature_ties_connect_every_id_of_a_signature_over_many_tasks(spark):
+    from pyspark.sql import functions as F
+
+    from userlens.llm.jaccard import signature_ties
+    from userlens.llm.shared import ship
+
+    ship(spark)
+    rows = spark.range(6000).select((F.col("id") % 5).cast("long").alias("sig"), (F.col("id") * 7 % 3001).alias("doc_id"))
+    hot = rows.withColumn("sig", F.when(F.col("doc_id") < 2000, F.lit(1)).otherwise(F.col("sig") + F.col("doc_id") * 10))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = {r["node"]: r["component"] for r in components(signature_ties(hot)).collect()}
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    groups = {}
+    for r in hot.collect():
+        groups.setdefault(r["sig"], set()).add(r["doc_id"])
+    up = {}
+
+    def find(x):
+        while up.setdefault(x, x) != x:
+            x = up[x]
+        return x
+
+    for ids in groups.values():
+        for i in ids:
+            a, b = sorted((find(i), find(min(ids))))
+            up[b] = a
+    assert {i: c for i, c in got.items()} == {i: find(i) for i in up if sum(find(j) == find(i) for j in up) > 1}
+
+
+PROSE = "\n".join(f"The {w} harbour was quiet in the early morning, and {w} boats came home with {w} nets and tired crews." for w in "north south east west upper lower inner outer".split())
+EDGE = [(1, None), (2, ""), (3, " \n "), (4, PROSE), (4, PROSE), (5, PROSE), (None, PROSE), (None, None), (6, PROSE + "\ntoken = abcdefgh123"), (7, "short")]
+
+
+def test_stages_on_nulls_repeats_and_clashing_names(spark, docs_of):
+    import corpus_pipeline as cp
+
+    docs = docs_of(EDGE, True)
+    got = {}
+    for name, stage in cp.STAGES[:-1]:
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns
+        got[name] = sorted((r["doc_id"], r["text"]) for r in out.collect() if r["doc_id"] is not None), sum(r["doc_id"] is None for r in out.select("doc_id").collect())
+    kept, without_id = got["quality_rules"]
+    assert {i for i, _ in kept} <= {4, 5, 6} and without_id <= 1
+    kept, without_id = got["near_duplicates"]
+    assert kept == [(1, None), (2, ""), (3, " \n "), (4, PROSE), (7, "short")] and without_id == 2
+    with_id = sorted(((i, t) for i, t in EDGE if i is not None), key=lambda r: (r[0], r[1] or ""))
+    kept, without_id = got["benchmark_decontamination"]
+    assert kept == with_id and without_id == 2
+    kept, without_id = got["secret_scans"]
+    assert kept == [(i, t.replace("token = abcdefgh123", "[REDACTED]") if t else t) for i, t in with_id] and without_id == 2
+    pieces = cp.STAGES[-1][1](spark, docs, SF)
+    assert pieces.filter("start = 0").count() == len(EDGE)
+
+
+def test_stages_on_an_empty_table(spark, docs_of):
+    import corpus_pipeline as cp
+
+    docs = docs_of([], True)
+    for _, stage in cp.STAGES[:-1]:
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns and out.count() == 0
+    assert cp.STAGES[-1][1](spark, docs, SF).count() == 0
