@@ -18,6 +18,7 @@ whatever their names, are not looked at (``redact`` keeps them).
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 from typing import NamedTuple
 
@@ -48,7 +49,7 @@ BASE = [
 _BETWEEN = r"""(?:[\s"'>#*,|]|\\[nrt])*+"""
 # A private key from its BEGIN line to its END line; without an END line, its header fields and
 # base64 lines, and a last line that is short. Possessive groups, as others recurse in the matcher.
-PEM = (r"(-----BEGIN [A-Z ]*PRIVATE KEY-----(?:(?:(?!-----)[\s\S]){0,20000}+-----END [A-Z ]*PRIVATE KEY-----"
+PEM = (r"(-----BEGIN [A-Z ]*PRIVATE KEY-----(?:(?:(?!-----)[\s\S])*+-----END [A-Z ]*PRIVATE KEY-----"
        rf"|(?:{_BETWEEN}(?:Proc-Type|DEK-Info): [A-Za-z0-9,-]++)*+(?:{_BETWEEN}[A-Za-z0-9+/]{{16,}}+={{0,2}}+)++"
        rf"(?:{_BETWEEN}[A-Za-z0-9+/]++(?:={{1,2}}+|(?=[\x20\t\r]*(?:\n|\z))))?+|))")
 ADDED = [
@@ -57,26 +58,46 @@ ADDED = [
     Rule("pem", PEM, 1, 0, "PRIVATE KEY"),
 ]
 RULES = BASE + ADDED
-RULES_VERSION = "1.1"  # PEM spans take in the key
+RULES_VERSION = "1.2"  # PEM spans take in the key, however long
 SPAN = "struct<start:int,rule:int,end:int,kind:string>"
 MASK = "[REDACTED]"
 
 
+def blocks_of(values: Column) -> Column:
+    """An array cut into blocks of about the square root of its size."""
+    def cut(v: Column) -> Column:
+        size = F.ceil(F.sqrt(F.size(v))).cast("int")
+        return let(size, lambda b: F.transform(F.sequence(F.lit(0), F.ceil(F.size(v) / b).cast("int") - 1), lambda k: F.slice(v, k * b + 1, b)))
+    return let(values, cut)
+
+
+def running(values: Column, plus: Callable[[Column, Column], Column]) -> Column:
+    """``plus`` of all values before each of a non-empty array of ints, starting from 0: within the blocks, from the
+    result over the blocks before."""
+    def over(v: Column, first: Column) -> Column:
+        none = F.struct(first.alias("at"), F.array().cast("array<int>").alias("out"))
+        return F.aggregate(v, none, lambda acc, x: F.struct(plus(acc["at"], x).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")))["out"]
+
+    def by_block(blocks: Column) -> Column:
+        whole = F.transform(blocks, lambda v: F.aggregate(v, F.lit(0), plus))
+        return F.flatten(F.zip_with(blocks, over(whole, F.lit(0)), over))
+
+    return let(blocks_of(values), by_block)
+
+
 def _spans_of(text: Column, no: int, rule: Rule) -> Column:
     none = F.array().cast(f"array<{SPAN}>")
     pattern = F.lit(rule.pattern)
 
     def place(found: Column) -> Column:
         gaps, match, body = found["gaps"], found["match"], found["body"]
-        first = F.struct(F.lit(0).alias("at"), none.alias("out"))
 
-        def step(acc: Column, i: Column) -> Column:
-            start = acc["at"] + F.length(F.get(gaps, i))
-            end = start + F.length(F.get(match, i))
-            span = F.struct(start.alias("start"), F.lit(no).alias("rule"), end.alias("end"), F.lit(rule.kind).alias("kind"))
-            return F.struct(end.alias("at"), F.when(F.length(F.get(body, i)) >= rule.least, F.concat(acc["out"], F.array(span))).otherwise(acc["out"]).alias("out"))
+        def spans(at: Column) -> Column:
+            each = F.transform(at, lambda x, i: let(x + F.length(F.get(gaps, i)), lambda start: F.struct(
+                start.alias("start"), F.lit(no).alias("rule"), (start + F.length(F.get(match, i))).alias("end"), F.lit(rule.kind).alias("kind"))))
+            return F.filter(each, lambda _, i: F.length(F.get(body, i)) >= rule.least)
 
-        return F.aggregate(F.sequence(F.lit(0), F.size(match) - 1), first, step)["out"]
+        return let(running(F.transform(match, lambda m, i: F.length(m) + F.length(F.get(gaps, i))), lambda x, y: x + y), spans)
 
     def some(match: Column) -> Column:
         found = F.struct(F.split(text, rule.pattern, -1).alias("gaps"), match.alias("match"), F.regexp_extract_all(text, pattern, F.lit(rule.group)).alias("body"))
@@ -141,19 +162,30 @@ def findings(docs: DataFrame, ledger: str | None = None, rules: list[Rule] = RUL
     return paths.join(found, "blob", "left").select("doc_id", F.coalesce("spans", none).alias("spans"))
 
 
+def _masked(text: Column, spans: Column, mask: str) -> Column:
+    """The text with ``mask`` for every run of overlapping spans (some, sorted by start)."""
+    def kept(reach: Column) -> Column:
+        """Pieces (from, to) before each run: a span begins one unless an earlier span reaches beyond its start."""
+        both = F.zip_with(reach, spans, lambda a, s: F.struct(a.alias("a"), s["start"].alias("b")))
+        last = F.struct(F.array_max(F.transform(spans, lambda s: s["end"])).alias("a"), F.length(text).alias("b"))
+        return F.concat(F.filter(both, lambda p: p["b"] >= p["a"]), F.array(last))
+
+    def cut(block: Column) -> Column:
+        first, last = F.get(block, 0), F.element_at(block, -1)
+        part = F.substring(text, first["a"] + 1, last["b"] - first["a"])
+        return let(part, lambda t: F.transform(block, lambda p: F.substring(t, p["a"] - first["a"] + 1, p["b"] - p["a"])))
+
+    pieces = let(running(F.transform(spans, lambda s: s["end"]), lambda x, y: F.greatest(x, y)), kept)
+    return F.array_join(F.flatten(F.transform(blocks_of(pieces), cut)), mask)
+
+
 def redact(docs: DataFrame, ledger: str | None = None, mask: str = MASK, rules: list[Rule] = RULES, version: str = RULES_VERSION) -> DataFrame:
     """``docs``, all columns, with ``mask`` for every run of overlapping spans. ``n_chars``, where it is
     a column, follows the text."""
     found = scan_versions(docs, ledger, rules, version).select(F.col("blob").alias("__blob"), F.col("spans").alias("__spans"))
     rows = docs.withColumn("__key", _blob(_text(docs))).join(found, F.col("__key") == F.col("__blob"), "left")
 
-    def cut(spans: Column, text: Column) -> Column:
-        first = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-        step = lambda acc, s: F.when(s["start"] < acc["at"], F.struct(F.greatest(acc["at"], s["end"]).alias("at"), acc["out"].alias("out"))).otherwise(
-            F.struct(s["end"].alias("at"), F.concat(acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit(mask)).alias("out")))
-        return let(F.aggregate(spans, first, step), lambda e: F.concat(e["out"], F.substring(text, e["at"] + 1, F.length(text))))
-
-    clean = F.when(F.col("__spans").isNull(), F.col("text")).otherwise(cut(F.col("__spans"), F.col("text")))
+    clean = F.when(F.col("__spans").isNull(), F.col("text")).otherwise(_masked(F.col("text").cast("string"), F.col("__spans"), mask))
     rows = rows.withColumn("__clean", clean)
     fix = {"text": F.col("__clean"), "n_chars": F.when(F.col("__spans").isNull(), F.col("n_chars")).otherwise(F.length("__clean")) if "n_chars" in docs.columns else None}
     return rows.select(*[fix[c].cast(docs.schema[c].dataType).alias(c) if c in fix else F.col(f"`{c}`") for c in docs.columns])
