@@ -173,16 +173,24 @@ def merge_payload(source: Column | str, derived: Column) -> Column:
     return unique_map(F.concat(head, derived))
 
 
+def _with_pairs(df: DataFrame, plateform: str, content: str, pairs: str | None = None) -> DataFrame:
+    """Add ``__pairs``: the iOS pairs of iOS rows with some pair, else null; computed once, and only
+    for iOS rows (or taken from the column ``pairs`` when given)."""
+    c = F.col(content)
+    is_ios = F.coalesce(F.col(plateform) == F.lit("ios"), F.lit(False)) & ~is_blank(c)
+    d = df.withColumn("__pairs", F.when(is_ios, F.col(pairs) if pairs else ios_pairs(content)))
+    return d.withColumn("__pairs", F.when(F.size("__pairs") > 0, F.col("__pairs")))
+
+
+def _pairs_or_content(content: str) -> Column:
+    return F.when(F.col("__pairs").isNotNull(), entries_json(F.col("__pairs"), unique=True)).otherwise(F.col(content))
+
+
 def with_source_text(df: DataFrame, plateform: str, content: str, out: str,
                      pairs: str | None = None) -> DataFrame:
     """Add ``out`` = ``source_text``; the iOS pairs are computed once, and
     only for iOS rows (or taken from the column ``pairs`` when given)."""
-    c = F.col(content)
-    is_ios = F.coalesce(F.col(plateform) == F.lit("ios"), F.lit(False)) & ~is_blank(c)
-    d = df.withColumn("__pairs", F.when(is_ios, F.col(pairs) if pairs else ios_pairs(content)))
-    d = d.withColumn(out, F.when(is_ios & (F.size("__pairs") > 0), entries_json(F.col("__pairs"), unique=True))
-                     .otherwise(c))
-    return d.drop("__pairs")
+    return _with_pairs(df, plateform, content, pairs).withColumn(out, _pairs_or_content(content)).drop("__pairs")
 
 
 def with_event_payload(df: DataFrame, plateform: str = "plateform", content: str = "eventcontent",
@@ -193,14 +201,15 @@ def with_event_payload(df: DataFrame, plateform: str = "plateform", content: str
     so every intermediate is computed once per row and stays in codegen. ``rules`` names a
     column of ``compiled_rules``; without it they are compiled from ``attrs`` here, per row.
     """
-    d = with_source_text(df, plateform, content, "__src")
+    d = _with_pairs(df, plateform, content).withColumn("__src", _pairs_or_content(content))
     d = d.withColumn("__rules", F.col(rules) if rules else compiled_rules(attrs))
-    d = d.withColumn("__parsed", parse_payload("__src"))
+    # The pairs are what their JSON text would be read back as.
+    d = d.withColumn("__parsed", F.when(F.col("__pairs").isNotNull(), F.map_from_entries("__pairs")).otherwise(parse_payload("__src")))
     d = d.withColumn("__ents", unique_payload(F.col("__parsed")))
     d = d.withColumn("__keys", normalized_keys(F.col("__ents")))
     d = d.withColumn("__derived", mapped_fields(F.col("__ents"), "__rules", plateform, "__keys"))
     d = d.withColumn(out, merge_payload("__src", F.col("__derived")))
-    return d.drop("__src", "__rules", "__parsed", "__ents", "__keys", "__derived")
+    return d.drop("__pairs", "__src", "__rules", "__parsed", "__ents", "__keys", "__derived")
 
 
 def payload_json(payload: Column | str) -> Column:
