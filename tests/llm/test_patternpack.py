@@ -121,3 +121,24 @@ def test_units_are_encoded_as_the_library_does(real, library):
     encode, _ = pp.encoder(BYTE_BPE)
     units = sorted({" " + w for _, t in rows for w in (t or "").split()} | {"don't", "'ll", "1234567", "!!!...", "<|endoftext|>", "é", "  "})
     assert encode(units) == [e.ids for e in library.encode_batch(units, add_special_tokens=False)]
+
+
+@pytest.mark.parametrize("size", [1, 3, 40, 700])
+def test_bins_of_short_examples_are_full(size):
+    """The vector packer of op3: equal examples fill all but a task's last bins."""
+    from userlens.llm.packing import PLAIN, Packer
+
+    packer, n = Packer(PLAIN, cut=True), 10_000 // max(1, size // 40)
+    out = []
+    for a in range(0, n, 500):
+        x = np.full(min(500, n - a), size)
+        out += packer.add(np.arange(a, a + len(x)), x.copy(), x.copy())
+    out += packer.finish()
+    used, pieces = {}, {}
+    for key, start, length, sequence, offset in out:
+        assert used.get(sequence, 0) == offset
+        used[sequence] = offset + length
+        pieces[key] = pieces.get(key, 0) + length
+    assert pieces == dict.fromkeys(range(n), size)
+    padded = sum(u if u & (u - 1) == 0 else PLAIN.tokens for u in used.values())
+    assert n * size >= 0.95 * padded

@@ -4,7 +4,7 @@ dot product of its vector and what is left of the bin, both as shares of the lim
 
 Documents are tokenized and packed in one narrow pass; a task packs what it reads, with a pool of
 examples that runs on from batch to batch, so nothing is shuffled and memory is bounded by a
-batch and ``POOL`` examples. Only the last sequences of a task are short.
+batch and the pool: ``POOL`` examples, or as many short ones as fill ``FULL`` bins. Only the last sequences of a task are short.
 
 With ``cut`` (plain documents) an example may be cut where no whole one fits, which fills every
 bin; the last tokens of a task go to sequences of a power of two. Without it (instruction data)
@@ -33,6 +33,10 @@ from .wordcache import IdCache
 
 END_ID = 1
 POOL = 256
+#: Bins' worth of tokens that the pool holds at least before a bin is filled from it.
+FULL = 2
+#: Words whose ids a Python worker keeps; a worker goes on to other tasks and stages with them.
+WORDS_KEPT = 1_500_000
 
 
 class Limits(NamedTuple):
@@ -65,8 +69,10 @@ class Packer:
         left = size > 0
         for name, new in (("key", key), ("start", start), ("size", size), ("loss", np.minimum(loss, size))):
             setattr(self, name, np.concatenate([getattr(self, name), new[left]]))
-        while len(self.key) > self.keep:
+        tokens = int(self.size.sum())
+        while len(self.key) > self.keep and tokens >= FULL * self.limits.tokens:  # many short ones must fill a bin, too
             out += self._bin()
+            tokens = int(self.size.sum())
         return out
 
     def finish(self) -> list[tuple[int, int, int, int, int]]:
@@ -127,7 +133,7 @@ def _cache(path: str) -> IdCache:
         t = Tokenizer.from_file(path)
         t.no_truncation()
         t.no_padding()
-        _CACHES[path] = IdCache(lambda words: [e.ids for e in t.encode_batch_fast(words, add_special_tokens=False)])
+        _CACHES[path] = IdCache(lambda words: [e.ids for e in t.encode_batch_fast(words, add_special_tokens=False)], WORDS_KEPT)
     return _CACHES[path]
 
 
@@ -188,7 +194,11 @@ def _pieces(docs: DataFrame, path: str, limits: Limits, cut: bool, id_type: T.Da
     return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(run, schema)
 
 
-def pack_documents(docs: DataFrame, tokenizer: str, limits: Limits = Limits(), cut: bool = True) -> DataFrame:
+#: Plain documents: short ones may fill a sequence, as a segment has a token at least.
+PLAIN = Limits(segments=Limits().tokens)
+
+
+def pack_documents(docs: DataFrame, tokenizer: str, limits: Limits = PLAIN, cut: bool = True) -> DataFrame:
     """One row per piece: doc_id, start (in its document's ids), length, ids_crc32, doc_tokens (with
     the end id), sequence_id, offset (in the sequence, without gaps from 0)."""
     return _pieces(docs, tokenizer, limits, cut, docs.schema["doc_id"].dataType)
