@@ -60,3 +60,35 @@ def test_unlike_long_sets_share_no_signature():
     sets = [np.unique(rng.integers(0, 2 ** 64, n, dtype=np.uint64)) for n in range(400, 4000, 60)]
     value, count = jaccard.signatures(np.concatenate(sets), np.cumsum([0, *map(len, sets)]), 80)
     assert len(np.unique(value)) > 0.99 * len(value)
+
+
+def test_pruning_loses_no_link_among_documents_that_share_passages(docs_of, spark):
+    """Near copies, copies and documents that share one passage with all others, at 5 words and 0.8."""
+    import random
+
+    from brute import jaccard_components
+    from userlens.llm import jaccard
+    from userlens.llm.shared import written
+
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6))
+    passage = [word() for _ in range(60)]
+    rows, i = [], 0
+    for _ in range(40):
+        base = [word() for _ in range(rng.randrange(20, 300))]
+        base[5:5] = passage
+        for _ in range(rng.choice([1, 1, 2, 4])):
+            text = list(base)
+            for _ in range(rng.randrange(0, 1 + len(text) // 40)):
+                text[rng.randrange(len(text))] = word()
+            rows.append((i, " ".join(text)))
+            i += 1
+    rows += [(i + k, rows[k][1]) for k in range(5)] + [(i + 10, "one two"), (i + 11, "one two"), (i + 12, "")]
+    want = jaccard_components(rows, percent=80, words=5)
+    assert len({c for _, c in want.values()}) < len(rows)
+    docs = docs_of(rows).repartition(4)
+    for prune in (False, True):
+        got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.jaccard_components(docs, words=5, percent=80, prune=prune).collect()}
+        assert got == want
+    base = written(jaccard._profiles(docs, 5, 80, True), "test-profiles")
+    assert jaccard.linkable(base, 80).count() < len(rows) - 5  # sets that only share the passage go

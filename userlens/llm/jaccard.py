@@ -14,6 +14,10 @@ Two documents link when ``100 * |A & B| >= percent * |A | B|`` for their sets of
    Classes that share a signature form a family. Signatures are sorted by range with their documents, so a
    signature of many classes lies over several tasks; a task joins the documents of each signature, hands out
    what it has joined as stars, and the tasks' first and last rows tie a signature across tasks.
+   With ``prune``, only sets that may link at all are asked for signatures: of linked sets at most (100 - percent)
+   percent of either's shingles are in no other set. Shingles of a fixed share of the hash space (``SAMPLE``) are
+   sorted by range, those that one set alone has are counted per set, and a set with more of them than that
+   bound goes; so sets that merely share a passage with many others form no family. No link is lost.
 3. A family's sets meet in cells of at most ``cell`` sets a side: a small family is one cell, a
    large one a triangle of cells, so no group meets in one task. A cell is an inverted index
    (shingle -> sorted list of sets). For each set T shingles must be shared; the L longest lists
@@ -42,7 +46,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textvec as tv
@@ -53,6 +57,8 @@ PERCENT = 90
 CELL = 512
 #: Weight of a binary probe against a step of the heap, in the choice of L (from the method's paper).
 MU = 0.0085
+#: Share of the hash space whose shingles are looked at before signatures are (``prune``).
+SAMPLE = 0.4
 #: Segments beyond those that differences may touch, at least (see ``spares``).
 SPARE = 2
 
@@ -127,8 +133,12 @@ def _digests(sets: np.ndarray, bounds: np.ndarray) -> list[bytes]:
     return [hashlib.blake2b(sets[a:b].tobytes(), digest_size=16).digest() for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
 
 
-def _profiles(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    names = ["doc_id", "n_words", "n_shingles", "digest", "sigs"]
+def _profiles(docs: DataFrame, words: int, percent: int, prune: bool) -> DataFrame:
+    names = ["doc_id", "n_words", "n_shingles", "digest", "sigs", "sample"]
+    below = np.uint64(int(SAMPLE * (1 << 64))) if prune else np.uint64(0)
+
+    def of_fresh(values: np.ndarray, n: np.ndarray, fresh: np.ndarray) -> pa.Array:
+        return pa.ListArray.from_arrays(pa.array(tv.starts_of(np.where(fresh, n, 0)).astype(np.int32)), pa.array(values[np.repeat(fresh, n)]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
@@ -145,12 +155,13 @@ def _profiles(docs: DataFrame, words: int, percent: int) -> DataFrame:
                     if has_id[k] and n[k] and d not in seen:
                         seen.add(d)
                         fresh[k] = True
-                value = value[np.repeat(fresh, n)]
-                lists = pa.ListArray.from_arrays(pa.array(tv.starts_of(np.where(fresh, n, 0)).astype(np.int32)), pa.array(value))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(counts), pa.array(np.diff(bounds)), pa.array(digests, pa.binary()), lists], names=names)
+                low = sets < below
+                mine = np.bincount(np.repeat(np.arange(b - a), np.diff(bounds))[low], minlength=b - a).astype(np.int64)
+                sample = of_fresh(sets[low].view(np.int64), mine, fresh)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(counts), pa.array(np.diff(bounds)), pa.array(digests, pa.binary()), of_fresh(value, n, fresh), sample], names=names)
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        run, "doc_id long, n_words long, n_shingles long, digest binary, sigs array<long>")
+        run, "doc_id long, n_words long, n_shingles long, digest binary, sigs array<long>, sample array<long>")
 
 
 def _sets(rows: DataFrame, words: int) -> DataFrame:
@@ -284,6 +295,28 @@ def _cell_edges(cells: DataFrame, percent: int) -> DataFrame:
             .select("family", "i", "j", "chunk", "doc_id", "shingles").mapInArrow(run, "u long, v long"))
 
 
+def linkable(base: DataFrame, percent: int) -> DataFrame:
+    """doc_id of the profiles whose set may link with another: those with few enough sampled shingles of their own.
+    The first and last rows of a task count as shared, as their neighbours are elsewhere."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None  # the last two rows, whose right neighbours aren't known yet
+        for batch in batches:
+            now = np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in ("sig", "doc_id")])
+            if held is not None:
+                now = np.concatenate([held, now], axis=1)
+            sig, doc = now
+            if len(sig) > 2:
+                alone = (sig[1:-1] != sig[:-2]) & (sig[1:-1] != sig[2:])
+                ids, n = np.unique(doc[1:-1][alone], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(n, pa.int64())], names=["doc_id", "own"])
+            held = now[:, -2:]
+
+    rows = base.select(F.explode("sample").alias("sig"), "doc_id")
+    own = rows.repartitionByRange("sig", "doc_id").sortWithinPartitions("sig", "doc_id").mapInArrow(run, "doc_id long, own long").groupBy("doc_id").agg(F.sum("own").alias("own"))
+    asked = base.filter(F.size("sigs") > 0).select("doc_id", "n_shingles").join(own, "doc_id", "left")
+    return written(asked.filter(100 * F.coalesce("own", F.lit(0)) <= (100 - percent) * F.col("n_shingles")).select("doc_id").distinct(), "linkable")
+
+
 def signature_ties(sigs: DataFrame) -> DataFrame:
     """(u, v): ties of ids that connect all ids (``doc_id``) of each ``sig``."""
     names = ["kind", "part", "sig", "u", "v"]
@@ -341,9 +374,9 @@ def link_families(ties: DataFrame, sets_of: Callable[[DataFrame], DataFrame], pe
     return components(_cell_edges(cells, percent))
 
 
-def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, cell: int = CELL) -> DataFrame:
+def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, cell: int = CELL, prune: bool = False) -> DataFrame:
     """doc_id, n_words, n_shingles, component_id of every row of ``docs`` (doc_id, text)."""
-    base, at = written_at(_profiles(docs, words, percent), "profiles")
+    base, at = written_at(_profiles(docs, words, percent, prune), "profiles")
     slim = base.select("doc_id", "n_words", "n_shingles", "digest")
     # Written first, so that both sides of the join are plain exchanges and Spark may split a digest
     # that a large part of the rows has.
@@ -351,7 +384,10 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     classes = written(slim.join(reps, "digest", "left"), "classes")
 
     # Families: classes that share a signature.
-    ties = signature_ties(base.select("doc_id", F.explode("sigs").alias("sig"))).select(F.col("u").alias("doc_id"), F.col("v").alias("head")).distinct()
+    asked = base.select("doc_id", "sigs")
+    if prune:
+        asked = asked.join(linkable(base, percent), "doc_id", "left_semi")
+    ties = signature_ties(asked.select("doc_id", F.explode("sigs").alias("sig"))).select(F.col("u").alias("doc_id"), F.col("v").alias("head")).distinct()
     dropped(docs.sparkSession, at)  # the signatures are the largest table of all
     name = classes.filter("rep is not null").select(F.col("doc_id").alias("id"), "rep").distinct()
     ties = (ties.join(name.withColumnRenamed("rep", "u"), F.col("doc_id") == F.col("id")).drop("id")
@@ -379,10 +415,16 @@ def one_of_each(docs: DataFrame, **options) -> DataFrame:
     names = docs.columns
     ids = docs.select(F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("hash")).filter("id is not null")
     key = F.col("doc_id").cast("long")
-    if not ids.groupBy("id").agg(F.min("hash").alias("low"), F.max("hash").alias("high")).filter("low < high").isEmpty():
+    often = written(ids.groupBy("id").agg(F.count("*").alias("n"), F.min("hash").alias("low"), F.max("hash").alias("high")).filter("n > 1"), "often")
+    if not often.filter("low < high").isEmpty():
         docs, key = written(_own_ids(docs), "own"), F.col("__own")
     gone = (jaccard_components(docs.select(key.alias("doc_id"), "text"), **options).groupBy("doc_id").agg(F.min(F.col("component_id") == F.col("doc_id")).alias("first"))
             .filter(~F.col("first")).select(F.col("doc_id").alias("__gone")))
     left = docs.join(gone, key == F.col("__gone"), "left_anti")
-    again = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy("doc_id")
-    return left.withColumn("__nth", F.row_number().over(again)).filter(F.col("doc_id").isNull() | (F.col("__nth") == 1)).select(*[F.col(f"`{c}`") for c in names])
+    kept = [F.col(f"`{c}`") for c in names]
+    if often.isEmpty():
+        return left.select(*kept)
+    # Only rows whose id occurs again are dealt anew, by an aggregation that makes repeated rows one in each task.
+    again, on = often.select(F.col("id").alias("__often")), F.col("doc_id").cast("long") == F.col("__often")
+    repeated = left.join(again, on, "left_semi").withColumn("__text", F.xxhash64("text")).dropDuplicates(["doc_id", "__text"])
+    return left.join(again, on, "left_anti").select(*kept).unionByName(repeated.select(*kept))
