@@ -33,7 +33,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     repeated rows (one id, one text) leave one; rows that share an id but not a text follow their own
     text. An empty table stays empty; extra columns stay, whatever their names."""
     ship(spark)
-    return jaccard.one_of_each(docs, words=5, percent=80)
+    return jaccard.one_of_each(docs, words=5, percent=80, prune=True)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
