@@ -50,7 +50,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textvec as tv
-from .shared import components, contract, dropped, written, written_at
+from .shared import components, contract, dropped, release, written, written_at
 
 WORDS = 3
 PERCENT = 90
@@ -420,6 +420,8 @@ def one_of_each(docs: DataFrame, **options) -> DataFrame:
         docs, key = written(_own_ids(docs), "own"), F.col("__own")
     gone = (jaccard_components(docs.select(key.alias("doc_id"), "text"), **options).groupBy("doc_id").agg(F.min(F.col("component_id") == F.col("doc_id")).alias("first"))
             .filter(~F.col("first")).select(F.col("doc_id").alias("__gone")))
+    gone = written(gone, "gone")
+    release(docs.sparkSession)
     left = docs.join(gone, key == F.col("__gone"), "left_anti")
     kept = [F.col(f"`{c}`") for c in names]
     if often.isEmpty():

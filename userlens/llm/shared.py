@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 import zipfile
@@ -47,6 +48,13 @@ def dropped(spark: SparkSession, path: str) -> None:
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def release(spark: SparkSession) -> None:
+    """Have Spark delete the shuffle files of jobs that are done and that no DataFrame refers to: its cleaner
+    does so when the driver collects garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 #: Edges a file (and task) when a table of edges is written whose size is known.
 EDGES_PER_FILE = 500_000
 
