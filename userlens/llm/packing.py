@@ -36,7 +36,7 @@ POOL = 256
 #: Bins' worth of tokens that the pool holds at least before a bin is filled from it.
 FULL = 2
 #: Words whose ids a Python worker keeps; a worker goes on to other tasks and stages with them.
-WORDS_KEPT = 1_500_000
+WORDS_KEPT = 1_000_000
 
 
 class Limits(NamedTuple):
