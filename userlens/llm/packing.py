@@ -17,6 +17,7 @@ looked at. ``sequence_id`` is the task's number times 2^33 plus a running number
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -128,6 +129,7 @@ _CACHES: dict[str, IdCache] = {}
 
 def _cache(path: str) -> IdCache:
     if path not in _CACHES:
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core; threads each keep memory
         from tokenizers import Tokenizer
 
         t = Tokenizer.from_file(path)

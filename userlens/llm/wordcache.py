@@ -34,6 +34,10 @@ class HashMap:
         self.keys, self.values = keys[order], np.concatenate([self.values, values])[order]
 
 
+#: Words that are encoded at once; a tokenizer's result for a word takes many times the word's memory.
+ENCODED = 4096
+
+
 class IdCache:
     """Words -> their token ids, flat. ``encode`` gives the ids of each of a list of words."""
 
@@ -71,9 +75,10 @@ class IdCache:
             new = np.flatnonzero(~found)
             at = first[new]
             data = raw.tobytes()
-            lists = self.encode([data[a:b].decode("utf-8", "replace") for a, b in zip(start[at].tolist(), end[at].tolist(), strict=True)])
             value[new] = self.count + np.arange(len(new))
-            self._append(lists)
+            for k in range(0, len(at), ENCODED):
+                some = at[k:k + ENCODED]
+                self._append(self.encode([data[a:b].decode("utf-8", "replace") for a, b in zip(start[some].tolist(), end[some].tolist(), strict=True)]))
             self.map.add(keys[new], value[new])
         entry = value[which]
         begin = self.start[entry]
