@@ -92,3 +92,50 @@ def test_pruning_loses_no_link_among_documents_that_share_passages(docs_of, spar
         assert got == want
     base = written(jaccard._profiles(docs, 5, 80, True), "test-profiles")
     assert jaccard.linkable(base, 80).count() < len(rows) - 5  # sets that only share the passage go
+
+
+def test_families_tied_by_common_lines_are_parted_and_lose_no_link(docs_of, spark, monkeypatch):
+    """Near copies that have common lines: chance ties make them one family, whose cells grow with its square."""
+    from brute import jaccard_components
+
+    rng, rows = random.Random(9), []
+    word = lambda: f"w{rng.randrange(10 ** 6)}"
+    lines = [[word() for _ in range(9)] for _ in range(3)]
+    for n in (*[40] * 30, *[60] * 10, *range(30, 300, 30)):
+        base = [word() for _ in range(n)]
+        for line in lines:
+            at = rng.randrange(len(base))
+            base[at:at] = line
+        for _ in range(2):
+            text = list(base)
+            text[rng.randrange(len(text))] = word()
+            rows.append((len(rows), " ".join(text)))
+    base = [word() for _ in range(120)]  # more near copies than a cell has sets
+    for _ in range(20):
+        text = list(base)
+        for _ in range(rng.randrange(3)):
+            text[rng.randrange(len(text))] = word()
+        rows.append((len(rows), " ".join(text)))
+    want = jaccard_components(rows, percent=80, words=5)
+    search, dealt = jaccard._cell_edges, []
+
+    def seen(cells, percent):
+        dealt.append(cells.count())
+        return search(cells, percent)
+
+    monkeypatch.setattr(jaccard, "_cell_edges", seen)
+    docs = docs_of(rows + rows[::9]).repartition(4)  # some rows twice
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.jaccard_components(docs, words=5, percent=80, cell=8, prune=True).collect()}
+    assert got == want
+    assert 0 < dealt[0] < 3 * len(rows)  # over 900 when most are one family
+
+
+def test_a_class_with_copies_in_other_tasks_has_shingles_of_its_own(docs_of, spark):
+    from userlens.llm.shared import written
+
+    rng = random.Random(10)
+    texts = [" ".join(f"w{rng.randrange(10 ** 6)}" for _ in range(200)) for _ in range(30)]
+    rows = spark.sparkContext.parallelize([(100 * c + k, t) for c in range(3) for k, t in enumerate(texts)], 3)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    base = written(jaccard._profiles(docs, 5, 80, True), "test-profiles")
+    assert jaccard.linkable(base, 80).isEmpty()

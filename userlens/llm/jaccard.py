@@ -16,8 +16,10 @@ Two documents link when ``100 * |A & B| >= percent * |A | B|`` for their sets of
    what it has joined as stars, and the tasks' first and last rows tie a signature across tasks.
    With ``prune``, only sets that may link at all are asked for signatures: of linked sets at most (100 - percent)
    percent of either's shingles are in no other set. Shingles of a fixed share of the hash space (``SAMPLE``) are
-   sorted by range, those that one set alone has are counted per set, and a set with more of them than that
-   bound goes; so sets that merely share a passage with many others form no family. No link is lost.
+   sorted by range, those that one class alone has are counted per class, and a class with more of them than that
+   bound goes; so sets that merely share a passage with many others form no family. Families of more than
+   ``cell`` sets are then parted (``parted``): in the order of the family's own frequencies, rare first, linked sets
+   share one of their first n - ceil(percent * n / 100) + 1 shingles, n the size. No link is lost.
 3. A family's sets meet in cells of at most ``cell`` sets a side: a small family is one cell, a
    large one a triangle of cells, so no group meets in one task. A cell is an inverted index
    (shingle -> sorted list of sets). For each set T shingles must be shared; the L longest lists
@@ -89,6 +91,12 @@ def spares(percent: int) -> np.ndarray:
     return np.array(out, dtype=np.int64)
 
 
+def least_size(percent: int) -> int:
+    """Size from which a set may link with another than its equals."""
+    ends = levels(percent)
+    return int(ends[np.flatnonzero((100 - percent) * (ends[1:] - 1) // percent > 0)[0]])
+
+
 def signatures(sets: np.ndarray, bounds: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
     """Segment signatures of each set and their counts per set (a set that links only with its
     equals has none)."""
@@ -135,7 +143,7 @@ def _digests(sets: np.ndarray, bounds: np.ndarray) -> list[bytes]:
 
 def _profiles(docs: DataFrame, words: int, percent: int, prune: bool) -> DataFrame:
     names = ["doc_id", "n_words", "n_shingles", "digest", "sigs", "sample"]
-    below = np.uint64(int(SAMPLE * (1 << 64))) if prune else np.uint64(0)
+    below, least = np.uint64(int(SAMPLE * (1 << 64))) if prune else np.uint64(0), least_size(percent)
 
     def of_fresh(values: np.ndarray, n: np.ndarray, fresh: np.ndarray) -> pa.Array:
         return pa.ListArray.from_arrays(pa.array(tv.starts_of(np.where(fresh, n, 0)).astype(np.int32)), pa.array(values[np.repeat(fresh, n)]))
@@ -148,25 +156,27 @@ def _profiles(docs: DataFrame, words: int, percent: int, prune: bool) -> DataFra
                 o = offsets[a:b + 1]
                 sets, bounds, counts = tv.shingle_sets(raw[o[0]:o[-1]], o - o[0], words)
                 digests = _digests(sets, bounds)
-                value, n = signatures(sets, bounds, percent)
+                value, n = (np.zeros(0, np.int64), np.zeros(b - a, np.int64)) if prune else signatures(sets, bounds, percent)
+                size = np.diff(bounds)
                 has_id = batch.column(0).slice(a, b - a).is_valid().to_numpy(zero_copy_only=False)
                 fresh = np.zeros(b - a, dtype=bool)
                 for k, d in enumerate(digests):
-                    if has_id[k] and n[k] and d not in seen:
+                    if has_id[k] and size[k] >= least and d not in seen:
                         seen.add(d)
                         fresh[k] = True
                 low = sets < below
-                mine = np.bincount(np.repeat(np.arange(b - a), np.diff(bounds))[low], minlength=b - a).astype(np.int64)
+                mine = np.bincount(np.repeat(np.arange(b - a), size)[low], minlength=b - a).astype(np.int64)
                 sample = of_fresh(sets[low].view(np.int64), mine, fresh)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(counts), pa.array(np.diff(bounds)), pa.array(digests, pa.binary()), of_fresh(value, n, fresh), sample], names=names)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(counts), pa.array(size), pa.array(digests, pa.binary()), of_fresh(value, n, fresh), sample], names=names)
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
         run, "doc_id long, n_words long, n_shingles long, digest binary, sigs array<long>, sample array<long>")
 
 
 def _sets(rows: DataFrame, words: int) -> DataFrame:
-    """Rows (doc_id, text, digest, ...) whose text has that digest, with the set as bytes for the text."""
-    names = ["doc_id", "family", "chunk", "chunks", "shingles"]
+    """Rows (text, digest, ...) whose text has that digest, with the set as bytes for both."""
+    kept = [c for c in rows.columns if c not in ("text", "digest")]
+    names = [*kept, "shingles"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -177,9 +187,28 @@ def _sets(rows: DataFrame, words: int) -> DataFrame:
                 part = batch.slice(a, b - a)
                 same = pa.array([x == y for x, y in zip(_digests(sets, bounds), part.column("digest").to_pylist(), strict=True)], pa.bool_())
                 data = pa.array([sets[i:j].tobytes() for i, j in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)], pa.binary())
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in names[:4]), data], names=names).filter(same)
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in kept), data], names=names).filter(same)
+
+    return rows.mapInArrow(run, ", ".join([*(f"{c} {rows.schema[c].dataType.simpleString()}" for c in kept), "shingles binary"]))
+
+
+def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(shingles, bounds) of sets as bytes, laid end to end."""
+    column = column.cast(pa.large_binary())
+    off = np.frombuffer(column.buffers()[1], dtype=np.int64)[column.offset:column.offset + len(column) + 1]
+    return np.frombuffer(column.buffers()[2], dtype=np.uint64, offset=int(off[0]), count=int(off[-1] - off[0]) // 8), (off - off[0]) // 8
 
-    return rows.mapInArrow(run, "doc_id long, family long, chunk int, chunks int, shingles binary")
+
+def _signed(sets: DataFrame, percent: int) -> DataFrame:
+    """(doc_id, sigs) of (doc_id, shingles)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                value, n = signatures(*_flat(batch.column("shingles")), percent)
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.ListArray.from_arrays(pa.array(tv.starts_of(n).astype(np.int32)), pa.array(value))], names=["doc_id", "sigs"])
+
+    return sets.mapInArrow(run, "doc_id long, sigs array<long>")
 
 
 class _Forest:
@@ -296,25 +325,29 @@ def _cell_edges(cells: DataFrame, percent: int) -> DataFrame:
 
 
 def linkable(base: DataFrame, percent: int) -> DataFrame:
-    """doc_id of the profiles whose set may link with another: those with few enough sampled shingles of their own.
-    The first and last rows of a task count as shared, as their neighbours are elsewhere."""
+    """(doc_id, digest) of the classes of the profiles whose set may link with another, those with few enough sampled
+    shingles of their own; doc_id is the class's smallest. A class whose rows lie in several tasks emits its
+    sample in each and counts once. The first and last rows of a task count as shared, as their neighbours are elsewhere."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None  # the last two rows, whose right neighbours aren't known yet
+        held = np.zeros((2, 0), np.int64)  # the last two rows, whose right neighbours aren't known yet
         for batch in batches:
-            now = np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in ("sig", "doc_id")])
-            if held is not None:
-                now = np.concatenate([held, now], axis=1)
-            sig, doc = now
+            now = np.concatenate([held, np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in ("sig", "class")])], axis=1)
+            if not now.shape[1]:
+                continue
+            now = now[:, np.concatenate([[True], (now[:, 1:] != now[:, :-1]).any(axis=0)])]
+            sig, name = now
             if len(sig) > 2:
                 alone = (sig[1:-1] != sig[:-2]) & (sig[1:-1] != sig[2:])
-                ids, n = np.unique(doc[1:-1][alone], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(n, pa.int64())], names=["doc_id", "own"])
+                ids, n = np.unique(name[1:-1][alone], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(n, pa.int64())], names=["class", "own"])
             held = now[:, -2:]
 
-    rows = base.select(F.explode("sample").alias("sig"), "doc_id")
-    own = rows.repartitionByRange("sig", "doc_id").sortWithinPartitions("sig", "doc_id").mapInArrow(run, "doc_id long, own long").groupBy("doc_id").agg(F.sum("own").alias("own"))
-    asked = base.filter(F.size("sigs") > 0).select("doc_id", "n_shingles").join(own, "doc_id", "left")
-    return written(asked.filter(100 * F.coalesce("own", F.lit(0)) <= (100 - percent) * F.col("n_shingles")).select("doc_id").distinct(), "linkable")
+    name = F.xxhash64("digest").alias("class")
+    rows = base.select(F.explode("sample").alias("sig"), name)
+    own = rows.repartitionByRange("sig", "class").sortWithinPartitions("sig", "class").mapInArrow(run, "class long, own long").groupBy("class").agg(F.sum("own").alias("own"))
+    asked = (base.filter((F.col("n_shingles") >= least_size(percent)) & F.col("doc_id").isNotNull())
+             .groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n")).select("*", name).join(own, "class", "left"))
+    return written(asked.filter(100 * F.coalesce("own", F.lit(0)) <= (100 - percent) * F.col("n")).select("doc_id", "digest"), "linkable")
 
 
 def signature_ties(sigs: DataFrame) -> DataFrame:
@@ -360,11 +393,129 @@ def signature_ties(sigs: DataFrame) -> DataFrame:
     return ties.unionByName(ties.sparkSession.createDataFrame(across, "u long, v long")) if across else ties
 
 
-def link_families(ties: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percent: int, cell: int) -> DataFrame:
+#: Tokens that a batch of ``_tokens`` has at most, unless one set has more. What counts as the frequency of a
+#: shingle whose rows may lie in several tasks.
+TOKENS, MANY = 1 << 17, 1 << 40
+
+
+def _tokens(rows: DataFrame) -> DataFrame:
+    """(family, sig, doc_id): the shingles of (family, doc_id, shingles), one a row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            sigs, bounds = _flat(batch.column("shingles"))
+            for a, b in tv.slices(bounds, TOKENS):
+                n = np.diff(bounds[a:b + 1])
+                family, doc = (np.repeat(batch.column(c).to_numpy(zero_copy_only=False)[a:b], n) for c in ("family", "doc_id"))
+                yield pa.RecordBatch.from_arrays([pa.array(family), pa.array(sigs[bounds[a]:bounds[b]].view(np.int64)), pa.array(doc)], names=["family", "sig", "doc_id"])
+
+    return rows.mapInArrow(run, "family long, sig long, doc_id long")
+
+
+def _frequencies(tokens: DataFrame) -> DataFrame:
+    """``tokens`` with ``often``: how many sets of the family have the shingle. A task's first and last shingles
+    have rows elsewhere, too, perhaps, and are MANY, in all tasks that have them: so ``often`` goes by the shingle."""
+    names = ["family", "sig", "doc_id", "often"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begun, run_on = False, []  # run_on: the rows of the shingle that isn't over
+
+        def counted(rows: np.ndarray, starts: np.ndarray, ends: bool) -> pa.RecordBatch:
+            nonlocal begun
+            n = np.diff(np.append(starts, rows.shape[1]))
+            often = np.where(np.arange(len(n)) < (not begun), MANY, MANY if ends else n)
+            begun = True
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in (*rows, np.repeat(often, n))], names=names)
+
+        for batch in batches:
+            now = np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in names[:3]])
+            if not now.shape[1]:
+                continue
+            if run_on and (now[:2, -1] == run_on[0][:2, 0]).all():
+                run_on.append(now)
+                continue
+            now = np.concatenate([*run_on, now], axis=1)
+            now = now[:, np.concatenate([[True], (now[:, 1:] != now[:, :-1]).any(axis=0)])]  # without repeated rows
+            starts = np.flatnonzero(np.concatenate([[True], (now[:2, 1:] != now[:2, :-1]).any(axis=0)]))
+            if len(starts) > 1:
+                yield counted(now[:, :starts[-1]], starts[:-1], False)
+            run_on = [now[:, starts[-1]:]]
+        if run_on:
+            now = np.concatenate(run_on, axis=1)
+            now = now[:, np.concatenate([[True], now[2, 1:] != now[2, :-1]])]
+            yield counted(now, np.zeros(1, np.int64), True)
+
+    return tokens.repartitionByRange("family", "sig", "doc_id").sortWithinPartitions("family", "sig", "doc_id").mapInArrow(run, ", ".join(f"{n} long" for n in names))
+
+
+def _rare_first(counted: DataFrame, percent: int) -> DataFrame:
+    """(sig, doc_id): linked sets of a family share a ``sig``, made of a level that both are in or next to and
+    of one of either's first shingles in the order of their frequencies."""
+    ends = levels(percent)
+
+    def of_whole(rows: np.ndarray) -> pa.RecordBatch:
+        doc, often, sig, family = rows
+        starts = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]]))
+        n = np.diff(np.append(starts, len(doc)))
+        first = _ramp(n) < np.repeat(n + percent * -n // 100 + 1, n)  # percent * -n // 100: -ceil(percent * n / 100)
+        use = np.flatnonzero(first & (often > 1))
+        token = tv.mix(tv.mix(family[use].view(np.uint64)) ^ sig[use].view(np.uint64))
+        level = np.repeat(np.searchsorted(ends, n, side="right"), n)[use].astype(np.uint64)
+        value = np.concatenate([tv.mix(token + level), tv.mix(token + level - np.uint64(1))]).view(np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(value), pa.array(np.tile(doc[use], 2))], names=["sig", "doc_id"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        run_on: list[np.ndarray] = []  # the rows of the set that isn't over
+        for batch in batches:
+            now = np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in ("doc_id", "often", "sig", "family")])
+            if not now.shape[1]:
+                continue
+            if run_on and now[0, -1] == run_on[0][0, 0]:
+                run_on.append(now)
+                continue
+            now = np.concatenate([*run_on, now], axis=1)
+            last = int(np.searchsorted(now[0], now[0, -1]))
+            if last:
+                yield of_whole(now[:, :last])
+            run_on = [now[:, last:]]
+        if run_on:
+            yield of_whole(np.concatenate(run_on, axis=1))
+
+    return counted.repartition("doc_id").sortWithinPartitions("doc_id", "often", "sig").select("doc_id", "often", "sig", "family").mapInArrow(run, "sig long, doc_id long")
+
+
+def parted(family: DataFrame, sets: DataFrame, percent: int, cell: int) -> DataFrame:
+    """The families (node, component) of (doc_id, shingles), those of more than ``cell`` sets parted where none of
+    a part's sets links with one of another part. Chance ties, of a common line or passage, grow with the square of
+    the sets and make one family of most; by frequency order, such a line is among the first shingles of those sets
+    alone that have little else in common with others. Again, with the parts' own frequencies, as long as that halves their pairs."""
+    spark, before = family.sparkSession, None
+    while True:
+        n = F.col("n")
+        large = written(family.groupBy("component").agg(F.count("*").alias("n")).filter(n > cell), "large")
+        pairs = large.agg(F.sum(n * n)).first()[0]
+        if not pairs or before and 2 * pairs > before:
+            return family
+        before = pairs
+        mine = family.join(large.select("component"), "component").select("node", F.col("component").alias("family"))
+        rows = mine.join(sets, F.col("node") == F.col("doc_id")).select("family", "doc_id", "shingles")
+        first, at = written_at(_rare_first(_frequencies(_tokens(rows)), percent), "rare-first")
+        release(spark)
+        parts = components(signature_ties(first))
+        dropped(spark, at)
+        family = written(family.join(large.select("component"), "component", "left_anti").select("node", "component").unionByName(parts), "families")
+        release(spark)
+
+
+def link_families(ties: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percent: int, cell: int, sets: DataFrame | None = None) -> DataFrame:
     """(node, component) by the links within the families that the ``ties`` (u, v) of nodes make.
     ``sets_of`` gives (doc_id, family, chunk, chunks, shingles) for (node, family, chunk, chunks), doc_id
-    being the node."""
+    being the node. With ``sets`` (doc_id, shingles) of all nodes, large families are parted first."""
     family = written(components(ties), "families")
+    if sets is not None:
+        family = parted(family, sets, percent, cell)
     width = family.groupBy("component").agg(F.ceil(F.count("*") / F.lit(cell)).cast("int").alias("chunks"))
     nodes = (family.join(width, "component")
              .select("node", F.col("component").alias("family"), "chunks", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int").alias("chunk")))
@@ -374,6 +525,35 @@ def link_families(ties: DataFrame, sets_of: Callable[[DataFrame], DataFrame], pe
     return components(_cell_edges(cells, percent))
 
 
+def _linked(texts: DataFrame, base: DataFrame, at: str, classes: DataFrame, words: int, percent: int, cell: int) -> DataFrame:
+    """(node, component) of the classes' smallest ids, by the signatures of the profiles ``base``, which are deleted."""
+    ties = signature_ties(base.select("doc_id", F.explode("sigs").alias("sig"))).select(F.col("u").alias("doc_id"), F.col("v").alias("head")).distinct()
+    dropped(texts.sparkSession, at)  # the signatures are the largest table of all
+    name = classes.filter("rep is not null").select(F.col("doc_id").alias("id"), "rep").distinct()
+    ties = (ties.join(name.withColumnRenamed("rep", "u"), F.col("doc_id") == F.col("id")).drop("id")
+            .join(name.withColumnRenamed("rep", "v"), F.col("head") == F.col("id")).select("u", "v"))
+    place = classes.filter("doc_id = rep").select(F.col("rep").alias("node"), F.col("doc_id"), "digest").distinct()
+    return link_families(ties, lambda nodes: _sets(texts.join(nodes.join(place, "node"), "doc_id").select("doc_id", "text", "digest", "family", "chunk", "chunks"), words), percent, cell)
+
+
+def _linked_pruned(texts: DataFrame, base: DataFrame, at: str, classes: DataFrame, words: int, percent: int, cell: int) -> DataFrame:
+    """``_linked`` of the sets that may link at all. These are written once; of the profiles only samples are used. Texts
+    of one id are the same. Shuffles of each part are deleted before the next."""
+    spark = texts.sparkSession
+    asked = linkable(base, percent)
+    dropped(spark, at)
+    release(spark)
+    sets, sets_at = written_at(_sets(texts.join(asked, "doc_id"), words), "sets")
+    signed, signed_at = written_at(_signed(sets, percent), "signed")
+    release(spark)
+    ties = signature_ties(signed.select("doc_id", F.explode("sigs").alias("sig"))).distinct()
+    dropped(spark, signed_at)
+    release(spark)
+    linked = link_families(ties, lambda nodes: nodes.join(sets, F.col("node") == F.col("doc_id")).select("doc_id", "family", "chunk", "chunks", "shingles"), percent, cell, sets)
+    dropped(spark, sets_at)
+    return linked
+
+
 def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, cell: int = CELL, prune: bool = False) -> DataFrame:
     """doc_id, n_words, n_shingles, component_id of every row of ``docs`` (doc_id, text)."""
     base, at = written_at(_profiles(docs, words, percent, prune), "profiles")
@@ -384,17 +564,8 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     classes = written(slim.join(reps, "digest", "left"), "classes")
 
     # Families: classes that share a signature.
-    asked = base.select("doc_id", "sigs")
-    if prune:
-        asked = asked.join(linkable(base, percent), "doc_id", "left_semi")
-    ties = signature_ties(asked.select("doc_id", F.explode("sigs").alias("sig"))).select(F.col("u").alias("doc_id"), F.col("v").alias("head")).distinct()
-    dropped(docs.sparkSession, at)  # the signatures are the largest table of all
-    name = classes.filter("rep is not null").select(F.col("doc_id").alias("id"), "rep").distinct()
-    ties = (ties.join(name.withColumnRenamed("rep", "u"), F.col("doc_id") == F.col("id")).drop("id")
-            .join(name.withColumnRenamed("rep", "v"), F.col("head") == F.col("id")).select("u", "v"))
-    place = classes.filter("doc_id = rep").select(F.col("rep").alias("node"), F.col("doc_id"), "digest").distinct()
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    linked = link_families(ties, lambda nodes: _sets(texts.join(nodes.join(place, "node"), "doc_id").drop("node"), words), percent, cell)
+    linked = (_linked_pruned if prune else _linked)(texts, base, at, classes, words, percent, cell)
     return (classes.join(linked.select(F.col("node").alias("rep"), "component"), "rep", "left")
             .select("doc_id", "n_words", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "rep", "doc_id")).alias("component_id")))
 
