@@ -17,8 +17,8 @@ Two documents link when ``100 * |A & B| >= percent * |A | B|`` for their sets of
    With ``prune``, only sets that may link at all are asked for signatures: of linked sets at most (100 - percent)
    percent of either's shingles are in no other set. Shingles of a fixed share of the hash space (``SAMPLE``) are
    sorted by range, those that one class alone has are counted per class, and a class with more of them than that
-   bound goes; so sets that merely share a passage with many others form no family. Families of more than
-   ``cell`` sets are then parted (``parted``): in the order of the family's own frequencies, rare first, linked sets
+   bound goes; so sets that merely share a passage with many others form no family. Families
+   are then parted (``parted``): in the order of the family's own frequencies, rare first, linked sets
    share one of their first n - ceil(percent * n / 100) + 1 shingles, n the size. No link is lost.
 3. A family's sets meet in cells of at most ``cell`` sets a side: a small family is one cell, a
    large one a triangle of cells, so no group meets in one task. A cell is an inverted index
@@ -486,36 +486,29 @@ def _rare_first(counted: DataFrame, percent: int) -> DataFrame:
     return counted.repartition("doc_id").sortWithinPartitions("doc_id", "often", "sig").select("doc_id", "often", "sig", "family").mapInArrow(run, "sig long, doc_id long")
 
 
-def parted(family: DataFrame, sets: DataFrame, percent: int, cell: int) -> DataFrame:
-    """The families (node, component) of (doc_id, shingles), those of more than ``cell`` sets parted where none of
-    a part's sets links with one of another part. Chance ties, of a common line or passage, grow with the square of
-    the sets and make one family of most; by frequency order, such a line is among the first shingles of those sets
-    alone that have little else in common with others. Again, with the parts' own frequencies, as long as that halves their pairs."""
-    spark, before = family.sparkSession, None
-    while True:
-        n = F.col("n")
-        large = written(family.groupBy("component").agg(F.count("*").alias("n")).filter(n > cell), "large")
-        pairs = large.agg(F.sum(n * n)).first()[0]
-        if not pairs or before and 2 * pairs > before:
-            return family
-        before = pairs
-        mine = family.join(large.select("component"), "component").select("node", F.col("component").alias("family"))
-        rows = mine.join(sets, F.col("node") == F.col("doc_id")).select("family", "doc_id", "shingles")
-        first, at = written_at(_rare_first(_frequencies(_tokens(rows)), percent), "rare-first")
-        release(spark)
-        parts = components(signature_ties(first))
-        dropped(spark, at)
-        family = written(family.join(large.select("component"), "component", "left_anti").select("node", "component").unionByName(parts), "families")
-        release(spark)
+def parted(family: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The families (node, component) of (doc_id, shingles), parted where none of a part's sets links with one of
+    another part. Chance ties, of a common line or passage, grow with the square of the sets and make one family of
+    most; by frequency order, such a line is among the first shingles of those sets alone that have little else in
+    common with others."""
+    rows = (family.select("node", F.col("component").alias("family")).join(sets.hint("merge"), F.col("node") == F.col("doc_id"))
+            .select("family", "doc_id", "shingles"))
+    first, at = written_at(_rare_first(_frequencies(_tokens(rows)), percent), "rare-first")
+    release(family.sparkSession)
+    heads = first.groupBy("sig").agg(F.min("doc_id").alias("v"))
+    parts = components(first.join(heads, "sig").select(F.col("doc_id").alias("u"), "v"))
+    dropped(family.sparkSession, at)
+    return written(parts, "families")
 
 
 def link_families(ties: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percent: int, cell: int, sets: DataFrame | None = None) -> DataFrame:
     """(node, component) by the links within the families that the ``ties`` (u, v) of nodes make.
     ``sets_of`` gives (doc_id, family, chunk, chunks, shingles) for (node, family, chunk, chunks), doc_id
-    being the node. With ``sets`` (doc_id, shingles) of all nodes, large families are parted first."""
+    being the node. With ``sets`` (doc_id, shingles) of all nodes, the families are parted first."""
     family = written(components(ties), "families")
     if sets is not None:
-        family = parted(family, sets, percent, cell)
+        family = parted(family, sets, percent)
+        release(family.sparkSession)
     width = family.groupBy("component").agg(F.ceil(F.count("*") / F.lit(cell)).cast("int").alias("chunks"))
     nodes = (family.join(width, "component")
              .select("node", F.col("component").alias("family"), "chunks", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int").alias("chunk")))
@@ -538,18 +531,19 @@ def _linked(texts: DataFrame, base: DataFrame, at: str, classes: DataFrame, word
 
 def _linked_pruned(texts: DataFrame, base: DataFrame, at: str, classes: DataFrame, words: int, percent: int, cell: int) -> DataFrame:
     """``_linked`` of the sets that may link at all. These are written once; of the profiles only samples are used. Texts
-    of one id are the same. Shuffles of each part are deleted before the next."""
+    of one id are the same. Shuffles of each part are deleted before the next. What the texts and sets are joined
+    with grows with them and is never broadcast."""
     spark = texts.sparkSession
     asked = linkable(base, percent)
     dropped(spark, at)
     release(spark)
-    sets, sets_at = written_at(_sets(texts.join(asked, "doc_id"), words), "sets")
+    sets, sets_at = written_at(_sets(texts.join(asked.hint("merge"), "doc_id"), words), "sets")
     signed, signed_at = written_at(_signed(sets, percent), "signed")
     release(spark)
     ties = signature_ties(signed.select("doc_id", F.explode("sigs").alias("sig"))).distinct()
     dropped(spark, signed_at)
     release(spark)
-    linked = link_families(ties, lambda nodes: nodes.join(sets, F.col("node") == F.col("doc_id")).select("doc_id", "family", "chunk", "chunks", "shingles"), percent, cell, sets)
+    linked = link_families(ties, lambda nodes: nodes.join(sets.hint("merge"), F.col("node") == F.col("doc_id")).select("doc_id", "family", "chunk", "chunks", "shingles"), percent, cell, sets)
     dropped(spark, sets_at)
     return linked
 
